@@ -553,7 +553,8 @@ def published_master(spark, sf):
     io_files.write_csv(view.select(*cols), out)
     schema = T.StructType([T.StructField("position", T.LongType())]
                           + [T.StructField(c, T.StringType()) for c in MASTER13])
-    return io_files.read_csv(spark, out, schema)
+    # Like the sheet export, CSV cannot tell '' from missing: fill on read (S-14).
+    return X.fill_human_columns(io_files.read_csv(spark, out, schema))
 
 
 @register("refresh_stream", _MERGE_SQL + f"\nSELECT {O.MASTER13_SQL} FROM merged")
