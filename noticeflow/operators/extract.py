@@ -2,20 +2,20 @@
 
 Physical shape, whatever the mix of layouts:
 
-1. one Arrow-batched Python stage (``parse_pages``) turns each page into named
-   string lists (``fields``) and drops the HTML right away;
+1. ``parse_pages`` turns each page into named string lists (``fields``) with
+   native regexes; only pages those cannot be trusted with (unbalanced tags,
+   numeric entities, scripts) go through an Arrow-batched Python reader;
+   the HTML is dropped right away;
 2. one native projection turns the lists into records, ``ARRAY<ARRAY<STRING>>``
    with a common field order, using strides, slices and zips;
 3. one ``posexplode`` and one native projection give raw canonical rows.
 
-No union of per-layout branches, so the Python stage runs once per page.
+No union of per-layout branches: every page is read exactly once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
+import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +31,12 @@ try:  # ship the page reader with the task closure, so executors need no install
 except Exception:  # pragma: no cover - older cloudpickle: the package must be installed
     pass
 
-FIELDS_TYPE = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
-_ARROW_FIELDS = pa.map_(pa.string(), pa.list_(pa.string()))
+# Every named list any layout produces; a layout leaves the others NULL.  A
+# struct (not a map) so that reading one list never drags the others along.
+FIELD_NAMES = ["headers", "cells", "file_no", "received", "applicant", "address", "dd",
+               "totals", "title", "details", "party", "strong", "summary", "anchor", "href",
+               "para", "counter"]
+FIELDS_TYPE = T.StructType([T.StructField(n, T.ArrayType(T.StringType())) for n in FIELD_NAMES])
 
 # Record vector positions shared by every layout (1-based for element_at).
 R_FILE, R_RECEIVED, R_AUTHORITY, R_APPLICANT, R_ADDRESS, R_DESCRIPTION, R_LINK = range(1, 8)
@@ -50,51 +54,183 @@ CONSULTATION_DATE_ITEM = 2  # 1-based: second ';' item is the date
 
 
 # ---------------------------------------------------------------- stage 1
-def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        cols = batch.to_pydict()
-        html = cols.pop("html")
-        layouts = cols["layout"]
-        detected, status, error, fields = [], [], [], []
-        for lay, page in zip(layouts, html):
-            try:
-                got, named = extract_layout(lay, page or "")
-                detected.append(got)
-                status.append("ok")
-                error.append(None)
-                fields.append(list(named.items()))
-            except Exception as exc:  # one bad page must not stop the job
-                detected.append(lay)
-                status.append("error")
-                error.append(f"{type(exc).__name__}: {exc}"[:500])
-                fields.append([])
-        arrays = [pa.array(cols[name], type=batch.schema.field(name).type) for name in cols]
-        names = list(cols)
-        arrays += [pa.array(detected, pa.string()), pa.array(status, pa.string()),
-                   pa.array(error, pa.string()), pa.array(fields, _ARROW_FIELDS)]
-        names += ["detected_layout", "parse_status", "parse_error", "fields"]
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-
-def parse_pages(captures: DataFrame) -> DataFrame:
-    """Python boundary: page HTML -> ``fields MAP<STRING, ARRAY<STRING>>``.
-
-    Column pruning does not cross ``mapInArrow``; callers pass only the page
-    identity columns they need plus ``layout`` and ``html``.
+# Native path: regular expressions evaluated in the JVM (codegen, no Python).
+def _attr_re(attr: str, value: str) -> str:
+    return r"\b" + attr + r'\s*=\s*"(?:[^"]*\s)?' + value + r'(?:\s[^"]*)?"'
+
+
+def _inner(src: Column, tag: str, attr: str | None = None, value: str | None = None) -> Column:
+    """Inner HTML of every ``<tag>`` (optionally with a class) in document order."""
+    cond = f"[^>]*{_attr_re(attr, value)}" if attr else ""
+    return F.regexp_extract_all(src, F.lit(rf"(?is)<{tag}\b{cond}[^>]*>(.*?)</{tag}\s*>"), 1)
+
+
+def _inner_style(src: Column, style: str) -> Column:
+    pat = r"(?is)<div\b[^>]*\bstyle\s*=\s*" + '"' + re.escape(style) + '"' + r"[^>]*>(.*?)</div\s*>"
+    return F.regexp_extract_all(src, F.lit(pat), 1)
+
+
+# Named entities decoded natively ('&amp;' last).
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+            ("&nbsp;", " "), ("&amp;", "&")]
+
+
+def unescape(c: Column) -> Column:
+    for ent, ch in ENTITIES:
+        c = F.replace(c, F.lit(ent), F.lit(ch))
+    return c
+
+
+def text_strip(c: Column) -> Column:
+    """Text of an element, each text piece stripped and joined with ''."""
+    return X.py_strip(unescape(F.regexp_replace(c, r"(?s)\s*<[^>]*>\s*", "")))
+
+
+def text_raw(c: Column) -> Column:
+    """Text of an element as is (tags removed, entities decoded)."""
+    return unescape(F.regexp_replace(c, r"(?s)<[^>]*>", ""))
+
+
+def _texts(arr: Column, strip: bool = True) -> Column:
+    return F.transform(arr, text_strip if strip else text_raw)
+
+
+def _first(arr: Column) -> Column:
+    return F.slice(arr, 1, 1)
+
+
+def _fmap(**named: Column) -> Column:
+    return F.struct(*[(named[n] if n in named else F.lit(None).cast("array<string>")).alias(n)
+                      for n in FIELD_NAMES])
+
+
+def _is_list_page(layout: Column, html: Column) -> Column:
+    return layout.isin("cards6", "case1") & html.rlike(r"(?i)<h2\b")
+
+
+def native_fields(layout: Column, html: Column) -> Column:
+    """The same named lists as the tolerant reader, from JVM regexes."""
+    table_re = r"(?is)<table\b[^>]*" + _attr_re("class", "table") + r"[^>]*>(.*?)</table\s*>"
+    table = F.regexp_extract(html, table_re, 1)
+    title_re = r"(?is)<span\b[^>]*" + _attr_re("class", "title")
+    cards = F.filter(_inner(html, "a"), lambda b: b.rlike(title_re))
+    party = F.transform(cards, lambda b: X.py_strip(text_raw(
+        F.regexp_extract(b, r"(?is)<ul\b[^>]*>.*?<li\b[^>]*>(.*?)</li\s*>", 1))))
+    li_p = F.regexp_extract(html, r"(?is)<li\b[^>]*>\s*<p\b[^>]*>(.*?)</p\s*>", 1)
+    uls = _inner(html, "ul")
+    lst = F.coalesce(F.try_element_at(uls, F.lit(_html.CONSULTATION_LIST_INDEX + 1)), F.lit(""))
+    has_list = F.size(uls) > _html.CONSULTATION_LIST_INDEX
+    empty = F.array().cast("array<string>")
+    href_re = r'(?is)<a\b[^>]*\bhref\s*=\s*"([^"]*)"[^>]*>.*?</a\s*>'
+    return (
+        F.when(layout == "table", _fmap(headers=_texts(_inner(table, "th")),
+                                        cells=_texts(_inner(table, "td"))))
+        .when(layout.isin("grid5", "responsive7"), _fmap(cells=_texts(_inner(html, "td"))))
+        .when(layout == "columns4", _fmap(**{
+            name: _texts(_inner_style(html, style)) for name, style in _html.COLUMN_STYLES.items()}))
+        .when(layout == "deflist4", _fmap(
+            file_no=_texts(_inner(html, "h3", "class", "responsiveheader")),
+            dd=_texts(_inner(html, "dd")),
+            totals=_texts(_first(_inner(html, "li", "class", "totals")))))
+        .when(_is_list_page(layout, html), _fmap(
+            title=_texts(_inner(html, "span", "class", "title")),
+            details=_texts(_inner(html, "span", "class", "details")), party=party))
+        .when(layout.isin("cards6", "case1"), _fmap(
+            address=_texts(_first(_inner(html, "p", "class", "address")), False),
+            strong=_texts(_first(_inner(html, "strong")), False),
+            summary=_texts(_first(_inner(html, "p", "class", "case-summary")), False),
+            party=F.when(li_p != "", F.array(text_raw(li_p))).otherwise(empty)))
+        .when(layout == "links5", _fmap(
+            anchor=F.when(has_list, _texts(_inner(lst, "a"), False)).otherwise(empty),
+            href=F.when(has_list, F.regexp_extract_all(lst, F.lit(href_re), 1)).otherwise(empty),
+            para=F.when(has_list, _texts(_inner(lst, "p"), False)).otherwise(empty),
+            counter=_texts(_first(_inner(html, "div", "class", "pagination")))))
+    )
+
+
+# Tags whose open/close counts must agree for the regex path to be trusted.
+BALANCED_TAGS = {
+    "table": ["table", "th", "td"], "grid5": ["td"], "responsive7": ["td"],
+    "columns4": ["div"], "deflist4": ["dd", "h3", "li"], "cards6": ["span", "li", "a", "p", "ul"],
+    "case1": ["span", "li", "a", "p", "ul"], "links5": ["ul", "a", "p", "li"],
+}
+
+
+def _count(html: Column, pattern: str) -> Column:
+    return F.regexp_count(html, F.lit(pattern))
+
+
+def needs_tolerant(layout: Column, html: Column) -> Column:
+    """Pages the regex path cannot be sure about go to the Python reader:
+    unbalanced tags of the layout, numeric or uncommon named entities, or
+    scripts/comments (which may hide tag-like text)."""
+    odd_entity = html.rlike(
+        r"&(#[0-9]+|#[xX][0-9a-fA-F]+|(?!(?:amp|lt|gt|quot|apos|nbsp);)[a-zA-Z][a-zA-Z0-9]*);")
+    cond = odd_entity | html.rlike(r"(?i)<script\b|<!--")
+    for lay, tags in BALANCED_TAGS.items():
+        unbalanced = None
+        for t in tags:
+            u = _count(html, rf"(?i)<{t}\b") != _count(html, rf"(?i)</{t}\s*>")
+            unbalanced = u if unbalanced is None else (unbalanced | u)
+        cond = cond | ((layout == lay) & unbalanced)
+    return html.isNotNull() & cond
+
+
+# Tolerant path: stdlib tree reader, Arrow-batched, fed only the flagged pages.
+_TOLERANT_TYPE = T.StructType([
+    T.StructField("detected_layout", T.StringType()),
+    T.StructField("parse_status", T.StringType()),
+    T.StructField("parse_error", T.StringType()),
+    T.StructField("fields", FIELDS_TYPE),
+])
+
+
+def _tolerant(layout, html):
+    if html is None:
+        return None
+    try:
+        got, named = extract_layout(layout, html)
+        return {"detected_layout": got, "parse_status": "ok", "parse_error": None,
+                "fields": {n: named.get(n) for n in FIELD_NAMES}}
+    except Exception as exc:  # one bad page must not stop the job
+        return {"detected_layout": layout, "parse_status": "error",
+                "parse_error": f"{type(exc).__name__}: {exc}"[:500], "fields": None}
+
+
+tolerant_reader = F.udf(_tolerant, _TOLERANT_TYPE, useArrow=True)
+
+
+def parse_pages(captures: DataFrame, native: bool = True) -> DataFrame:
+    """Page HTML -> ``fields MAP<STRING, ARRAY<STRING>>`` (+ layout, status).
+
+    Most pages are read by native regexes; only flagged pages carry their
+    HTML into the Python reader (the other rows send NULL), so the Python
+    stage moves almost no data.  ``native=False`` sends every page to the
+    Python reader (used by tests to compare both paths).
     """
-    keep = [f for f in captures.schema.fields if f.name != "html"]
-    out_schema = T.StructType(keep + [
-        T.StructField("detected_layout", T.StringType()),
-        T.StructField("parse_status", T.StringType()),
-        T.StructField("parse_error", T.StringType()),
-        T.StructField("fields", FIELDS_TYPE),
-    ])
-    return captures.mapInArrow(_parse_batches, out_schema)
+    lay, html = F.col("layout"), F.col("html")
+    flag = needs_tolerant(lay, html) if native else html.isNotNull()
+    flagged = captures.withColumn("_tolerant", flag)
+    slow = tolerant_reader(lay, F.when(F.col("_tolerant"), html))
+    detected = (F.when(_is_list_page(lay, html), F.lit("cards6"))
+                .when(lay.isin("cards6", "case1"), F.lit("case1")).otherwise(lay))
+    keep = [c for c in captures.columns if c != "html"]
+    out = flagged.select(*keep, "_tolerant", slow.alias("_slow"), detected.alias("_detected"),
+                         F.when(~F.col("_tolerant"), native_fields(lay, html)).alias("_fast"))
+    return out.select(
+        *keep,
+        F.coalesce(F.col("_slow.detected_layout"), F.col("_detected")).alias("detected_layout"),
+        F.when(F.col("_tolerant"), F.coalesce(F.col("_slow.parse_status"), F.lit("error")))
+        .otherwise(F.lit("ok")).alias("parse_status"),
+        F.col("_slow.parse_error").alias("parse_error"),
+        F.coalesce(F.col("_slow.fields"), F.col("_fast")).alias("fields"),
+        F.col("_tolerant").alias("tolerant"),
+    )
 
 
 # ---------------------------------------------------------------- stage 2
 def _f(name: str) -> Column:
-    return F.coalesce(F.col("fields")[name], F.array().cast("array<string>"))
+    return F.coalesce(F.col("fields").getField(name), F.array().cast("array<string>"))
 
 
 def _get(arr: Column, i) -> Column:
@@ -225,14 +361,22 @@ def page_records(parsed: DataFrame) -> DataFrame:
             .when(lay == "case1", _case_records())
             .when(lay == "links5", _link_records()))
     ok = (F.col("parse_status") == "ok") & _sizes_agree()
-    return parsed.withColumns({"records": recs, "page_ok": ok})
+    # Bad pages get no records (they are reported by ``quarantine_pages``);
+    # no Filter here, so the optimizer never copies the parse into a predicate.
+    empty = F.array().cast("array<array<string>>")
+    return parsed.withColumn("page_ok", ok).withColumn(
+        "records", F.when(F.col("page_ok"), recs).otherwise(empty))
 
 
 def explode_records(pages: DataFrame) -> DataFrame:
     """One row per record with raw string fields and ``row_pos`` (0-based)."""
     keep = [c for c in pages.columns if c not in ("fields", "records", "page_ok",
-                                                   "parse_status", "parse_error")]
-    rows = pages.where("page_ok").select(*keep, F.posexplode("records").alias("row_pos", "r"))
+                                                   "parse_status", "parse_error", "tolerant")]
+    # The *_outer form: a plain explode makes the optimizer infer
+    # ``size(records) > 0`` and push that predicate (with the whole parse
+    # inlined) below the parse.  Empty pages give one NULL row, dropped here.
+    rows = pages.select(*keep, F.posexplode_outer("records").alias("row_pos", "r")) \
+        .where(F.col("r").isNotNull())
     r = F.col("r")
     return rows.select(
         *keep, F.col("row_pos").cast("int").alias("row_pos"),
@@ -251,5 +395,6 @@ def quarantine_pages(pages: DataFrame) -> DataFrame:
     reason = (F.when(F.col("parse_status") != "ok", F.col("parse_error"))
               .otherwise(F.lit("misaligned lists")))
     keep = [c for c in pages.columns if c not in ("fields", "records", "page_ok",
-                                                   "parse_status", "parse_error")]
-    return pages.where(~F.col("page_ok")).select(*keep, reason.alias("error"))
+                                                   "parse_status", "parse_error", "tolerant")]
+    bad = F.when(~F.col("page_ok"), F.array(reason)).otherwise(F.array().cast("array<string>"))
+    return pages.select(*keep, F.explode_outer(bad).alias("error")).where(F.col("error").isNotNull())

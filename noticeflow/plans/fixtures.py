@@ -251,7 +251,11 @@ def render_captures(orders: DataFrame, layout: str | None = None, as_of=AS_OF) -
     rows = rows.withColumn("page_no", F.when(single, F.col("o_orderkey").cast("int"))
                            .otherwise(F.col("page_no")))
     rows = rows.withColumn("snippet", _snippet())
-    pages = (rows.groupBy("layout", "page_no")
+    # Pages are parsed right after rendering; with an explicit partition count
+    # AQE keeps them spread over all cores instead of folding the (small but
+    # CPU-heavy) page set into one task.
+    parallelism = orders.sparkSession.sparkContext.defaultParallelism
+    pages = (rows.repartition(parallelism, "page_no").groupBy("layout", "page_no")
              .agg(F.sort_array(F.collect_list(F.struct("pos", "snippet"))).alias("items")))
     body = F.array_join(F.transform("items", lambda s: s["snippet"]), "")
     kw_idx = (F.col("page_no") % len(PAGE_KEYWORDS) + 1).cast("int")
