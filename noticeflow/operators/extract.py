@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions import html as _html
 from ..functions import text as X
+from ..functions.cache import per_jvm
 from ..functions.html import extract_layout
 
 try:  # ship the page reader with the task closure, so executors need no install
@@ -208,24 +209,32 @@ def parse_pages(captures: DataFrame, native: bool = True) -> DataFrame:
     stage moves almost no data.  ``native=False`` sends every page to the
     Python reader (used by tests to compare both paths).
     """
-    lay, html = F.col("layout"), F.col("html")
-    flag = needs_tolerant(lay, html) if native else html.isNotNull()
-    flagged = captures.withColumn("_tolerant", flag)
-    slow = tolerant_reader(lay, F.when(F.col("_tolerant"), html))
-    detected = (F.when(_is_list_page(lay, html), F.lit("cards6"))
-                .when(lay.isin("cards6", "case1"), F.lit("case1")).otherwise(lay))
+    e = _parse_exprs(native)
+    flagged = captures.withColumn("_tolerant", e["flag"])
     keep = [c for c in captures.columns if c != "html"]
-    out = flagged.select(*keep, "_tolerant", slow.alias("_slow"), detected.alias("_detected"),
-                         F.when(~F.col("_tolerant"), native_fields(lay, html)).alias("_fast"))
-    return out.select(
-        *keep,
-        F.coalesce(F.col("_slow.detected_layout"), F.col("_detected")).alias("detected_layout"),
-        F.when(F.col("_tolerant"), F.coalesce(F.col("_slow.parse_status"), F.lit("error")))
-        .otherwise(F.lit("ok")).alias("parse_status"),
-        F.col("_slow.parse_error").alias("parse_error"),
-        F.coalesce(F.col("_slow.fields"), F.col("_fast")).alias("fields"),
-        F.col("_tolerant").alias("tolerant"),
-    )
+    out = flagged.select(*keep, "_tolerant", e["slow"].alias("_slow"),
+                         e["detected"].alias("_detected"), e["fast"].alias("_fast"))
+    return out.select(*keep, *e["final"])
+
+
+@per_jvm
+def _parse_exprs(native: bool) -> dict:
+    lay, html = F.col("layout"), F.col("html")
+    return {
+        "flag": needs_tolerant(lay, html) if native else html.isNotNull(),
+        "slow": tolerant_reader(lay, F.when(F.col("_tolerant"), html)),
+        "detected": (F.when(_is_list_page(lay, html), F.lit("cards6"))
+                     .when(lay.isin("cards6", "case1"), F.lit("case1")).otherwise(lay)),
+        "fast": F.when(~F.col("_tolerant"), native_fields(lay, html)),
+        "final": [
+            F.coalesce(F.col("_slow.detected_layout"), F.col("_detected")).alias("detected_layout"),
+            F.when(F.col("_tolerant"), F.coalesce(F.col("_slow.parse_status"), F.lit("error")))
+            .otherwise(F.lit("ok")).alias("parse_status"),
+            F.col("_slow.parse_error").alias("parse_error"),
+            F.coalesce(F.col("_slow.fields"), F.col("_fast")).alias("fields"),
+            F.col("_tolerant").alias("tolerant"),
+        ],
+    }
 
 
 # ---------------------------------------------------------------- stage 2
@@ -351,6 +360,16 @@ def _sizes_agree() -> Column:
 
 def page_records(parsed: DataFrame) -> DataFrame:
     """Add ``records ARRAY<ARRAY<STRING>>`` and ``page_ok`` to parsed pages."""
+    recs, ok = _record_exprs()
+    # Bad pages get no records (they are reported by ``quarantine_pages``);
+    # no Filter here, so the optimizer never copies the parse into a predicate.
+    empty = F.array().cast("array<array<string>>")
+    return parsed.withColumn("page_ok", ok).withColumn(
+        "records", F.when(F.col("page_ok"), recs).otherwise(empty))
+
+
+@per_jvm
+def _record_exprs():
     lay = F.col("detected_layout")
     recs = (F.when(lay == "table", _table_records())
             .when(lay == "grid5", _grid_records())
@@ -361,11 +380,7 @@ def page_records(parsed: DataFrame) -> DataFrame:
             .when(lay == "case1", _case_records())
             .when(lay == "links5", _link_records()))
     ok = (F.col("parse_status") == "ok") & _sizes_agree()
-    # Bad pages get no records (they are reported by ``quarantine_pages``);
-    # no Filter here, so the optimizer never copies the parse into a predicate.
-    empty = F.array().cast("array<array<string>>")
-    return parsed.withColumn("page_ok", ok).withColumn(
-        "records", F.when(F.col("page_ok"), recs).otherwise(empty))
+    return recs, ok
 
 
 def explode_records(pages: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
+from ..functions.cache import per_jvm
 from ..schema import (AGILE_TEMPLATE, BOARD_TEMPLATE, CONSULTATION_URL, KILDARE_URL,
                       SOUTH_DUBLIN_TEMPLATE, STANDARD_SITES, WEXFORD_URL, source_rows)
 
@@ -130,6 +131,7 @@ def order_fields(orders: DataFrame, layout: Column | str | None = None) -> DataF
     )
 
 
+@per_jvm
 def _snippet() -> Column:
     """HTML of one record, by layout."""
     lay = F.col("layout")
@@ -186,7 +188,9 @@ def _snippet() -> Column:
             .when(lay == "case1", case).when(lay == "links5", link))
 
 
-def _page_html(body: Column, n_rows: Column) -> Column:
+@per_jvm
+def _page_html() -> Column:
+    body, n_rows = F.col("body"), F.col("n_rows")
     lay = F.col("layout")
     head = F.lit("<!DOCTYPE html><html><head><title>Results</title></head><body>")
     tail = F.lit("</body></html>")
@@ -211,6 +215,7 @@ def _page_html(body: Column, n_rows: Column) -> Column:
     return F.concat(head, inner, tail)
 
 
+@per_jvm
 def _capture_source(as_of) -> tuple[Column, Column]:
     """(source_id, capture url) for a page, by layout and page number."""
     lay, page = F.col("layout"), F.col("page_no")
@@ -272,4 +277,4 @@ def render_captures(orders: DataFrame, layout: str | None = None, as_of=AS_OF) -
         "source_id", "source_rank", "site_rank", "layout", "keyword", "keyword_rank",
         F.lit(0).alias("list_pos"), "page_no", F.lit(1).alias("attempt"),
         F.lit(as_of).alias("fetched_on"), "url",
-        _page_html(F.col("body"), F.col("n_rows")).alias("html"))
+        _page_html().alias("html"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as X
+from ..functions.cache import per_jvm
 from ..functions.announce import DEFAULT_HELP_URL, DEFAULT_TAG, draft_announcement
 from ..operators import dedup, extract, filters, ordering, sets
 from ..schema import (CANONICAL8, CANONICAL9, DEADLINE_DAYS, HUMAN_COLUMNS, KEY6, LINEAGE,
@@ -37,6 +38,11 @@ def normalise(records: DataFrame, sources: DataFrame) -> DataFrame:
     dim = sources.select("source_id", F.col("authority").alias("_authority"),
                          F.col("class").alias("source_class"), "deadline_days")
     r = records.join(F.broadcast(dim), "source_id", "left")
+    return r.select(*_normalise_exprs())
+
+
+@per_jvm
+def _normalise_exprs() -> list:
     lay = F.col("detected_layout")
     day_first = lay.isin("table", "grid5", "deflist4", "cards6", "case1")
     received = (F.when(day_first, D.parse_day_first("raw_received"))
@@ -57,7 +63,7 @@ def normalise(records: DataFrame, sources: DataFrame) -> DataFrame:
     term = (F.when(lay.isin("cards6", "case1"), F.lit(X.NA_SID))
             .when(lay == "links5", F.lit(X.NA_DECC))
             .otherwise(F.col("keyword")))
-    return r.select(
+    return [
         file_number.alias("file_number"), received.alias("received_date"),
         authority.alias("local_authority_name"), F.col("raw_applicant").alias("applicant_name"),
         F.col("raw_address").alias("development_address"),
@@ -65,7 +71,7 @@ def normalise(records: DataFrame, sources: DataFrame) -> DataFrame:
         term.alias("search_term"),
         "source_id", "source_class", "deadline_days", "detected_layout",
         F.col("raw_received"),
-        *[F.col(c).cast("int").alias(c) for c in LINEAGE])
+        *[F.col(c).cast("int").alias(c) for c in LINEAGE]]
 
 
 def bad_dates(normalised: DataFrame) -> DataFrame:
