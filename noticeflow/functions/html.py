@@ -8,6 +8,7 @@ a forgiving tree builder and a handful of selectors.
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
@@ -135,6 +136,14 @@ def _texts(nodes, strip=True):
     return [n.text(strip) for n in nodes]
 
 
+_RUNS = re.compile(r"[\r\n]+|\s{2,}")
+
+
+def _table_texts(nodes):
+    """Result-table cells: whitespace runs collapsed, then stripped."""
+    return [_RUNS.sub(" ", n.text(False)).strip() for n in nodes]
+
+
 def extract_layout(layout: str, html: str) -> tuple[str, dict[str, list[str]]]:
     """Return (detected layout, named string lists) for one page."""
     root = parse(html)
@@ -142,8 +151,8 @@ def extract_layout(layout: str, html: str) -> tuple[str, dict[str, list[str]]]:
         tbl = root.find("table", "table")
         if tbl is None:
             return layout, {"headers": [], "cells": []}
-        return layout, {"headers": _texts(tbl.find_all("th")),
-                        "cells": _texts(tbl.find_all("td"))}
+        return layout, {"headers": _table_texts(tbl.find_all("th")),
+                        "cells": _table_texts(tbl.find_all("td"))}
     if layout in ("grid5", "responsive7"):
         cells = []
         for tr in root.find_all("tr"):

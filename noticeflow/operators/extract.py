@@ -92,10 +92,20 @@ def text_raw(c: Column) -> Column:
     return unescape(F.regexp_replace(c, r"(?s)<[^>]*>", ""))
 
 
+def text_table(c: Column) -> Column:
+    """Table-cell text: tags dropped, whitespace runs collapsed, stripped
+    (the result-table reader's rule, unlike the piecewise strip above)."""
+    return X.py_strip(F.regexp_replace(text_raw(c), r"[\r\n]+|\s{2,}", " "))
+
+
 def _texts(arr: Column, strip: bool = True) -> Column:
     return F.transform(arr, text_strip if strip else text_raw)
 
 
+def _table_texts(arr: Column) -> Column:
+    return F.transform(arr, text_table)
+
+
 def _first(arr: Column) -> Column:
     return F.slice(arr, 1, 1)
 
@@ -124,8 +134,8 @@ def native_fields(layout: Column, html: Column) -> Column:
     empty = F.array().cast("array<string>")
     href_re = r'(?is)<a\b[^>]*\bhref\s*=\s*"([^"]*)"[^>]*>.*?</a\s*>'
     return (
-        F.when(layout == "table", _fmap(headers=_texts(_inner(table, "th")),
-                                        cells=_texts(_inner(table, "td"))))
+        F.when(layout == "table", _fmap(headers=_table_texts(_inner(table, "th")),
+                                        cells=_table_texts(_inner(table, "td"))))
         .when(layout.isin("grid5", "responsive7"), _fmap(cells=_texts(_inner(html, "td"))))
         .when(layout == "columns4", _fmap(**{
             name: _texts(_inner_style(html, style)) for name, style in _html.COLUMN_STYLES.items()}))
