@@ -83,19 +83,25 @@ def unescape(c: Column) -> Column:
 
 
 def text_strip(c: Column) -> Column:
-    """Text of an element, each text piece stripped and joined with ''."""
-    return X.py_strip(unescape(F.regexp_replace(c, r"(?s)\s*<[^>]*>\s*", "")))
+    """Text of an element, each text piece stripped and joined with ''.
+
+    Plain cells (no tag, entity or outer whitespace) skip the cleanup passes.
+    """
+    full = X.py_strip(unescape(F.regexp_replace(c, r"(?s)\s*<[^>]*>\s*", "")))
+    return F.when(c.rlike(r"[<&]|^\s|\s$"), full).otherwise(c)
 
 
 def text_raw(c: Column) -> Column:
     """Text of an element as is (tags removed, entities decoded)."""
-    return unescape(F.regexp_replace(c, r"(?s)<[^>]*>", ""))
+    full = unescape(F.regexp_replace(c, r"(?s)<[^>]*>", ""))
+    return F.when(c.rlike(r"[<&]"), full).otherwise(c)
 
 
 def text_table(c: Column) -> Column:
     """Table-cell text: tags dropped, whitespace runs collapsed, stripped
     (the result-table reader's rule, unlike the piecewise strip above)."""
-    return X.py_strip(F.regexp_replace(text_raw(c), r"[\r\n]+|\s{2,}", " "))
+    full = X.py_strip(F.regexp_replace(text_raw(c), r"[\r\n]+|\s{2,}", " "))
+    return F.when(c.rlike(r"[<&\r\n]|\s\s|^\s|\s$"), full).otherwise(c)
 
 
 def _texts(arr: Column, strip: bool = True) -> Column:
@@ -171,20 +177,27 @@ def _count(html: Column, pattern: str) -> Column:
     return F.regexp_count(html, F.lit(pattern))
 
 
+def _ci(tag: str) -> str:
+    """Case-insensitive tag name as character classes (faster than the (?i) flag)."""
+    return "".join(f"[{ch.lower()}{ch.upper()}]" for ch in tag)
+
+
 def needs_tolerant(layout: Column, html: Column) -> Column:
     """Pages the regex path cannot be sure about go to the Python reader:
     unbalanced tags of the layout, numeric or uncommon named entities, or
     scripts/comments (which may hide tag-like text)."""
-    odd_entity = html.rlike(
-        r"&(#[0-9]+|#[xX][0-9a-fA-F]+|(?!(?:amp|lt|gt|quot|apos|nbsp);)[a-zA-Z][a-zA-Z0-9]*);")
-    cond = odd_entity | html.rlike(r"(?i)<script\b|<!--")
+    odd_entity = html.rlike(r"&(?:#|(?!(?:amp|lt|gt|quot|apos|nbsp);)[a-zA-Z])")
+    hidden = (F.contains(html, F.lit("<!--")) | F.contains(html, F.lit("<script"))
+              | F.contains(html, F.lit("<SCRIPT")) | F.contains(html, F.lit("<Script")))
+    unbalanced = None
     for lay, tags in BALANCED_TAGS.items():
-        unbalanced = None
+        u = None
         for t in tags:
-            u = _count(html, rf"(?i)<{t}\b") != _count(html, rf"(?i)</{t}\s*>")
-            unbalanced = u if unbalanced is None else (unbalanced | u)
-        cond = cond | ((layout == lay) & unbalanced)
-    return html.isNotNull() & cond
+            c = _count(html, rf"<{_ci(t)}[\s>/]") != _count(html, rf"</{_ci(t)}\s*>")
+            u = c if u is None else (u | c)
+        unbalanced = (F.when(layout == lay, u) if unbalanced is None
+                      else unbalanced.when(layout == lay, u))
+    return html.isNotNull() & (odd_entity | hidden | unbalanced.otherwise(F.lit(False)))
 
 
 # Tolerant path: stdlib tree reader, Arrow-batched, fed only the flagged pages.
@@ -272,23 +285,6 @@ def _rec(*items) -> Column:
     return F.array(*[F.lit(None).cast("string") if x is None else x for x in items])
 
 
-def _table_records() -> Column:
-    headers, cells = _f("headers"), _f("cells")
-
-    def pos(name):
-        return F.array_position(headers, F.lit(name)).cast("int")
-
-    return F.transform(stride(cells, F.size(headers)), lambda r: _rec(
-        _get(r, pos("File Number")), _get(r, pos("Received Date")),
-        _get(r, pos("Local Authority Name")), _get(r, pos("Applicant Name")),
-        _get(r, pos("Development Address")), _get(r, pos("Development Description")), None))
-
-
-def _grid_records() -> Column:
-    return F.transform(stride(_f("cells"), WIDTH["grid5"]), lambda r: _rec(
-        _get(r, 1), _get(r, 5), _get(r, 2), _get(r, 3), _get(r, 4), None, None))
-
-
 def responsive_cells(cells: Column) -> Column:
     """Drop the leading header cells and the header cells between the two copies (EXT-3)."""
     h = RESPONSIVE_HEADER_CELLS
@@ -299,98 +295,108 @@ def responsive_cells(cells: Column) -> Column:
     )).otherwise(F.array().cast("array<string>"))
 
 
-def _responsive_records() -> Column:
-    # The page holds two renderings of the same rows; exact distinct within
-    # the page collapses them (array_distinct keeps first occurrences in order).
-    recs = F.array_distinct(stride(responsive_cells(_f("cells")), WIDTH["responsive7"]))
-    return F.transform(recs, lambda r: _rec(
-        _get(r, 1), _get(r, 4), None, _get(r, 7), _get(r, 3), _get(r, 2), None))
-
-
-def _column_records() -> Column:
-    z = F.arrays_zip(_f("file_no").alias("a"), _f("received").alias("b"),
-                     _f("applicant").alias("c"), _f("address").alias("d"))
-    return F.transform(z, lambda s: _rec(s["a"], s["b"], None, s["c"], s["d"], None, None))
+def consultation_items(paras: Column) -> Column:
+    """Details joined on ';' and re-split, stray organisation token removed first (EXT-8)."""
+    cleaned = F.transform(paras, lambda p: F.replace(p, F.lit(X.STRAY_ORGANISATION), F.lit("")))
+    items = F.split(F.array_join(cleaned, ";"), ";")
+    return F.when(F.size(paras) > 0, items).otherwise(F.array().cast("array<string>"))
 
 
-def _deflist_records() -> Column:
-    z = F.arrays_zip(_f("file_no").alias("a"), stride(_f("dd"), WIDTH["deflist4"]).alias("r"))
-    return F.transform(z, lambda s: _rec(
-        s["a"], _get(s["r"], 1), None, _get(s["r"], 3), _get(s["r"], 4), None, None))
+@per_jvm
+def _flat_exprs() -> dict:
+    """Step 1: the flat list each layout strides over, and its record width."""
+    lay = F.col("detected_layout")
+    flat = (F.when(lay.isin("table", "grid5"), _f("cells"))
+            .when(lay == "responsive7", responsive_cells(_f("cells")))
+            .when(lay == "deflist4", _f("dd"))
+            .when(lay == "cards6", _f("details"))
+            .when(lay == "links5", consultation_items(_f("para")))
+            .otherwise(F.array().cast("array<string>")))
+    width = (F.when(lay == "table", F.size(_f("headers")))
+             .when(lay == "grid5", F.lit(WIDTH["grid5"]))
+             .when(lay == "responsive7", F.lit(WIDTH["responsive7"]))
+             .when(lay == "deflist4", F.lit(WIDTH["deflist4"]))
+             .when(lay == "cards6", F.lit(WIDTH["cards6"]))
+             .when(lay == "links5", F.lit(WIDTH["links5"]))
+             .otherwise(F.lit(1)))
+    return {"_flat": flat, "_width": width}
 
 
-def _card_records() -> Column:
-    z = F.arrays_zip(stride(_f("details"), WIDTH["cards6"]).alias("r"),
-                     _f("title").alias("t"), _f("party").alias("p"))
-    return F.transform(z, lambda s: _rec(
-        X.remove_literal(_get(s["r"], 1), X.BOARD_LABELS["file_number"]),
-        X.prefix(X.remove_literal(_get(s["r"], 4), X.BOARD_LABELS["received_date"]), 10),
-        None, s["p"], s["t"],
-        X.remove_literal(_get(s["r"], 3), X.BOARD_LABELS["development_description"]), None))
+@per_jvm
+def _record_exprs():
+    """Step 3: records in the common field order, from the strided chunks."""
+    lay = F.col("detected_layout")
+    ch = F.col("_chunks")
+    headers = _f("headers")
 
+    def pos(name):
+        return F.array_position(headers, F.lit(name)).cast("int")
 
-def _case_records() -> Column:
+    table = F.transform(ch, lambda r: _rec(
+        _get(r, pos("File Number")), _get(r, pos("Received Date")),
+        _get(r, pos("Local Authority Name")), _get(r, pos("Applicant Name")),
+        _get(r, pos("Development Address")), _get(r, pos("Development Description")), None))
+    grid = F.transform(ch, lambda r: _rec(
+        _get(r, 1), _get(r, 5), _get(r, 2), _get(r, 3), _get(r, 4), None, None))
+    # Two renderings of the same rows: exact distinct within the page collapses
+    # them (array_distinct keeps first occurrences in order).
+    resp = F.transform(F.array_distinct(ch), lambda r: _rec(
+        _get(r, 1), _get(r, 4), None, _get(r, 7), _get(r, 3), _get(r, 2), None))
+    cols = F.transform(
+        F.arrays_zip(_f("file_no").alias("a"), _f("received").alias("b"),
+                     _f("applicant").alias("c"), _f("address").alias("d")),
+        lambda s: _rec(s["a"], s["b"], None, s["c"], s["d"], None, None))
+    dl = F.transform(F.arrays_zip(_f("file_no").alias("a"), ch.alias("r")), lambda s: _rec(
+        s["a"], _get(s["r"], 1), None, _get(s["r"], 3), _get(s["r"], 4), None, None))
+    cards = F.transform(
+        F.arrays_zip(ch.alias("r"), _f("title").alias("t"), _f("party").alias("p")),
+        lambda s: _rec(
+            X.remove_literal(_get(s["r"], 1), X.BOARD_LABELS["file_number"]),
+            X.prefix(X.remove_literal(_get(s["r"], 4), X.BOARD_LABELS["received_date"]), 10),
+            None, s["p"], s["t"],
+            X.remove_literal(_get(s["r"], 3), X.BOARD_LABELS["development_description"]), None))
     line = _get(_f("address"), 1)
-    return F.when(F.size(_f("address")) > 0, F.array(_rec(
+    case = F.when(F.size(_f("address")) > 0, F.array(_rec(
         X.split_take(line, ":", 0), X.py_strip(_get(_f("strong"), 1)), None,
         _get(_f("party"), 1), X.split_take(line, ":", 1), _get(_f("summary"), 1), None,
     ))).otherwise(F.array().cast("array<array<string>>"))
-
-
-def consultation_dates(paras: Column) -> Column:
-    """Details joined on ';', re-split, stride 5, second item = date (EXT-8)."""
-    cleaned = F.transform(paras, lambda p: F.replace(p, F.lit(X.STRAY_ORGANISATION), F.lit("")))
-    items = F.split(F.array_join(cleaned, ";"), ";")
-    items = F.when(F.size(paras) > 0, items).otherwise(F.array().cast("array<string>"))
-    return F.transform(stride(items, WIDTH["links5"]), lambda r: _get(r, CONSULTATION_DATE_ITEM))
-
-
-def _link_records() -> Column:
-    z = F.arrays_zip(_f("anchor").alias("a"), _f("href").alias("h"),
-                     consultation_dates(_f("para")).alias("d"))
-    return F.transform(z, lambda s: _rec(
-        F.lit(X.NA_DECC), s["d"], None, F.lit("Gov Consultation"), F.lit(X.NA_DECC),
-        s["a"], s["h"]))
-
-
-def _sizes_agree() -> Column:
-    """Parallel lists must line up; the original raised on a mismatch (EXT-4..8)."""
-    lay = F.col("detected_layout")
-    cols4 = [F.size(_f(n)) for n in ("file_no", "received", "applicant", "address")]
-    return (F.when(lay == "columns4", F.greatest(*cols4) == F.least(*cols4))
-            .when(lay == "deflist4",
-                  F.size(_f("file_no")) == F.size(stride(_f("dd"), WIDTH["deflist4"])))
-            .when(lay == "cards6",
-                  (F.size(_f("title")) == F.size(stride(_f("details"), WIDTH["cards6"])))
-                  & (F.size(_f("title")) == F.size(_f("party"))))
-            .when(lay == "links5",
-                  (F.size(_f("anchor")) == F.size(consultation_dates(_f("para")))))
-            .otherwise(F.lit(True)))
+    dates = F.transform(ch, lambda r: _get(r, CONSULTATION_DATE_ITEM))
+    links = F.transform(
+        F.arrays_zip(_f("anchor").alias("a"), _f("href").alias("h"), dates.alias("d")),
+        lambda s: _rec(F.lit(X.NA_DECC), s["d"], None, F.lit("Gov Consultation"),
+                       F.lit(X.NA_DECC), s["a"], s["h"]))
+    recs = (F.when(lay == "table", table).when(lay == "grid5", grid)
+            .when(lay == "responsive7", resp).when(lay == "columns4", cols)
+            .when(lay == "deflist4", dl).when(lay == "cards6", cards)
+            .when(lay == "case1", case).when(lay == "links5", links))
+    # Parallel lists must line up; the original raised on a mismatch (EXT-4..8).
+    n_cols = [F.size(_f(n)) for n in ("file_no", "received", "applicant", "address")]
+    agree = (F.when(lay == "columns4", F.greatest(*n_cols) == F.least(*n_cols))
+             .when(lay == "deflist4", F.size(_f("file_no")) == F.size(ch))
+             .when(lay == "cards6", (F.size(_f("title")) == F.size(ch))
+                   & (F.size(_f("title")) == F.size(_f("party"))))
+             .when(lay == "links5", F.size(_f("anchor")) == F.size(ch))
+             .otherwise(F.lit(True)))
+    ok = (F.col("parse_status") == "ok") & agree
+    return recs, ok
 
 
 def page_records(parsed: DataFrame) -> DataFrame:
-    """Add ``records ARRAY<ARRAY<STRING>>`` and ``page_ok`` to parsed pages."""
+    """Add ``records ARRAY<ARRAY<STRING>>`` and ``page_ok`` to parsed pages.
+
+    Three projections on purpose: the flat list and width are computed once
+    as columns before the stride, because a lambda that refers to a derived
+    array would re-derive it for every record.
+    """
+    flat = parsed.withColumns(_flat_exprs())
+    chunks = flat.withColumn("_chunks", stride(F.col("_flat"), F.col("_width"))).drop("_flat")
     recs, ok = _record_exprs()
     # Bad pages get no records (they are reported by ``quarantine_pages``);
     # no Filter here, so the optimizer never copies the parse into a predicate.
     empty = F.array().cast("array<array<string>>")
-    return parsed.withColumn("page_ok", ok).withColumn(
-        "records", F.when(F.col("page_ok"), recs).otherwise(empty))
-
-
-@per_jvm
-def _record_exprs():
-    lay = F.col("detected_layout")
-    recs = (F.when(lay == "table", _table_records())
-            .when(lay == "grid5", _grid_records())
-            .when(lay == "responsive7", _responsive_records())
-            .when(lay == "columns4", _column_records())
-            .when(lay == "deflist4", _deflist_records())
-            .when(lay == "cards6", _card_records())
-            .when(lay == "case1", _case_records())
-            .when(lay == "links5", _link_records()))
-    ok = (F.col("parse_status") == "ok") & _sizes_agree()
-    return recs, ok
+    return (chunks.withColumn("page_ok", ok)
+            .withColumn("records", F.when(F.col("page_ok"), recs).otherwise(empty))
+            .drop("_chunks", "_width"))
 
 
 def explode_records(pages: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import text as X
 from ..functions.cache import per_jvm
+from ..session import materialize
 from ..functions.announce import DEFAULT_HELP_URL, DEFAULT_TAG, draft_announcement
 from ..operators import dedup, extract, filters, ordering, sets
 from ..schema import (CANONICAL8, CANONICAL9, DEADLINE_DAYS, HUMAN_COLUMNS, KEY6, LINEAGE,
@@ -104,7 +105,13 @@ def fresh_notices(captures: DataFrame, sources: DataFrame, as_of,
                   days: int | None = D.WINDOW_DAYS) -> DataFrame:
     """captures -> canonical9 + lineage: PIPE-1 + window + PIPE-2."""
     records, _ = extract_records(captures)
-    return combine(apply_window(normalise(records, sources), as_of, days))
+    normalised = normalise(records, sources)
+    if days is not None:
+        # The window reads the rows up to three times (listing filter, the
+        # consultations' cut-off aggregate and the rows it is joined to):
+        # checkpoint once so the pages are parsed once.
+        normalised = materialize(normalised)
+    return combine(apply_window(normalised, as_of, days))
 
 
 def master_from_text(master_text: DataFrame) -> DataFrame:

@@ -297,9 +297,12 @@ FROM nation CROSS JOIN (VALUES {", ".join(f"({i + 1}, '{k}')" for i, k in enumer
 def search_plan(spark, sf):
     n = FX.table(spark, sf, "nation")
     t = D.as_of_texts(AS_OF)
-    plan = n.select("n_nationkey", "n_name", F.inline(keyword_array(_KWS)))
+    # DD-5 natively: split, trim, drop blanks, first occurrence wins; the fan-out
+    # is an explode of that small array, not a join.
+    kws = dedup.ordered_keywords(F.lit(KEYWORD_PARAM))
+    plan = n.select("n_nationkey", "n_name", F.posexplode(kws).alias("pos", "keyword"))
     return plan.select(
-        "n_nationkey", F.col("keyword_rank").cast("bigint").alias("keyword_rank"), "keyword",
+        "n_nationkey", (F.col("pos") + 1).cast("bigint").alias("keyword_rank"), "keyword",
         F.concat(F.lit("https://planning.example.ie/"), F.lower("n_name"), F.lit("/search?q="),
                  X.encode_spaces("keyword"), F.lit("&from="), t["from_iso"], F.lit("&to="), t["to_iso"])
         .alias("request_url"))

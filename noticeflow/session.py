@@ -50,3 +50,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="noticeflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used where a plan would otherwise recompute an expensive upstream (page
+    parsing) for several consumers; survives executor loss, unlike caching.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
