@@ -275,6 +275,8 @@ def render_captures(orders: DataFrame, layout: str | None = None, as_of=AS_OF) -
     pages = pages.withColumn("source_id", sid).withColumn("url", url)
     return pages.join(F.broadcast(dim), "source_id").select(
         "source_id", "source_rank", "site_rank", "layout", "keyword", "keyword_rank",
-        F.lit(0).alias("list_pos"), "page_no", F.lit(1).alias("attempt"),
+        # single-case pages are numbered by order key: a list of their own
+        F.when(F.col("layout") == "case1", 1).otherwise(0).alias("list_pos"),
+        "page_no", F.lit(1).alias("attempt"),
         F.lit(as_of).alias("fetched_on"), "url",
         _page_html().alias("html"))

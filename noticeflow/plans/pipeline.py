@@ -17,17 +17,26 @@ from ..functions import text as X
 from ..functions.cache import per_jvm
 from ..session import materialize
 from ..functions.announce import DEFAULT_HELP_URL, DEFAULT_TAG, draft_announcement
-from ..operators import dedup, extract, filters, ordering, sets
+from ..operators import audit, dedup, extract, filters, ordering, sets
 from ..schema import (CANONICAL8, CANONICAL9, DEADLINE_DAYS, HUMAN_COLUMNS, KEY6, LINEAGE,
                       MASTER13, UNDECLARED_FORMATS, BOARD_CASE_BASE, CONSULTATION_BASE)
 
 PARSE_INPUT = ["source_id", "source_rank", "site_rank", "layout", "keyword", "keyword_rank",
-               "page_no", "url", "html"]
+               "list_pos", "page_no", "attempt", "url", "html"]
+PAGE_KEY = ["source_id", "keyword", "list_pos", "page_no"]
 
 
-def extract_records(captures: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, quarantined pages) from captures; the HTML is dropped after parsing."""
-    pages = extract.page_records(extract.parse_pages(captures.select(*PARSE_INPUT)))
+def extract_records(captures: DataFrame, latest_only: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(records, quarantined pages) from captures; the HTML is dropped after parsing.
+
+    ``latest_only`` keeps the newest attempt of every page (EXT-13: a retry's
+    data replaces the first try).  It runs on parsed pages, after the HTML is
+    gone, as a partial top-1 window, so the HTML itself is never shuffled.
+    """
+    parsed = extract.parse_pages(captures.select(*PARSE_INPUT))
+    if latest_only:
+        parsed = audit.latest_attempt(parsed, PAGE_KEY, "attempt")
+    pages = extract.page_records(parsed)
     return extract.explode_records(pages), extract.quarantine_pages(pages)
 
 

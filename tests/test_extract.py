@@ -132,3 +132,14 @@ def test_normalise_goldens(spark, captures):
     assert (c.file_number, c.received_date, c.url) == \
         ("N/A for DECC", dt.date(2021, 8, 1), "https://www.gov.ie/en/consultation/2/")
     assert n[(5, 0)].url == "https://example.ie/southdublin/SearchExact/Description"
+
+
+def test_latest_attempt_replaces_first_try(spark):
+    first = GRID.replace("K2", "K9")
+    rows = [("kildare", 2, 1, "grid5", "gas", 1, 0, 3, att, dt.date(2021, 9, 10), "u", html)
+            for att, html in [(1, first), (2, GRID)]]
+    caps = spark.createDataFrame(rows, CAPTURE_SCHEMA)
+    recs, _ = P.extract_records(caps)
+    assert sorted(r.raw_file_number for r in recs.collect()) == ["K1", "K2"]
+    recs_all, _ = P.extract_records(caps, latest_only=False)
+    assert sorted(r.raw_file_number for r in recs_all.collect()) == ["K1", "K1", "K2", "K9"]
