@@ -1,22 +1,46 @@
-"""Versioned master table (SRC-4, SRC-5, SNK-2, SNK-3).
+"""Versioned master table, incremental by received month (SRC-4, SRC-5, SNK-2, SNK-3).
 
-Each publish writes a complete new version directory ``v=<n>``; a version is
-visible once its ``_SUCCESS`` marker exists, and the newest visible version is
-the master.  Overwriting the table being read is impossible by construction,
-and every older version is the backup taken before a merge.
+Layout under ``root``::
+
+    data/v=<n>/received_month=<yyyy-MM | __none__>/part-*.parquet
+    manifest/v=<n>/part-*.parquet     (received_month, version) for every month
+
+A version becomes visible when its manifest is complete (``_SUCCESS``).  A
+merge rewrites only the months its batch touches -- exact, because the
+received date is part of the deduplication key, so duplicates always share a
+month -- and the manifest points every untouched month at the version that
+already holds it.  Nothing is overwritten in place, so every earlier version
+stays readable (it is the backup taken before each merge).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.text import fill_human_columns
 from ..schema import MASTER_SCHEMA
 
+MONTH = "received_month"
+NO_MONTH = "__none__"
+
+
+STORED_SCHEMA = T.StructType(MASTER_SCHEMA.fields + [
+    T.StructField("v", T.IntegerType()), T.StructField(MONTH, T.StringType())])
+
+
+def month_of(col: str = "received_date") -> Column:
+    return F.coalesce(F.date_format(F.col(col), "yyyy-MM"), F.lit(NO_MONTH))
+
 
 class MasterStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    # ------------------------------------------------------------ listing
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
@@ -24,7 +48,7 @@ class MasterStore:
 
     def versions(self) -> list[int]:
         fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
         if not fs.exists(root):
             return []
         out = []
@@ -35,20 +59,81 @@ class MasterStore:
                     out.append(int(name[2:]))
         return sorted(out)
 
-    def path(self, version: int) -> str:
-        return f"{self.root}/v={version:06d}"
+    def _data(self, version: int) -> str:
+        return f"{self.root}/data/v={version:06d}"
+
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.root}/manifest/v={version:06d}"
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """Latest (or a given) version; an empty table with the full schema if none (SNK-2)."""
+    def manifest(self, version: int | None = None) -> dict[str, int]:
+        """month -> version holding it (one small row per month)."""
         vs = self.versions()
-        if version is None and not vs:
-            return self.spark.createDataFrame([], MASTER_SCHEMA)
+        if not vs:
+            return {}
         v = vs[-1] if version is None else version
-        return self.spark.read.schema(MASTER_SCHEMA).parquet(self.path(v))
+        rows = self.spark.read.parquet(self._manifest_path(v)).collect()
+        return {r[MONTH]: int(r["version"]) for r in rows}
+
+    # ------------------------------------------------------------ read
+    def read(self, version: int | None = None, months: set[str] | None = None) -> DataFrame:
+        """The master (latest or a given version), optionally only some months.
+
+        An empty table with the full schema when nothing is published (SNK-2).
+        """
+        mf = self.manifest(version)
+        if months is not None:
+            mf = {m: v for m, v in mf.items() if m in months}
+        if not mf:
+            return self.spark.createDataFrame([], MASTER_SCHEMA)
+        # Read the few version folders and let partition pruning pick each
+        # month from the version that holds it.
+        by_version: dict[int, list[str]] = {}
+        for m, v in mf.items():
+            by_version.setdefault(v, []).append(m)
+        cond = None
+        for v, ms in sorted(by_version.items()):
+            c = (F.col("v").cast("int") == v) & F.col(MONTH).cast("string").isin(sorted(ms))
+            cond = c if cond is None else (cond | c)
+        df = (self.spark.read.schema(STORED_SCHEMA).option("basePath", f"{self.root}/data")
+              .parquet(*[self._data(v) for v in sorted(by_version)]))
+        return df.where(cond).select(*[F.col(f.name).cast(f.dataType) for f in MASTER_SCHEMA.fields])
+
+    # ------------------------------------------------------------ write
+    def _write(self, df: DataFrame, version: int, manifest: dict[str, int]) -> int:
+        # Stored rows are always in filled form (S-14 is idempotent), so months
+        # a merge does not touch look exactly like months it rewrites.
+        # Range-partition on (month, file number): each task writes a few
+        # neighbouring months, and a month with a third of all rows is still
+        # split over many tasks (no per-month funnel, no file per task x month).
+        out = fill_human_columns(df).select(*MASTER_SCHEMA.names, month_of().alias(MONTH))
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (out.repartitionByRange(n, MONTH, "file_number")
+         .write.mode("errorifexists").partitionBy(MONTH).parquet(self._data(version)))
+        rows = sorted(manifest.items())
+        self.spark.createDataFrame(rows, f"{MONTH} string, version int").coalesce(1) \
+            .write.mode("errorifexists").parquet(self._manifest_path(version))
+        return version
 
     def publish(self, df: DataFrame) -> int:
-        """Write the next version (never overwrite); returns its number (SNK-3)."""
+        """Write a complete new version (SNK-3); returns its number."""
+        vs = self.versions()
+        v = (vs[-1] + 1) if vs else 1
+        months = [r[0] for r in df.select(month_of()).distinct().collect()]
+        return self._write(df, v, {m: v for m in months})
+
+    def merge(self, fresh: DataFrame, merge_fn: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+        """Merge ``fresh`` into the latest version, rewriting only touched months.
+
+        The touched-month list is one row per month (bounded by the calendar,
+        not by the data), so it is safe to bring to the driver.
+        """
         vs = self.versions()
         v = (vs[-1] + 1) if vs else 1
-        df.select(*MASTER_SCHEMA.names).write.mode("errorifexists").parquet(self.path(v))
-        return v
+        current = self.manifest()
+        touched = {r[0] for r in fresh.select(month_of()).distinct().collect()}
+        if not touched:
+            return vs[-1] if vs else 0
+        merged = merge_fn(fresh, self.read(months=touched))
+        manifest = dict(current)
+        manifest.update({m: v for m in touched})
+        return self._write(merged, v, manifest)

@@ -21,9 +21,9 @@ FRESH_SCHEMA = T.StructType(CANONICAL9_SCHEMA.fields
 
 
 def merge_batch(store: MasterStore):
+    """foreachBatch handler: merge the batch into the months it touches."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        merged = P.merge_master(batch, store.read())
-        store.publish(merged)
+        store.merge(batch, P.merge_master)
     return handle
 
 

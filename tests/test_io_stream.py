@@ -33,6 +33,24 @@ def test_master_store_versions(spark, tmp_dir):
     assert store.read().count() == 2 and store.read(1).count() == 1
 
 
+def test_master_merge_rewrites_only_touched_months(spark, tmp_dir):
+    o = FX.table(spark, SF0001, "orders")
+    master = P.master_from_text(FX.existing_master_text(o)).select(*MASTER13)
+    store = MasterStore(spark, f"{tmp_dir}/master")
+    store.publish(master)
+    before = store.manifest()
+    fresh = FX.fresh(o).where(F.year("received_date") == 1998)
+    v = store.merge(fresh.select(*CANONICAL9, *LINEAGE), P.merge_master)
+    after = store.manifest()
+    assert v == 2
+    assert {m for m, ver in after.items() if ver == 2} == {m for m in after if m.startswith("1998")}
+    assert all(after[m] == before[m] for m in before if not m.startswith("1998"))
+    want = P.merge_master(fresh, master)
+    assert sorted((tuple(r) for r in store.read().collect()), key=repr) == \
+        sorted((tuple(r) for r in want.collect()), key=repr)
+    assert store.read(1).count() == master.count()
+
+
 def test_stream_equals_batch_and_replay_is_harmless(spark, tmp_dir):
     o = FX.table(spark, SF0001, "orders")
     fresh = FX.fresh(o)
