@@ -43,13 +43,29 @@ def take_while(df: DataFrame, by: list[str], order: list[str], stop: Column) ->
     joined back; AQE turns that join into a broadcast when the per-group
     table is small at run time, and splits a skewed partition otherwise.
     """
-    pos = F.struct(*[F.col(c) for c in order])
+    pos = _position(df, order)
     cut = (df.where(stop).groupBy(*by).agg(F.min(pos).alias("_first_stop")))
     joined = df.join(cut, on=by, how="left")
     return joined.where(F.col("_first_stop").isNull() | (pos < F.col("_first_stop"))) \
         .drop("_first_stop")
 
 
+def _position(df: DataFrame, order: list[str]) -> Column:
+    """Listing position as one comparable value.
+
+    One or two non-negative integer columns (page number, row) pack into a
+    BIGINT, so the cut-off is a hash aggregate; anything else falls back to
+    a struct (ordered field by field, planned as a sort aggregate).
+    """
+    types = dict(df.dtypes)
+    if len(order) == 1 and types[order[0]] in ("int", "bigint", "smallint", "tinyint"):
+        return F.col(order[0]).cast("bigint")
+    if len(order) == 2 and all(types[c] in ("int", "smallint", "tinyint") for c in order):
+        hi, lo = (F.col(c).cast("bigint") for c in order)
+        return F.shiftleft(hi, 32) + (lo + F.lit(1 << 31))
+    return F.struct(*[F.col(c) for c in order])
+
+
 def non_blank(df: DataFrame, col: str = "keyword") -> DataFrame:
     """Drop blank keywords (F-7)."""
     return df.where(F.trim(F.col(col)) != "")
