@@ -59,6 +59,20 @@ class MasterStore:
                     out.append(int(name[2:]))
         return sorted(out)
 
+    def _next_version(self) -> int:
+        """One past every version folder, visible or not: a publish that died
+        half-way (data without manifest) is skipped, never reused."""
+        fs, jvm = self._fs()
+        top = 0
+        for sub in ("data", "manifest"):
+            p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}")
+            if fs.exists(p):
+                for st in fs.listStatus(p):
+                    name = st.getPath().getName()
+                    if name.startswith("v="):
+                        top = max(top, int(name[2:]))
+        return top + 1
+
     def _data(self, version: int) -> str:
         return f"{self.root}/data/v={version:06d}"
 
@@ -116,8 +130,7 @@ class MasterStore:
 
     def publish(self, df: DataFrame) -> int:
         """Write a complete new version (SNK-3); returns its number."""
-        vs = self.versions()
-        v = (vs[-1] + 1) if vs else 1
+        v = self._next_version()
         months = [r[0] for r in df.select(month_of()).distinct().collect()]
         return self._write(df, v, {m: v for m in months})
 
@@ -128,11 +141,11 @@ class MasterStore:
         not by the data), so it is safe to bring to the driver.
         """
         vs = self.versions()
-        v = (vs[-1] + 1) if vs else 1
         current = self.manifest()
         touched = {r[0] for r in fresh.select(month_of()).distinct().collect()}
         if not touched:
             return vs[-1] if vs else 0
+        v = self._next_version()
         merged = merge_fn(fresh, self.read(months=touched))
         manifest = dict(current)
         manifest.update({m: v for m in touched})

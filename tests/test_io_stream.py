@@ -31,6 +31,10 @@ def test_master_store_versions(spark, tmp_dir):
     assert store.publish(one) == 1
     assert store.publish(one.union(one)) == 2
     assert store.read().count() == 2 and store.read(1).count() == 1
+    # a publish that died after writing data but before its manifest is skipped
+    one.write.parquet(f"{tmp_dir}/master/data/v=000003")
+    assert store.versions() == [1, 2] and store.publish(one) == 4
+    assert store.versions() == [1, 2, 4] and store.read().count() == 1
 
 
 def test_master_merge_rewrites_only_touched_months(spark, tmp_dir):
