@@ -6,7 +6,6 @@ them) and returns a DataFrame whose column names match the oracle SQL.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 
@@ -16,11 +15,10 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import text as X
 from ..operators import audit, dedup, filters, keywords, ordering, sets
-from ..schema import CANONICAL9, KEY6, LINEAGE, MASTER13, MASTER_TEXT_SCHEMA, sources_df
+from ..schema import CANONICAL9, KEY6, LINEAGE, MASTER13, sources_df
 from ..session import ensure_checkpoint_dir
 from ..sources import files as io_files
 from ..sources.master_store import MasterStore
-from ..sources.plan import keyword_array
 from ..streaming import refresh
 from . import fixtures as FX
 from . import oracle as O

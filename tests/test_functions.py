@@ -95,3 +95,19 @@ def test_announcement_rule(spark):
     text = got[0]
     assert "note proposed for Main St\nDeadline for submissions: 08 Sep\n\nRef No: F1\nLink: http://u" in text
     assert "proposed for DECC\nDeadline for submissions: 08 Sep\n\nLink: http://u" in got[1]
+
+
+def test_search_plan_over_sources_dimension(spark):
+    from noticeflow.schema import sources_df
+    from noticeflow.sources.plan import search_plan
+    from noticeflow.operators.keywords import keyword_list, keywords_df
+    kws = keyword_list(" data centre, gas,, data centre ,tunnel")
+    assert kws == ["data centre", "gas", "tunnel"]
+    assert [tuple(r) for r in keywords_df(spark, "a, b ,a").collect()] == [(1, "a"), (2, "b")]
+    plan = search_plan(sources_df(spark), kws, dt.date(2021, 9, 10)).collect()
+    keyed = [r for r in plan if r.keyword is not None]
+    assert len(keyed) == 31 * 3 and len(plan) == 31 * 3 + 2
+    agile = [r.request_url for r in plan if r.source_id == "fingal" and r.keyword == "gas"][0]
+    assert "%22proposal%22:%22gas%22" in agile and "2020-09-10" in agile and "2021-09-10" in agile
+    board = [r.request_url for r in plan if r.source_id == "board"][0]
+    assert board.endswith("year=2021")
