@@ -3,12 +3,12 @@
 Physical shape, whatever the mix of layouts:
 
 1. ``parse_pages`` turns each page into named string lists (``fields``) with
-   native regexes; only pages those cannot be trusted with (unbalanced tags,
-   numeric entities, scripts) go through an Arrow-batched Python reader;
-   the HTML is dropped right away;
-2. one native projection turns the lists into records, ``ARRAY<ARRAY<STRING>>``
-   with a common field order, using strides, slices and zips;
-3. one ``posexplode`` and one native projection give raw canonical rows.
+   native regexes; only pages the regexes cannot be trusted with (unbalanced
+   tags, numeric entities, scripts) go through an Arrow-batched Python
+   reader; the HTML is dropped right away;
+2. ``page_records`` turns the lists into records, ``ARRAY<ARRAY<STRING>>`` in
+   a common field order, with native strides, slices and zips;
+3. one ``posexplode_outer`` and one projection give raw canonical rows.
 
 No union of per-layout branches: every page is read exactly once.
 """
@@ -225,7 +225,7 @@ tolerant_reader = F.udf(_tolerant, _TOLERANT_TYPE, useArrow=True)
 
 
 def parse_pages(captures: DataFrame, native: bool = True) -> DataFrame:
-    """Page HTML -> ``fields MAP<STRING, ARRAY<STRING>>`` (+ layout, status).
+    """Page HTML -> ``fields STRUCT<name: ARRAY<STRING>, ...>`` (+ layout, status).
 
     Most pages are read by native regexes; only flagged pages carry their
     HTML into the Python reader (the other rows send NULL), so the Python
@@ -233,11 +233,17 @@ def parse_pages(captures: DataFrame, native: bool = True) -> DataFrame:
     Python reader (used by tests to compare both paths).
     """
     e = _parse_exprs(native)
-    flagged = captures.withColumn("_tolerant", e["flag"])
     keep = [c for c in captures.columns if c != "html"]
-    out = flagged.select(*keep, "_tolerant", e["slow"].alias("_slow"),
-                         e["detected"].alias("_detected"), e["fast"].alias("_fast"))
-    return out.select(*keep, *e["final"])
+    flagged = captures.withColumn("_tolerant", e["flag"])
+    # The native parse runs below the Python stage and the HTML is dropped
+    # there: the Arrow UDF node buffers its input rows, and only flagged
+    # pages still carry their HTML (``_html``) into it.
+    native = flagged.select(*keep, "_tolerant", e["detected"].alias("_detected"),
+                            e["fast"].alias("_fast"), e["slow_input"].alias("_html"))
+    both = native.select(*keep, "_tolerant", "_detected", "_fast",
+                         F.col("_fast").isNotNull().alias("_native_ok"),
+                         e["slow"].alias("_slow"))
+    return both.select(*keep, *e["final"])
 
 
 @per_jvm
@@ -245,14 +251,15 @@ def _parse_exprs(native: bool) -> dict:
     lay, html = F.col("layout"), F.col("html")
     return {
         "flag": needs_tolerant(lay, html) if native else html.isNotNull(),
-        "slow": tolerant_reader(lay, F.when(F.col("_tolerant"), html)),
+        "slow_input": F.when(F.col("_tolerant"), html),
+        "slow": tolerant_reader(F.col("layout"), F.col("_html")),
         "detected": (F.when(_is_list_page(lay, html), F.lit("cards6"))
                      .when(lay.isin("cards6", "case1"), F.lit("case1")).otherwise(lay)),
         "fast": F.when(~F.col("_tolerant"), native_fields(lay, html)),
         "final": [
             F.coalesce(F.col("_slow.detected_layout"), F.col("_detected")).alias("detected_layout"),
-            F.when(F.col("_tolerant"), F.coalesce(F.col("_slow.parse_status"), F.lit("error")))
-            .otherwise(F.lit("ok")).alias("parse_status"),
+            F.when(F.col("_native_ok"), F.lit("ok"))
+            .otherwise(F.coalesce(F.col("_slow.parse_status"), F.lit("error"))).alias("parse_status"),
             F.col("_slow.parse_error").alias("parse_error"),
             F.coalesce(F.col("_slow.fields"), F.col("_fast")).alias("fields"),
             F.col("_tolerant").alias("tolerant"),

@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
+from ..functions import text as X
 from ..functions.cache import per_jvm
+from ..operators.extract import TABLE_HEADERS
 from ..schema import (AGILE_TEMPLATE, BOARD_TEMPLATE, CONSULTATION_URL, KILDARE_URL,
                       SOUTH_DUBLIN_TEMPLATE, STANDARD_SITES, WEXFORD_URL, source_rows)
 
@@ -27,12 +29,6 @@ PAGE_KEYWORDS = ["data centre", "gas", "tunnel"]
 APP_KEYWORDS = ["data", "gas", "tunnel"]
 LAYOUTS = ["table", "grid5", "responsive7", "columns4", "deflist4", "cards6", "case1", "links5"]
 COUNCILS = ["dublincity", "fingal", "dunlaoghaire"]
-TABLE_HEADER_ROW = [
-    "File Number", "Application Status", "Decision Due Date", "Decision Date",
-    "Decision Code", "Received Date", "Applicant Name", "Development Address",
-    "Development Description", "Local Authority Name",
-]
-STRAY = "Department of Agriculture, Food and the Marine;"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -178,7 +174,7 @@ def _snippet() -> Column:
         _tag("ul", _tag("li", _tag("p", f["applicant"]))),
         _tag("p", f["description"], ' class="case-summary"'))
     para = F.concat(F.lit("Consultation;"), F.date_format("f_date", "d MMMM yyyy"), F.lit(";"),
-                    F.when(F.col("f_status") == "F", F.lit(STRAY)).otherwise(F.lit("")),
+                    F.when(F.col("f_status") == "F", F.lit(X.STRAY_ORGANISATION)).otherwise(F.lit("")),
                     F.lit("Department of the Environment;Open;Online"))
     link = _tag("li", F.concat(F.lit('<a href="/en/consultation/'), f["file"], F.lit('/">'),
                                f["description"], F.lit("</a>"), _tag("p", _esc(para))))
@@ -194,7 +190,7 @@ def _page_html() -> Column:
     lay = F.col("layout")
     head = F.lit("<!DOCTYPE html><html><head><title>Results</title></head><body>")
     tail = F.lit("</body></html>")
-    th = F.concat(*[F.lit(f"<th>{h}</th>") for h in TABLE_HEADER_ROW])
+    th = F.concat(*[F.lit(f"<th>{h}</th>") for h in TABLE_HEADERS])
     resp_head = F.concat(F.lit("<tr>"), *[F.lit(f"<td>H{i}</td>") for i in range(8)], F.lit("</tr>"))
     decoys = F.lit("".join(f"<ul><li><a href=\"/nav{i}\">Menu {i}</a></li></ul>" for i in range(6)))
     inner = (
