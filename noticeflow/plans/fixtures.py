@@ -241,6 +241,17 @@ def _capture_source(as_of) -> tuple[Column, Column]:
     return sid, url
 
 
+@per_jvm
+def _source_ranks() -> dict[str, Column]:
+    """source_id -> (source_rank, site_rank) from the fixed source list, as map lookups."""
+    rank, site = [], []
+    for r in source_rows():
+        rank += [F.lit(r[0]), F.lit(r[1])]
+        site += [F.lit(r[0]), F.lit(r[2])]
+    return {"source_rank": F.element_at(F.create_map(*rank), F.col("source_id")).cast("int"),
+            "site_rank": F.element_at(F.create_map(*site), F.col("source_id")).cast("int")}
+
+
 def render_captures(orders: DataFrame, layout: str | None = None, as_of=AS_OF) -> DataFrame:
     """Captured pages (capture schema) rendered from ``orders`` in Spark.
 
@@ -266,10 +277,9 @@ def render_captures(orders: DataFrame, layout: str | None = None, as_of=AS_OF) -
         F.when(keyed, F.element_at(F.array(*map(F.lit, PAGE_KEYWORDS)), kw_idx)).alias("keyword"),
         F.when(keyed, kw_idx).otherwise(F.lit(0)).cast("int").alias("keyword_rank"))
     sid, url = _capture_source(as_of)
-    dim = orders.sparkSession.createDataFrame(
-        [(r[0], r[1], r[2]) for r in source_rows()], "source_id string, source_rank int, site_rank int")
-    pages = pages.withColumn("source_id", sid).withColumn("url", url)
-    return pages.join(F.broadcast(dim), "source_id").select(
+    ranks = _source_ranks()
+    pages = pages.withColumn("source_id", sid).withColumn("url", url).withColumns(ranks)
+    return pages.select(
         "source_id", "source_rank", "site_rank", "layout", "keyword", "keyword_rank",
         # single-case pages are numbered by order key: a list of their own
         F.when(F.col("layout") == "case1", 1).otherwise(0).alias("list_pos"),

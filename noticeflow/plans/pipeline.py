@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -40,15 +40,36 @@ def extract_records(captures: DataFrame, latest_only: bool = True) -> tuple[Data
     return extract.explode_records(pages), extract.quarantine_pages(pages)
 
 
-def normalise(records: DataFrame, sources: DataFrame) -> DataFrame:
-    """Raw records -> canonical columns + lineage + class (PIPE-1).
+MAX_SOURCES = 10_000
+
 
-    ``sources`` is the fixed 33-row dimension, broadcast by construction.
+def source_lookup(sources: DataFrame) -> dict[str, Column]:
+    """The sources dimension as literal maps keyed by ``source_id``.
+
+    The dimension is small by construction (one row per listing site); its
+    size is checked before it is brought to the driver, and a literal map
+    lookup keeps the plan free of joins (a join on a constant key would
+    otherwise become a nested-loop join).
     """
-    dim = sources.select("source_id", F.col("authority").alias("_authority"),
-                         F.col("class").alias("source_class"), "deadline_days")
-    r = records.join(F.broadcast(dim), "source_id", "left")
-    return r.select(*_normalise_exprs())
+    n = sources.count()
+    if n > MAX_SOURCES:
+        raise ValueError(f"sources dimension has {n} rows; expected at most {MAX_SOURCES}")
+    rows = sources.select("source_id", "authority", "class", "deadline_days").collect()
+
+    def lookup(col: str, cast: str) -> Column:
+        pairs = []
+        for r in rows:
+            pairs += [F.lit(r["source_id"]), F.lit(r[col]).cast(cast)]
+        return F.element_at(F.create_map(*pairs), F.col("source_id")) if pairs else F.lit(None).cast(cast)
+
+    return {"_authority": lookup("authority", "string"),
+            "source_class": lookup("class", "string"),
+            "deadline_days": lookup("deadline_days", "int")}
+
+
+def normalise(records: DataFrame, sources: DataFrame) -> DataFrame:
+    """Raw records -> canonical columns + lineage + class (PIPE-1)."""
+    return records.withColumns(source_lookup(sources)).select(*_normalise_exprs())
 
 
 @per_jvm
