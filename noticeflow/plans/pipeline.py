@@ -26,20 +26,46 @@ PARSE_INPUT = ["source_id", "source_rank", "site_rank", "layout", "keyword", "ke
 PAGE_KEY = ["source_id", "keyword", "list_pos", "page_no"]
 
 
+MAX_BROADCAST_RETRIES = 200_000
+
+
 def extract_records(captures: DataFrame, latest_only: bool = True) -> tuple[DataFrame, DataFrame]:
     """(records, quarantined pages) from captures; the HTML is dropped after parsing.
 
     ``latest_only`` keeps the newest attempt of every page (EXT-13: a retry's
-    data replaces the first try).  It runs on parsed pages, after the HTML is
-    gone, as a partial top-1 window, so the HTML itself is never shuffled.
+    data replaces the first try), see ``drop_superseded``.
     """
     parsed = extract.parse_pages(captures.select(*PARSE_INPUT))
     if latest_only:
-        parsed = audit.latest_attempt(parsed, PAGE_KEY, "attempt")
+        parsed = drop_superseded(captures, parsed)
     pages = extract.page_records(parsed)
     return extract.explode_records(pages), extract.quarantine_pages(pages)
 
 
+def drop_superseded(captures: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Remove parsed pages for which a later attempt of the same page exists.
+
+    Which pages were retried is found from the capture *metadata* only (key
+    columns and attempt; no HTML is read): an aggregate with map-side
+    partials.  Nothing retried -> no join at all.  Few retried pages (count
+    checked, bounded by ``MAX_BROADCAST_RETRIES``) -> broadcast join, so the
+    parsed pages are not shuffled.  Otherwise a partial top-1 window.
+    """
+    kw = F.coalesce(F.col("keyword"), F.lit(""))  # NULL keywords must still match
+    key = ["source_id", "_kw", "list_pos", "page_no"]
+    retried = (captures.select(*PAGE_KEY, "attempt").withColumn("_kw", kw)
+               .groupBy(*key).agg(F.max("attempt").alias("_latest"), F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > 1).select(*key, "_latest"))
+    n = retried.limit(MAX_BROADCAST_RETRIES + 1).count()
+    if n == 0:
+        return parsed
+    if n > MAX_BROADCAST_RETRIES:
+        return audit.latest_attempt(parsed, PAGE_KEY, "attempt")
+    joined = parsed.withColumn("_kw", kw).join(F.broadcast(retried), key, "left")
+    return (joined.where(F.col("_latest").isNull() | (F.col("attempt") == F.col("_latest")))
+            .drop("_kw", "_latest"))
+
+
 MAX_SOURCES = 10_000
 
 
@@ -144,12 +170,18 @@ def fresh_notices(captures: DataFrame, sources: DataFrame, as_of,
     return combine(apply_window(normalised, as_of, days))
 
 
-def master_from_text(master_text: DataFrame) -> DataFrame:
-    """Master exported as text: parse both date columns in any dialect (D-4)."""
-    return master_text.withColumns({
+def master_from_text(master_text: DataFrame, keep_order: bool = False) -> DataFrame:
+    """Master exported as text: parse both date columns in any dialect (D-4).
+
+    ``keep_order`` adds ``master_pos`` (file order as read: partition index in
+    the high bits, row within the split below), so that duplicate keys inside
+    the sheet itself resolve to the later row, as keep-last does.
+    """
+    out = master_text.withColumns({
         "received_date": D.parse_master_date("received_date"),
         "deadline": D.parse_master_date("deadline"),
     })
+    return out.withColumn("master_pos", F.monotonically_increasing_id()) if keep_order else out
 
 
 def merge_master(fresh: DataFrame, master: DataFrame) -> DataFrame:
@@ -160,9 +192,11 @@ def merge_master(fresh: DataFrame, master: DataFrame) -> DataFrame:
     """
     f = fresh.select(*CANONICAL9, *[c for c in LINEAGE if c in fresh.columns]) \
         .withColumn("is_existing", F.lit(0))
-    m = master.select(*MASTER13).withColumn("is_existing", F.lit(1))
+    extra = ["master_pos"] if "master_pos" in master.columns else []
+    m = master.select(*MASTER13, *extra).withColumn("is_existing", F.lit(1))
     both = sets.append_missing(f, m)
-    merged = dedup.keep_existing(both, [c for c in LINEAGE if c in both.columns])
+    order = [c for c in LINEAGE if c in both.columns] + extra
+    merged = dedup.keep_existing(both, order)
     return X.fill_human_columns(merged.select(*MASTER13))
 
 

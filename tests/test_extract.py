@@ -143,3 +143,12 @@ def test_latest_attempt_replaces_first_try(spark):
     assert sorted(r.raw_file_number for r in recs.collect()) == ["K1", "K2"]
     recs_all, _ = P.extract_records(caps, latest_only=False)
     assert sorted(r.raw_file_number for r in recs_all.collect()) == ["K1", "K1", "K2", "K9"]
+
+
+def test_latest_attempt_with_null_keyword(spark):
+    first = CASE.replace("ABP-9", "ABP-8")
+    rows = [("board", 8, 1, "cards6", None, 0, 2, 5, att, dt.date(2021, 9, 10), "u", html)
+            for att, html in [(1, first), (3, CASE)]]
+    caps = spark.createDataFrame(rows, CAPTURE_SCHEMA)
+    recs, _ = P.extract_records(caps)
+    assert [r.raw_file_number for r in recs.collect()] == ["ABP-9"]

@@ -73,3 +73,16 @@ def test_flagship_entry_runs(spark):
     assert len(rows) > 0
     drafts = {r.draft_announcement.split("\n")[0] if r.draft_announcement else None for r in rows}
     assert "No Tweet" in drafts
+
+
+def test_duplicate_keys_inside_master_keep_the_later_row(spark, tmp_dir):
+    from noticeflow.schema import MASTER_TEXT_SCHEMA
+    from noticeflow.sources import files
+    row = ["7", "05/09/2021", "C", "07/10/2021", "A", "B", "D", "u", "gas"]
+    df = spark.createDataFrame([tuple(row + ["first", "Yes", "-", None]),
+                                tuple(row + ["second", "Yes", "-", None])], MASTER_TEXT_SCHEMA)
+    files.write_csv(df.coalesce(1), f"{tmp_dir}/m")
+    master = P.master_from_text(files.read_csv(spark, f"{tmp_dir}/m", MASTER_TEXT_SCHEMA), keep_order=True)
+    fresh = FX.fresh(FX.table(spark, SF0001, "orders")).limit(0)
+    merged = P.merge_master(fresh, master).collect()
+    assert [r.comments for r in merged] == ["second"]
