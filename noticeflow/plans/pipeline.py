@@ -1,7 +1,8 @@
 """Composite pipelines (PIPE-1..PIPE-5).
 
-captures -> parse (one Python stage) -> records -> normalise -> combine
--> merge with the master -> announce -> publish.  Every function returns a
+captures -> parse (native regexes, Python only for flagged pages) -> records
+-> normalise -> window -> combine -> merge with the master -> announce ->
+publish.  Every function returns a
 lazy DataFrame; Catalyst sees the whole plan.
 """
 
@@ -14,18 +15,16 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as X
-from ..functions.cache import per_jvm
-from ..session import materialize
 from ..functions.announce import DEFAULT_HELP_URL, DEFAULT_TAG, draft_announcement
+from ..functions.cache import per_jvm
 from ..operators import audit, dedup, extract, filters, ordering, sets
-from ..schema import (CANONICAL8, CANONICAL9, DEADLINE_DAYS, HUMAN_COLUMNS, KEY6, LINEAGE,
-                      MASTER13, UNDECLARED_FORMATS, BOARD_CASE_BASE, CONSULTATION_BASE)
+from ..schema import (BOARD_CASE_BASE, CANONICAL9, CONSULTATION_BASE, DEADLINE_DAYS, KEY6,
+                      LINEAGE, MASTER13, UNDECLARED_FORMATS)
+from ..session import materialize
 
 PARSE_INPUT = ["source_id", "source_rank", "site_rank", "layout", "keyword", "keyword_rank",
                "list_pos", "page_no", "attempt", "url", "html"]
 PAGE_KEY = ["source_id", "keyword", "list_pos", "page_no"]
-
-
 MAX_BROADCAST_RETRIES = 200_000
 
 
