@@ -44,7 +44,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     names = docs.columns
     out = suffix_dedup.repeated_passages(docs.withColumn("_null", F.col("text").isNull()), length=50,
                                          carry=[c for c in names if c not in ("doc_id", "text")] + ["_null"])
-    text = F.when(~F.col("_null"), F.decode(F.col("kept"), "UTF-8"))
+    text = F.when(~F.col("_null"), F.make_valid_utf8(F.col("kept").cast("string")))
     return out.select(*[text.alias("text") if c == "text" else
                         F.length(text).cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in names])
 
