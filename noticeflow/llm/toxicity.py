@@ -184,9 +184,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, default: float =
     share = {1: min(1.0, sample / 3 / max(1, count.get(1, 0))), 0: min(1.0, sample * 2 / 3 / max(1, count.get(0, 0)))}
     drawn = marked.where(F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 20))
                          < F.when(F.col("toxic") == 1, share[1] * (1 << 20)).otherwise(share[0] * (1 << 20)))
-    texts = docs.join(F.broadcast(drawn), "doc_id").select(  # bounded by ``sample``
-        F.col("toxic").cast("int").alias("toxic"), F.col("lang").cast("string").alias("lang"),
-        F.col("text").cast("string").alias("text"))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    mine = docs.select("doc_id", lang.alias("lang"), F.col("text").cast("string").alias("text"))
+    texts = mine.join(F.broadcast(drawn), "doc_id").select(  # bounded by ``sample``
+        F.col("toxic").cast("int").alias("toxic"), "lang", "text")
     rows = map_arrow(texts, _sample_ids, "toxic int, lang string, ids binary").toPandas()
     rows["key"] = [zlib.crc32(x) for x in rows["ids"]]
     rows = rows.sort_values(["key", "toxic"], kind="stable")  # the same model whatever the order of the rows
