@@ -37,8 +37,14 @@ def keep_last_key7(df: DataFrame, order: list[str] = LINEAGE) -> DataFrame:
 
 
 def keep_existing(df: DataFrame, order: list[str] = LINEAGE) -> DataFrame:
-    """Master precedence (DD-4): existing (annotated) rows come after fresh ones."""
-    return keep_last(df, KEY6, ["is_existing"] + list(order))
+    """Master precedence (DD-4): existing (annotated) rows come after fresh ones.
+
+    A blank key cell and a missing one are the same key: pages give the one,
+    a sheet export the other.
+    """
+    types = dict(df.dtypes)
+    keys = {f"_k{i}": F.nullif(F.col(c), F.lit("")) if types[c] == "string" else F.col(c) for i, c in enumerate(KEY6)}
+    return keep_last(df.withColumns(keys), list(keys), ["is_existing"] + list(order)).drop(*keys)
 
 
 def ordered_keywords(text: Column) -> Column:

@@ -218,7 +218,7 @@ def _tolerant(layout, html):
                 "fields": {n: named.get(n) for n in FIELD_NAMES}}
     except Exception as exc:  # one bad page must not stop the job
         return {"detected_layout": layout, "parse_status": "error",
-                "parse_error": f"{type(exc).__name__}: {exc}"[:500], "fields": None}
+                "parse_error": f"{type(exc).__name__}: {exc}", "fields": None}
 
 
 tolerant_reader = F.udf(_tolerant, _TOLERANT_TYPE, useArrow=True)

@@ -59,9 +59,10 @@ def _position(df: DataFrame, order: list[str]) -> Column:
     """
     types = dict(df.dtypes)
     if len(order) == 1 and types[order[0]] in ("int", "bigint", "smallint", "tinyint"):
-        return F.col(order[0]).cast("bigint")
+        return F.coalesce(F.col(order[0]).cast("bigint"), F.lit(0))
     if len(order) == 2 and all(types[c] in ("int", "smallint", "tinyint") for c in order):
-        hi, lo = (F.col(c).cast("bigint") for c in order)
+        # a listing without page numbers is one page
+        hi, lo = (F.coalesce(F.col(c).cast("bigint"), F.lit(0)) for c in order)
         return F.shiftleft(hi, 32) + (lo + F.lit(1 << 31))
     return F.struct(*[F.col(c) for c in order])
 

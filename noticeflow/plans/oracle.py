@@ -178,7 +178,8 @@ notices AS (
     if not window:
         return base, f"SELECT {cols} FROM notices"
     sel = f"""
-SELECT {cols} FROM notices WHERE layout <> 'links5' AND received_date >= {WINDOW_FROM_SQL}
+SELECT {cols} FROM notices WHERE layout IN ('cards6', 'case1')
+  OR (layout <> 'links5' AND received_date >= {WINDOW_FROM_SQL})
 UNION ALL
 SELECT {cols} FROM (
   SELECT *, max(CASE WHEN received_date <= {WINDOW_FROM_SQL} THEN 1 ELSE 0 END)

@@ -25,7 +25,8 @@ from ..session import materialize
 PARSE_INPUT = ["source_id", "source_rank", "site_rank", "layout", "keyword", "keyword_rank",
                "list_pos", "page_no", "attempt", "url", "html"]
 PAGE_KEY = ["source_id", "keyword", "list_pos", "page_no"]
-MAX_BROADCAST_RETRIES = 200_000
+MAX_BROADCAST_RETRIES = 200_000  # beyond, both sides are shuffled
+LITERAL_SOURCES = 1_000  # beyond, the sources are joined
 
 
 def extract_records(captures: DataFrame, latest_only: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -34,67 +35,59 @@ def extract_records(captures: DataFrame, latest_only: bool = True) -> tuple[Data
     ``latest_only`` keeps the newest attempt of every page (EXT-13: a retry's
     data replaces the first try), see ``drop_superseded``.
     """
-    parsed = extract.parse_pages(captures.select(*PARSE_INPUT))
     if latest_only:
-        parsed = drop_superseded(captures, parsed)
+        captures = drop_superseded(captures)
+    parsed = extract.parse_pages(captures.select(*PARSE_INPUT))
     pages = extract.page_records(parsed)
     return extract.explode_records(pages), extract.quarantine_pages(pages)
 
 
-def drop_superseded(captures: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Remove parsed pages for which a later attempt of the same page exists.
+def drop_superseded(captures: DataFrame) -> DataFrame:
+    """Captures of each page's latest attempt (EXT-13), before anything is parsed.
 
-    Which pages were retried is found from the capture *metadata* only (key
-    columns and attempt; no HTML is read): an aggregate with map-side
-    partials.  Nothing retried -> no join at all.  Few retried pages (count
-    checked, bounded by ``MAX_BROADCAST_RETRIES``) -> broadcast join, so the
-    parsed pages are not shuffled.  Otherwise a partial top-1 window.
+    A page is its source, keyword, list and page number; without a page number
+    its URL stands in.  Missing values are equal to each other.  Of captures
+    with the same latest attempt all stay (their records meet in the
+    deduplication); a missing attempt is older than any other.
+
+    Which pages were retried is found from the capture metadata only.  The
+    result is the same whatever their number: it is counted to decide whether
+    they may be broadcast, or Spark shuffles both sides.
     """
-    kw = F.coalesce(F.col("keyword"), F.lit(""))  # NULL keywords must still match
-    key = ["source_id", "_kw", "list_pos", "page_no"]
-    retried = (captures.select(*PAGE_KEY, "attempt").withColumn("_kw", kw)
-               .groupBy(*key).agg(F.max("attempt").alias("_latest"), F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") > 1).select(*key, "_latest"))
+    key = {"_source": F.col("source_id"), "_kw": F.col("keyword"), "_list": F.col("list_pos").cast("string"),
+           "_page": F.coalesce(F.concat(F.lit("p"), F.col("page_no").cast("string")),
+                               F.concat(F.lit("u"), F.col("url")))}
+    # a marked text, so that a missing value equals itself in the join
+    key = {n: F.coalesce(F.concat(F.lit("="), c), F.lit("")) for n, c in key.items()}
+    attempt = F.coalesce(F.col("attempt"), F.lit(-1))
+    retried = (captures.select(*[c.alias(n) for n, c in key.items()], attempt.alias("_attempt"))
+               .groupBy(*key).agg(F.max("_attempt").alias("_latest"), F.min("_attempt").alias("_first"))
+               .where("_latest <> _first").select(*key, "_latest"))
     n = retried.limit(MAX_BROADCAST_RETRIES + 1).count()
     if n == 0:
-        return parsed
-    if n > MAX_BROADCAST_RETRIES:
-        return audit.latest_attempt(parsed, PAGE_KEY, "attempt")
-    joined = parsed.withColumn("_kw", kw).join(F.broadcast(retried), key, "left")
-    return (joined.where(F.col("_latest").isNull() | (F.col("attempt") == F.col("_latest")))
-            .drop("_kw", "_latest"))
-
-
-MAX_SOURCES = 10_000
-
-
-def source_lookup(sources: DataFrame) -> dict[str, Column]:
-    """The sources dimension as literal maps keyed by ``source_id``.
-
-    The dimension is small by construction (one row per listing site); its
-    size is checked before it is brought to the driver, and a literal map
-    lookup keeps the plan free of joins (a join on a constant key would
-    otherwise become a nested-loop join).
-    """
-    rows = (sources.select("source_id", "authority", "class", "deadline_days")
-            .limit(MAX_SOURCES + 1).collect())
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"sources dimension has more than {MAX_SOURCES} rows")
-
-    def lookup(col: str, cast: str) -> Column:
-        pairs = []
-        for r in rows:
-            pairs += [F.lit(r["source_id"]), F.lit(r[col]).cast(cast)]
-        return F.element_at(F.create_map(*pairs), F.col("source_id")) if pairs else F.lit(None).cast(cast)
-
-    return {"_authority": lookup("authority", "string"),
-            "source_class": lookup("class", "string"),
-            "deadline_days": lookup("deadline_days", "int")}
+        return captures
+    side = F.broadcast(retried) if n <= MAX_BROADCAST_RETRIES else retried
+    joined = captures.withColumns({**key, "_attempt": attempt}).join(side, list(key), "left")
+    return (joined.where(F.col("_latest").isNull() | (F.col("_attempt") == F.col("_latest")))
+            .select(*captures.columns))
 
 
 def normalise(records: DataFrame, sources: DataFrame) -> DataFrame:
     """Raw records -> canonical columns + lineage + class (PIPE-1)."""
-    return records.withColumns(source_lookup(sources)).select(*_normalise_exprs())
+    about = sources.select("source_id", F.col("authority").alias("_authority"), F.col("class").alias("source_class"),
+                           F.col("deadline_days").cast("int").alias("deadline_days"))
+    # A fixed dimension of some rows goes into the plan as literal maps: a join on the key of a single
+    # source, a constant, would become a nested loop.  A larger one is joined; the result is the same.
+    rows = about.limit(LITERAL_SOURCES + 1).collect()
+    if len(rows) > LITERAL_SOURCES:
+        return records.join(about, "source_id", "left").select(*_normalise_exprs())
+    return records.withColumns({c: _lookup(rows, c, about.schema[c].dataType.simpleString())
+                                for c in ("_authority", "source_class", "deadline_days")}).select(*_normalise_exprs())
+
+
+def _lookup(rows: list, col: str, kind: str) -> Column:
+    pairs = [x for r in rows for x in (F.lit(r["source_id"]), F.lit(r[col]).cast(kind))]
+    return F.element_at(F.create_map(*pairs), F.col("source_id")) if pairs else F.lit(None).cast(kind)
 
 
 @per_jvm
@@ -137,16 +130,19 @@ def bad_dates(normalised: DataFrame) -> DataFrame:
 
 def apply_window(normalised: DataFrame, as_of, days: int | None = D.WINDOW_DAYS) -> DataFrame:
     """Recent notices only: inclusive window for listings (F-2); consultations are
-    read newest-first and stop at the first old one (F-5)."""
+    read newest-first and stop at the first old one (F-5).  Board cases have no
+    window: their lists are those of the current year already (F-6)."""
     good = normalised.where(F.col("received_date").isNotNull())
     if days is None:
         return good
-    listing = filters.recent(good.where(F.col("detected_layout") != "links5"), as_of, days=days)
+    listing = filters.recent(good.where(~F.col("detected_layout").isin("links5", "cards6", "case1")),
+                             as_of, days=days)
+    board = good.where(F.col("detected_layout").isin("cards6", "case1"))
     cut = D.window_start(as_of, days)
     consult = filters.take_while(good.where(F.col("detected_layout") == "links5"),
                                  by=["source_id"], order=["page_no", "row_pos"],
                                  stop=F.col("received_date") <= cut)
-    return sets.append(listing, consult)
+    return sets.append(sets.append(listing, board), consult)
 
 
 def combine(normalised: DataFrame) -> DataFrame:

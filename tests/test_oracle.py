@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from noticeflow.plans import queries as Q
 from tests.conftest import SF0001
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -35,11 +36,11 @@ def _digest(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert not missing
+    missing = set(Q.queries()) - set(E.oracle_sql())
+    assert not missing and set(Q.queries()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(Q.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF0001)
     srows = [tuple(r) for r in df.collect()]
