@@ -144,6 +144,19 @@ def _table_texts(nodes):
     return [_RUNS.sub(" ", n.text(False)).strip() for n in nodes]
 
 
+def _within(node: Node, tag: str) -> Node | None:
+    """The nearest enclosing element of that tag."""
+    up = node.parent
+    while up is not None and up.tag != tag:
+        up = up.parent
+    return up
+
+
+def _own(holder: Node, tag: str) -> list[Node]:
+    """Elements of that tag in ``holder``, without those of a nested holder."""
+    return [n for n in holder.find_all(tag) if _within(n, holder.tag) is holder]
+
+
 def extract_layout(layout: str, html: str) -> tuple[str, dict[str, list[str]]]:
     """Return (detected layout, named string lists) for one page."""
     root = parse(html)
@@ -151,12 +164,12 @@ def extract_layout(layout: str, html: str) -> tuple[str, dict[str, list[str]]]:
         tbl = root.find("table", "table")
         if tbl is None:
             return layout, {"headers": [], "cells": []}
-        return layout, {"headers": _table_texts(tbl.find_all("th")),
-                        "cells": _table_texts(tbl.find_all("td"))}
+        return layout, {"headers": _table_texts(_own(tbl, "th")),
+                        "cells": _table_texts(_own(tbl, "td"))}
     if layout in ("grid5", "responsive7"):
         cells = []
         for tr in root.find_all("tr"):
-            cells.extend(_texts(tr.find_all("td")))
+            cells.extend(_texts(_own(tr, "td")))
         return layout, {"cells": cells}
     if layout == "columns4":
         return layout, {name: _texts(root.find_all("div", style=st))
@@ -182,8 +195,7 @@ def extract_layout(layout: str, html: str) -> tuple[str, dict[str, list[str]]]:
                               "party": party}
         addr, strong = root.find("p", "address"), root.find("strong")
         summary = root.find("p", "case-summary")
-        party = root.find("li")
-        party_p = party.find("p") if party is not None else None
+        party_p = next((p for p in (li.find("p") for li in root.find_all("li")) if p is not None), None)
         return "case1", {
             "address": [addr.text(False)] if addr else [],
             "strong": [strong.text(False)] if strong else [],

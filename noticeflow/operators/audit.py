@@ -42,6 +42,22 @@ def capture_status(html: Column, markers: list[str] = NO_RESULT_MARKERS) -> Colu
             .otherwise(F.lit("ok")))
 
 
+def shows_no_results(html: Column, markers: list[str] = NO_RESULT_MARKERS) -> Column:
+    """The page says that nothing was found; a marker that is not displayed does not count (EXT-11)."""
+    shown = F.regexp_replace(html, r"(?i)<[^<>]*(?:display\s*:\s*none|\shidden[\s>=])[^<>]*>?[^<]*", "")
+    found = F.lit(False)
+    for m in markers:
+        found = found | F.contains(shown, F.lit(m))
+    return found
+
+
+def page_status() -> Column:
+    """Status of parsed pages (``extract.page_records``): error / ok / no_results / empty (EXT-11)."""
+    return (F.when(~F.col("page_ok"), F.lit("error"))
+            .when(F.size("records") > 0, F.lit("ok"))
+            .when(F.col("no_results"), F.lit("no_results")).otherwise(F.lit("empty")))
+
+
 def error_report(df: DataFrame, by: list[str], status_col: str = "status") -> DataFrame:
     """Per-source status counts (EXT-12): every source reported, none stops the run."""
     return df.groupBy(*by, status_col).agg(F.count(F.lit(1)).alias("n"))

@@ -6,6 +6,7 @@ Physical shape, whatever the mix of layouts:
    native regexes; only pages the regexes cannot be trusted with (unbalanced
    tags, numeric entities, scripts) go through an Arrow-batched Python
    reader; the HTML is dropped right away;
+   (scripts, styles and comments are cut in the JVM before either reader);
 2. ``page_records`` turns the lists into records, ``ARRAY<ARRAY<STRING>>`` in
    a common field order, with native strides, slices and zips;
 3. one ``posexplode_outer`` and one projection give raw canonical rows.
@@ -24,6 +25,7 @@ from ..functions import html as _html
 from ..functions import text as X
 from ..functions.cache import per_jvm
 from ..functions.html import extract_layout
+from .audit import shows_no_results
 
 try:  # ship the page reader with the task closure, so executors need no install
     from pyspark import cloudpickle as _cp
@@ -54,7 +56,18 @@ RESPONSIVE_HEADER_CELLS = 8
 CONSULTATION_DATE_ITEM = 2  # 1-based: second ';' item is the date
 
 
+# Columns of a parsed page that its records and reports do not carry on.
+PAGE_ONLY = ("fields", "records", "page_ok", "parse_status", "parse_error", "tolerant", "no_results")
+NO_RECORDS = "no records and no sign of an empty result"
+
+
 # ---------------------------------------------------------------- stage 1
+def visible_html(html: Column) -> Column:
+    """The page without scripts, styles and comments, whose text may look like tags."""
+    hidden = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->"
+    return F.when(html.rlike(r"(?i)<script|<style|<!--"), F.regexp_replace(html, hidden, "")).otherwise(html)
+
+
 # Native path: regular expressions evaluated in the JVM (codegen, no Python).
 def _attr_re(attr: str, value: str) -> str:
     return r"\b" + attr + r'\s*=\s*"(?:[^"]*\s)?' + value + r'(?:\s[^"]*)?"'
@@ -133,7 +146,8 @@ def native_fields(layout: Column, html: Column) -> Column:
     cards = F.filter(_inner(html, "a"), lambda b: b.rlike(title_re))
     party = F.transform(cards, lambda b: X.py_strip(text_raw(
         F.regexp_extract(b, r"(?is)<ul\b[^>]*>.*?<li\b[^>]*>(.*?)</li\s*>", 1))))
-    li_p = F.regexp_extract(html, r"(?is)<li\b[^>]*>\s*<p\b[^>]*>(.*?)</p\s*>", 1)
+    with_p = F.filter(_inner(html, "li"), lambda b: b.rlike(r"(?i)<p[\s>]"))
+    li_p = F.regexp_extract(F.coalesce(F.get(with_p, F.lit(0)), F.lit("")), r"(?is)<p\b[^>]*>(.*?)</p\s*>", 1)
     uls = _inner(html, "ul")
     lst = F.coalesce(F.try_element_at(uls, F.lit(_html.CONSULTATION_LIST_INDEX + 1)), F.lit(""))
     has_list = F.size(uls) > _html.CONSULTATION_LIST_INDEX
@@ -165,11 +179,11 @@ def native_fields(layout: Column, html: Column) -> Column:
     )
 
 
-# Tags whose open/close counts must agree for the regex path to be trusted.
-BALANCED_TAGS = {
+# Tags that must open and close in turn for the regex path to be trusted.
+FLAT_TAGS = {
     "table": ["table", "th", "td"], "grid5": ["td"], "responsive7": ["td"],
-    "columns4": ["div"], "deflist4": ["dd", "h3", "li"], "cards6": ["span", "li", "a", "p", "ul"],
-    "case1": ["span", "li", "a", "p", "ul"], "links5": ["ul", "a", "p", "li"],
+    "columns4": [], "deflist4": ["dd", "h3", "li"], "cards6": ["span", "li", "a", "p", "ul"],
+    "case1": ["span", "li", "a", "p", "ul", "strong"], "links5": ["ul", "a", "p", "li"],
 }
 
 
@@ -182,22 +196,37 @@ def _ci(tag: str) -> str:
     return "".join(f"[{ch.lower()}{ch.upper()}]" for ch in tag)
 
 
+def _uneven(html: Column, tag: str) -> Column:
+    """Elements of this tag nested in each other, or not closed."""
+    marks = F.regexp_extract_all(html, F.lit(rf"(</?){_ci(tag)}[\s>/]"), 1)
+    return F.replace(F.array_join(marks, ""), F.lit("<</"), F.lit("")) != ""
+
+
+def _uneven_columns(html: Column) -> Column:
+    """Column pages wrap everything in ``div``: only those inside a column, or not closed, matter."""
+    styles = "|".join(re.escape(s) for s in _html.COLUMN_STYLES.values())
+    inner = F.regexp_extract_all(
+        html, F.lit(rf'(?is)<div\b[^>]*\bstyle\s*=\s*"(?:{styles})"[^>]*>(.*?)</div\s*>'), 1)
+    return (F.exists(inner, lambda s: s.rlike("(?i)<div"))
+            | (_count(html, rf"<{_ci('div')}[\s>/]") != _count(html, rf"</{_ci('div')}\s*>")))
+
+
 def needs_tolerant(layout: Column, html: Column) -> Column:
-    """Pages the regex path cannot be sure about go to the Python reader:
-    unbalanced tags of the layout, numeric or uncommon named entities, or
-    scripts/comments (which may hide tag-like text)."""
+    """Pages the regex path cannot be sure about go to the Python reader: the
+    layout's tags nested in themselves or not closed, attributes without double
+    quotes or with '>' in their value, numeric or uncommon named entities, and
+    scripts, styles or comments that do not end."""
     odd_entity = html.rlike(r"&(?:#|(?!(?:amp|lt|gt|quot|apos|nbsp);)[a-zA-Z])")
-    hidden = (F.contains(html, F.lit("<!--")) | F.contains(html, F.lit("<script"))
-              | F.contains(html, F.lit("<SCRIPT")) | F.contains(html, F.lit("<Script")))
-    unbalanced = None
-    for lay, tags in BALANCED_TAGS.items():
-        u = None
+    hidden = html.rlike(r"(?i)<script|<style|<!--")
+    odd_attribute = (html.rlike(r"(?i)<[a-z][^<>]*\s(?:class|style|href)\s*=\s*[^\s\"]")
+                     | html.rlike(r"=\s*\"[^\">]*>|=\s*'[^'>]*>"))
+    uneven = F.when(layout == "columns4", _uneven_columns(html))
+    for lay, tags in FLAT_TAGS.items():
+        u = F.lit(False)
         for t in tags:
-            c = _count(html, rf"<{_ci(t)}[\s>/]") != _count(html, rf"</{_ci(t)}\s*>")
-            u = c if u is None else (u | c)
-        unbalanced = (F.when(layout == lay, u) if unbalanced is None
-                      else unbalanced.when(layout == lay, u))
-    return html.isNotNull() & (odd_entity | hidden | unbalanced.otherwise(F.lit(False)))
+            u = u | _uneven(html, t)
+        uneven = uneven.when(layout == lay, u)
+    return html.isNotNull() & (odd_entity | hidden | odd_attribute | uneven.otherwise(F.lit(False)))
 
 
 # Tolerant path: stdlib tree reader, Arrow-batched, fed only the flagged pages.
@@ -234,16 +263,16 @@ def parse_pages(captures: DataFrame, native: bool = True) -> DataFrame:
     """
     e = _parse_exprs(native)
     keep = [c for c in captures.columns if c != "html"]
-    flagged = captures.withColumn("_tolerant", e["flag"])
+    flagged = captures.withColumn("html", visible_html(F.col("html"))).withColumn("_tolerant", e["flag"])
     # The native parse runs below the Python stage and the HTML is dropped
     # there: the Arrow UDF node buffers its input rows, and only flagged
     # pages still carry their HTML (``_html``) into it.
-    native = flagged.select(*keep, "_tolerant", e["detected"].alias("_detected"),
+    native = flagged.select(*keep, "_tolerant", e["no_results"].alias("no_results"), e["detected"].alias("_detected"),
                             e["fast"].alias("_fast"), e["slow_input"].alias("_html"))
-    both = native.select(*keep, "_tolerant", "_detected", "_fast",
+    both = native.select(*keep, "_tolerant", "no_results", "_detected", "_fast",
                          F.col("_fast").isNotNull().alias("_native_ok"),
                          e["slow"].alias("_slow"))
-    return both.select(*keep, *e["final"])
+    return both.select(*keep, *e["final"], "no_results")
 
 
 @per_jvm
@@ -251,11 +280,12 @@ def _parse_exprs(native: bool) -> dict:
     lay, html = F.col("layout"), F.col("html")
     return {
         "flag": needs_tolerant(lay, html) if native else html.isNotNull(),
+        "no_results": F.coalesce(shows_no_results(html), F.lit(False)),
         "slow_input": F.when(F.col("_tolerant"), html),
         "slow": tolerant_reader(F.col("layout"), F.col("_html")),
         "detected": (F.when(_is_list_page(lay, html), F.lit("cards6"))
                      .when(lay.isin("cards6", "case1"), F.lit("case1")).otherwise(lay)),
-        "fast": F.when(~F.col("_tolerant"), native_fields(lay, html)),
+        "fast": F.when(~F.col("_tolerant") & html.isNotNull(), native_fields(lay, html)),
         "final": [
             F.coalesce(F.col("_slow.detected_layout"), F.col("_detected")).alias("detected_layout"),
             F.when(F.col("_native_ok"), F.lit("ok"))
@@ -408,8 +438,7 @@ def page_records(parsed: DataFrame) -> DataFrame:
 
 def explode_records(pages: DataFrame) -> DataFrame:
     """One row per record with raw string fields and ``row_pos`` (0-based)."""
-    keep = [c for c in pages.columns if c not in ("fields", "records", "page_ok",
-                                                   "parse_status", "parse_error", "tolerant")]
+    keep = [c for c in pages.columns if c not in PAGE_ONLY]
     # The *_outer form: a plain explode makes the optimizer infer
     # ``size(records) > 0`` and push that predicate (with the whole parse
     # inlined) below the parse.  Empty pages give one NULL row, dropped here.
@@ -429,10 +458,10 @@ def explode_records(pages: DataFrame) -> DataFrame:
 
 
 def quarantine_pages(pages: DataFrame) -> DataFrame:
-    """Pages that failed to parse or whose parallel lists disagree (EXT-12)."""
-    reason = (F.when(F.col("parse_status") != "ok", F.col("parse_error"))
-              .otherwise(F.lit("misaligned lists")))
-    keep = [c for c in pages.columns if c not in ("fields", "records", "page_ok",
-                                                   "parse_status", "parse_error", "tolerant")]
-    bad = F.when(~F.col("page_ok"), F.array(reason)).otherwise(F.array().cast("array<string>"))
-    return pages.select(*keep, F.explode_outer(bad).alias("error")).where(F.col("error").isNotNull())
+    """Pages that failed to parse, whose parallel lists disagree, or that hold
+    no records without saying that nothing was found (EXT-12)."""
+    reason = (F.when(F.col("parse_status") != "ok", F.coalesce("parse_error", F.lit("no HTML")))
+              .when(~F.col("page_ok"), F.lit("misaligned lists"))
+              .when((F.size("records") == 0) & ~F.col("no_results"), F.lit(NO_RECORDS)))
+    keep = [c for c in pages.columns if c not in PAGE_ONLY]
+    return pages.select(*keep, F.explode_outer(F.array(reason)).alias("error")).where(F.col("error").isNotNull())

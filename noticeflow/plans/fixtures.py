@@ -286,3 +286,31 @@ def render_captures(orders: DataFrame, layout: str | None = None, as_of=AS_OF) -
         "page_no", F.lit(1).alias("attempt"),
         F.lit(as_of).alias("fetched_on"), "url",
         _page_html().alias("html"))
+
+
+# ---------------------------------------------------------------- faulty pages, runs
+# Rules of the faulty case pages, by o_custkey % 5; the remaining orders get a sound page.
+BAD_DATE, NO_RECORDS, NO_RESULTS, UNKNOWN_SOURCE = range(4)
+BAD_DATE_TEXT = "32/13/2021"
+
+
+def case_pages(orders: DataFrame, party: str = "Ann", fetched_on=AS_OF) -> DataFrame:
+    """One single-case page per order, some with faults, scripts and hidden markers."""
+    c = F.col("o_custkey") % 5
+    number = F.col("o_orderkey").cast("string")
+    date = F.when(c == BAD_DATE, F.lit(BAD_DATE_TEXT)).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+    case = F.concat(
+        F.lit("<ul class='menu'><li>Home</li></ul><p class='address'>F"), number, F.lit(": Main St</p><p><strong>"),
+        date, F.lit(f"</strong></p><ul><li><p>{party}</p></li></ul><p class='case-summary'>Works</p>"))
+    case = F.when(c == UNKNOWN_SOURCE, F.replace(case, F.lit("'"), F.lit('"'))).otherwise(case)
+    hidden = '<div id="no_results" style="display: none">No results found</div>'
+    body = (F.when(c == NO_RECORDS, F.lit("<p>Moved</p>" + hidden))
+            .when(c == NO_RESULTS, F.lit("<p>No results found</p>"))
+            .otherwise(F.concat(F.lit(hidden + '<script>var a = "<li><p>x</p>";</script><!-- <p> -->'), case)))
+    return orders.select(
+        F.when(c == UNKNOWN_SOURCE, "nowhere").otherwise("board").alias("source_id"),
+        F.lit(1).alias("source_rank"), F.lit(1).alias("site_rank"), F.lit("case1").alias("layout"),
+        F.lit(None).cast("string").alias("keyword"), F.lit(0).alias("keyword_rank"), F.lit(1).alias("list_pos"),
+        F.lit(None).cast("int").alias("page_no"), F.lit(1).alias("attempt"), F.lit(fetched_on).alias("fetched_on"),
+        F.concat(F.lit("https://example.org/case/"), number).alias("url"),
+        F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")).alias("html"))

@@ -29,24 +29,29 @@ MAX_BROADCAST_RETRIES = 200_000  # beyond, both sides are shuffled
 LITERAL_SOURCES = 1_000  # beyond, the sources are joined
 
 
+def capture_pages(captures: DataFrame, latest_only: bool = True) -> DataFrame:
+    """One row per captured page with its records; the HTML is dropped after parsing."""
+    if latest_only:
+        captures = drop_superseded(captures)
+    return extract.page_records(extract.parse_pages(captures.select(*PARSE_INPUT)))
+
+
 def extract_records(captures: DataFrame, latest_only: bool = True) -> tuple[DataFrame, DataFrame]:
     """(records, quarantined pages) from captures; the HTML is dropped after parsing.
 
     ``latest_only`` keeps the newest attempt of every page (EXT-13: a retry's
     data replaces the first try), see ``drop_superseded``.
     """
-    if latest_only:
-        captures = drop_superseded(captures)
-    parsed = extract.parse_pages(captures.select(*PARSE_INPUT))
-    pages = extract.page_records(parsed)
+    pages = capture_pages(captures, latest_only)
     return extract.explode_records(pages), extract.quarantine_pages(pages)
 
 
 def drop_superseded(captures: DataFrame) -> DataFrame:
     """Captures of each page's latest attempt (EXT-13), before anything is parsed.
 
-    A page is its source, keyword, list and page number; without a page number
-    its URL stands in.  Missing values are equal to each other.  Of captures
+    A page is its source, keyword, list, page number and capture date (a later
+    run's page is no retry of an earlier run's); without a page number its URL
+    stands in.  Missing values are equal to each other.  Of captures
     with the same latest attempt all stay (their records meet in the
     deduplication); a missing attempt is older than any other.
 
@@ -57,6 +62,8 @@ def drop_superseded(captures: DataFrame) -> DataFrame:
     key = {"_source": F.col("source_id"), "_kw": F.col("keyword"), "_list": F.col("list_pos").cast("string"),
            "_page": F.coalesce(F.concat(F.lit("p"), F.col("page_no").cast("string")),
                                F.concat(F.lit("u"), F.col("url")))}
+    if "fetched_on" in captures.columns:
+        key["_run"] = F.col("fetched_on").cast("string")
     # a marked text, so that a missing value equals itself in the join
     key = {n: F.coalesce(F.concat(F.lit("="), c), F.lit("")) for n, c in key.items()}
     attempt = F.coalesce(F.col("attempt"), F.lit(-1))
@@ -124,8 +131,27 @@ def _normalise_exprs() -> list:
 
 
 def bad_dates(normalised: DataFrame) -> DataFrame:
-    """Rows whose received text did not parse with the declared formats."""
-    return normalised.where(F.col("raw_received").isNotNull() & F.col("received_date").isNull())
+    """Rows without a received date, or whose text did not parse with the declared formats."""
+    return normalised.where(F.col("received_date").isNull())
+
+
+def refresh_report(captures: DataFrame, sources: DataFrame) -> DataFrame:
+    """What a refresh leaves out: pages in quarantine, rows without a date, sources that are not listed.
+
+    One row per finding: kind (page / date / source), source_id, url, file_number, detail.
+    The pages are parsed once and kept without their HTML by a checkpoint.
+    """
+    pages = materialize(capture_pages(captures))
+    none = F.lit(None).cast("string")
+    broken = extract.quarantine_pages(pages).select(
+        F.lit("page").alias("kind"), "source_id", "url", none.alias("file_number"), F.col("error").alias("detail"))
+    undated = bad_dates(normalise(extract.explode_records(pages), sources)).select(
+        F.lit("date").alias("kind"), "source_id", "url", "file_number",
+        F.coalesce("raw_received", F.lit("no date")).alias("detail"))
+    unknown = (captures.select("source_id").distinct().join(sources.select("source_id"), "source_id", "left_anti")
+               .select(F.lit("source").alias("kind"), "source_id", none.alias("url"), none.alias("file_number"),
+                       F.lit("unknown source").alias("detail")))
+    return broken.unionByName(undated).unionByName(unknown)
 
 
 def apply_window(normalised: DataFrame, as_of, days: int | None = D.WINDOW_DAYS) -> DataFrame:
@@ -168,14 +194,17 @@ def fresh_notices(captures: DataFrame, sources: DataFrame, as_of,
 def master_from_text(master_text: DataFrame, keep_order: bool = False) -> DataFrame:
     """Master exported as text: parse both date columns in any dialect (D-4).
 
-    ``keep_order`` adds ``master_pos`` (file order as read: partition index in
-    the high bits, row within the split below), so that duplicate keys inside
-    the sheet itself resolve to the later row, as keep-last does.
+    A sheet read with its positions (``files.read_csv(position=True)``) keeps
+    them as ``master_pos``, so that duplicate keys inside the sheet itself
+    resolve to the later row, as keep-last does.  ``keep_order`` numbers the
+    rows of any other input in the order Spark reads them.
     """
     out = master_text.withColumns({
         "received_date": D.parse_master_date("received_date"),
         "deadline": D.parse_master_date("deadline"),
     })
+    if "sheet_pos" in out.columns:
+        return out.withColumnRenamed("sheet_pos", "master_pos")
     return out.withColumn("master_pos", F.monotonically_increasing_id()) if keep_order else out
 
 
@@ -213,7 +242,12 @@ def publish_view(master: DataFrame, with_position: bool = True) -> DataFrame:
 
 def run_refresh(captures: DataFrame, sources: DataFrame, master: DataFrame, as_of: _dt.date,
                 days: int | None = D.WINDOW_DAYS, help_url: str = DEFAULT_HELP_URL,
-                tag: str = DEFAULT_TAG) -> DataFrame:
-    """The whole refresh: fresh notices merged into the master and announced."""
+                tag: str = DEFAULT_TAG, report_path: str | None = None) -> DataFrame:
+    """The whole refresh: fresh notices merged into the master and announced.
+
+    ``report_path`` is a new folder that gets ``refresh_report`` as Parquet.
+    """
+    if report_path is not None:
+        refresh_report(captures, sources).write.parquet(report_path)
     fresh = fresh_notices(captures, sources, as_of, days)
     return announce(merge_master(fresh, master), as_of, help_url, tag)

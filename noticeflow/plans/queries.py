@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from ..operators import audit, dedup, filters, keywords, ordering, sets
 from ..schema import CANONICAL9, KEY6, LINEAGE, MASTER13, sources_df
 from ..session import ensure_checkpoint_dir
 from ..sources import files as io_files
+from ..sources.captures import read_captures, select_run
 from ..sources.master_store import MasterStore
 from ..streaming import refresh
 from . import fixtures as FX
@@ -529,6 +531,41 @@ def capture_status(spark, sf):
     return audit.error_report(s, ["host"])
 
 
+@register("page_status", """
+SELECT status, count(*) AS n FROM (
+  SELECT CASE o_custkey % 5 WHEN 1 THEN 'empty' WHEN 2 THEN 'no_results' ELSE 'ok' END AS status FROM orders)
+GROUP BY status""")
+def page_status(spark, sf):
+    pages = P.capture_pages(FX.case_pages(_orders(spark, sf)))
+    return audit.error_report(pages.select(audit.page_status().alias("status")), [])
+
+
+@register("quarantine_report", f"""
+SELECT 'date' AS kind, 'board' AS source_id, CAST(NULL AS VARCHAR) AS url,
+       'F' || o_orderkey AS file_number, '{FX.BAD_DATE_TEXT}' AS detail FROM orders WHERE o_custkey % 5 = 0
+UNION ALL
+SELECT 'page', 'board', 'https://example.org/case/' || o_orderkey, NULL,
+       'no records and no sign of an empty result' FROM orders WHERE o_custkey % 5 = 1
+UNION ALL
+SELECT DISTINCT 'source', 'nowhere', NULL, NULL, 'unknown source' FROM orders WHERE o_custkey % 5 = 3""")
+def quarantine_report(spark, sf):
+    report = P.refresh_report(FX.case_pages(_orders(spark, sf)), sources_df(spark))
+    return report.withColumn("url", F.when(F.col("kind") == "page", F.col("url")))
+
+
+@register("refresh_one_run", """
+SELECT 'F' || o_orderkey AS file_number, 'New' AS applicant_name, CAST(o_orderdate AS DATE) AS received_date
+FROM orders WHERE o_custkey % 5 >= 3""")
+def refresh_one_run(spark, sf):
+    """Two capture runs hold the same pages; the refresh reads the later one only."""
+    o = _orders(spark, sf)
+    earlier = FX.case_pages(o, "Old", AS_OF - timedelta(days=31))
+    folder = scratch_dir(spark, "captures")
+    earlier.unionByName(FX.case_pages(o, "New")).write.partitionBy("fetched_on").parquet(folder)
+    run = select_run(read_captures(spark, folder), AS_OF)
+    return P.fresh_notices(run, sources_df(spark), AS_OF).select("file_number", "applicant_name", "received_date")
+
+
 @register("latest_attempt", """
 SELECT event_id, user_id, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")

@@ -18,6 +18,11 @@ def read_captures(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return spark.read.format(fmt).schema(CAPTURE_SCHEMA).load(path)
 
 
+def select_run(captures: DataFrame, first, last=None) -> DataFrame:
+    """Captures of one run, or of the days ``first`` to ``last``; prunes partitions by capture date."""
+    return captures.where(F.col("fetched_on").between(F.lit(first), F.lit(first if last is None else last)))
+
+
 def read_html_folder(spark: SparkSession, path: str, layout: str, source_id: str,
                      source_rank: int = 1) -> DataFrame:
     """Ad-hoc folder of saved ``.html`` files, one page per file."""

@@ -15,8 +15,13 @@ from ..schema import DISPLAY_NAMES
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             display_names: bool = True) -> DataFrame:
-    """Header CSV with an explicit schema; header names may be display names."""
+             display_names: bool = True, position: bool = False) -> DataFrame:
+    """Header CSV with an explicit schema; header names may be display names.
+
+    ``position`` adds ``sheet_pos``, which orders rows by file name and row
+    within the file, whatever order Spark packs the files in.  Quoted line
+    breaks make a file one task; an export in several files is spread.
+    """
     text_schema = T.StructType([
         T.StructField(DISPLAY_NAMES.get(f.name, f.name) if display_names else f.name,
                       T.StringType()) for f in schema.fields])
@@ -25,9 +30,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
            .option("escape", '"').option("quote", '"')
            .option("enforceSchema", False)
            .csv(path))
+    pos = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
     return raw.select(*[F.col(tf.name).cast(f.dataType).alias(f.name)
                         if f.dataType != T.StringType() else F.col(tf.name).alias(f.name)
-                        for tf, f in zip(text_schema.fields, schema.fields)])
+                        for tf, f in zip(text_schema.fields, schema.fields)],
+                      *([pos.alias("sheet_pos")] if position else []))
 
 
 def write_csv(df: DataFrame, path: str, display_names: bool = True,

@@ -86,3 +86,18 @@ def test_duplicate_keys_inside_master_keep_the_later_row(spark, tmp_dir):
     fresh = FX.fresh(FX.table(spark, SF0001, "orders")).limit(0)
     merged = P.merge_master(fresh, master).collect()
     assert [r.comments for r in merged] == ["second"]
+
+
+def test_later_file_of_a_sheet_wins_whatever_its_size(spark, tmp_dir):
+    from noticeflow.schema import MASTER_TEXT_SCHEMA
+    from noticeflow.sources import files
+    row = ["7", "05/09/2021", "C", "07/10/2021", "A", "B", "D", "u", "gas"]
+    other = ["8", "05/09/2021", "C", "07/10/2021", "A", "B", "D" * 5000, "u", "gas", "-", "Yes", "-", None]
+    parts = {"a": [tuple(row + ["first", "Yes", "-", None])],
+             "b": [tuple(other), tuple(row + ["second", "Yes", "-", None])]}
+    for name, rows in parts.items():
+        files.write_csv(spark.createDataFrame(rows, MASTER_TEXT_SCHEMA).coalesce(1), f"{tmp_dir}/s/part={name}")
+    sheet = files.read_csv(spark, f"{tmp_dir}/s/*", MASTER_TEXT_SCHEMA, position=True)
+    fresh = FX.fresh(FX.table(spark, SF0001, "orders")).limit(0)
+    merged = {r.file_number: r.comments for r in P.merge_master(fresh, P.master_from_text(sheet)).collect()}
+    assert merged == {"7": "second", "8": "-"}
