@@ -56,8 +56,7 @@ EMPTY = HEAD + '<div id="noResultsPlGridDiv">No results</div>' + TAIL
 
 NESTED_TABLE = TABLE.replace("<b>St</b>", "<table><tr><td>St</td></tr></table>")
 SINGLE_QUOTED = TABLE.replace('class="table"', "class='table'")
-NESTED_MENU = LINKS.replace('<ul><li><a href="/n">n</a></li></ul>', '<ul><li>m<ul><li><a href="/n">n</a></li></ul></li></ul>', 1) \
-    .replace('<ul><li><a href="/n">n</a></li></ul>', "", 1)
+NESTED_MENU = LINKS.replace('<ul><li><a href="/n">n</a></li></ul>' * 2, "<ul><li>m<ul><li>x</li></ul></li></ul>", 1)
 NESTED_DIV = COLS.replace("Wendy", "<div>Wendy</div><div>Smith</div>")
 QUOTED_GT = GRID.replace("<td>Ann", '<td title="a>b">Ann')
 MENU_CASE = CASE.replace("<body>", "<body><ul><li>Home</li></ul>")
