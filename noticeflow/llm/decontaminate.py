@@ -11,6 +11,10 @@ and the weighted Jaccard similarity of the two multisets of shingles
   ``n - need + 1`` different words of the item (its *anchors*: the longest,
   which are rare) it holds at least one.  Only windows around an anchor get a
   fingerprint; all others provably miss the threshold.
+* **Short texts.**  A text of fewer words than the item is one window, the
+  whole of it.  With m < n shingles it must share
+  ``ceil(t (m + n) / (1 + t))`` occurrences, at the least ``ceil(t n)``, so for
+  such texts the item has ``n - ceil(t n) + 1`` anchors.
 * **Multi-index.**  The 64 bits are cut into ``blocks`` blocks.  Two
   fingerprints within ``radius`` differ by at most ``radius // blocks`` bits in
   one block; the items' side lists every block value within that distance, so
@@ -118,17 +122,21 @@ def _flipped(block: int, own: Column):
 
 
 def benchmark_items(benchmark: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """(item_id, n_words, shingles, n, need, anchors); items without words are left out."""
+    """(item_id, n_words, shingles, n, need, anchors, item_words); items without words are left out.
+
+    The first ``n - need + 1`` anchors serve windows of the item's size, all of them texts shorter than the item.
+    """
     words = benchmark.select(F.col("item_id"), word_list(F.col("text").cast("string")).alias("words"))
     rows = words.where(F.size("words") > 0).select(
         "item_id", "words", F.size("words").alias("n_words"), shingle_list(F.col("words"), shingle).alias("shingles"))
     n = F.size("shingles")
     # shared >= 2 n t / (1 + t); a hair is taken off so that rounding never asks for one too many
     need = F.greatest(F.lit(1), F.ceil(n * (2 * threshold / (1 + threshold)) - 1e-9)).cast("int")
+    least = F.greatest(F.lit(1), F.ceil(n * threshold - 1e-9)).cast("int")  # of the shortest text that can match
     long_first = F.array_sort(F.transform(F.array_distinct("words"),
                                           lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w"))))
     return rows.select("item_id", "n_words", "shingles", n.alias("n"), need.alias("need"),
-                       F.transform(F.slice(long_first, 1, n - need + 1), lambda x: x["w"]).alias("anchors"),
+                       F.transform(F.slice(long_first, 1, n - least + 1), lambda x: x["w"]).alias("anchors"),
                        F.array_distinct("words").alias("item_words"))
 
 
@@ -138,7 +146,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, thresh
 
     ``similarity`` is the best window's, ``distance`` the least Hamming
     distance, ``first_word`` the (0-based) place of the first such window,
-    ``n_windows`` how many there are.  Null, empty or too short texts and items without words match
+    ``n_windows`` how many there are.  A text of fewer words than the item is
+    compared as a whole.  Null and empty texts and items without words match
     nothing; an item of fewer than ``shingle`` words is one shingle and is
     looked for as a whole.  Repeated documents with one doc_id count
     together; a null doc_id is a value like any other.  Empty tables give an
@@ -151,7 +160,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, thresh
     lane = lane_for(longest)
     short = [r.n_words for r in items.where(F.col("n_words") < shingle).select("n_words").distinct().collect()]
 
-    anchors = items.select("n_words", "n", "need", "shingles", "anchors", "item_words", F.explode("anchors").alias("word"))
+    anchors = items.select("n_words", "n", "need", "shingles", "anchors", "item_words",
+                           F.posexplode("anchors").alias("nth", "word"))
     prints = cut(items.select("item_id", "n_words", simhash(F.col("shingles"), lane).alias("item_fp")))
     near = prints.select("item_id", "n_words", "item_fp", F.explode(near_values(F.col("item_fp"), blocks, radius)).alias("key")).select(
         "item_id", "n_words", "item_fp", "key.block", "key.value")
@@ -162,9 +172,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, thresh
     words = docs.select("doc_id", word_list(F.col("text").cast("string")).alias("words"))
     hit = words.select("doc_id", "words", F.posexplode_outer("words").alias("pos", "word")).join(
         bounded_broadcast(anchors, n_anchors, BROADCAST_ROWS), "word")
+    # a text shorter than the item is one window; what it must share follows from both sizes
+    whole = F.size("words") < F.col("n_words")
+    hit = hit.where(whole | (F.col("nth") <= F.col("n") - F.col("need")))
+    m = F.greatest(F.lit(1), F.size("words") - F.lit(shingle - 1))
+    less = F.greatest(F.lit(1), F.ceil((m + F.col("n")) * (threshold / (1 + threshold)) - 1e-9)).cast("int")
+    hit = hit.select("doc_id", "words", "pos", "n_words", "n", "shingles", "item_words", whole.alias("whole"),
+                     F.when(whole, less).otherwise(F.col("need")).alias("need"),
+                     F.when(whole, F.col("anchors")).otherwise(
+                         F.slice("anchors", F.lit(1), F.col("n") - F.col("need") + 1)).alias("anchors"))
     # the words around the anchor: every window of the item's size that holds it
     lo = F.greatest(F.lit(0), F.col("pos") - F.col("n_words") + 1)
-    around = hit.select("doc_id", "n", "n_words", "need", "shingles", "anchors", "item_words", lo.alias("lo"),
+    around = hit.select("doc_id", "n", "n_words", "need", "shingles", "anchors", "item_words", "whole", lo.alias("lo"),
                         (F.col("pos") - lo).alias("r"),
                         F.slice("words", lo + 1, F.col("pos") - lo + F.col("n_words")).alias("near_words"))
     # each word of the item that is nowhere near costs a window at least one shingle
@@ -178,7 +197,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, thresh
     before = F.transform(F.slice("near_words", 1, F.col("r")), lambda x: F.array_contains("anchors", x))
     nearest = F.coalesce(F.array_position(F.reverse(before), True), F.lit(0))
     earliest = F.when(nearest > 0, F.col("r") - nearest + 1).otherwise(F.lit(0)).cast("int")
-    latest = F.least(F.col("r"), F.size("near") - F.col("n"))
+    latest = F.when(F.col("whole"), 0).otherwise(F.least(F.col("r"), F.size("near") - F.col("n")))
     marked = around.select("*", earliest.alias("earliest"), latest.alias("latest"),
                            F.transform("near", lambda x: F.array_contains("shingles", x).cast("int")).alias("shared"))
     enough = F.when(F.col("earliest") <= F.col("latest"), let(
@@ -195,14 +214,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, thresh
         F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
     told = items.select("item_id", F.col("shingles").alias("item_shingles"))
     pair = pair.join(bounded_broadcast(told, n_anchors, BROADCAST_ROWS), "item_id")
-    # both lists have n entries: sum of min = shared, sum of max = 2 n - shared
+    # sum of min = shared, sum of max = both sizes less shared
     shared = F.aggregate(
         F.array_distinct("item_shingles"), F.lit(0),
         lambda acc, x: acc + F.least(F.size(F.filter("window", lambda y: y == x)),
                                      F.size(F.filter("item_shingles", lambda y: y == x))))
     scored = pair.select("doc_id", "item_id", "first_word",
                          F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("distance"),
-                         (shared / (2 * F.size("window") - shared)).alias("similarity"))
+                         (shared / (F.size("window") + F.size("item_shingles") - shared)).alias("similarity"))
     kept = scored.where(F.col("similarity") >= threshold)
     once = kept.groupBy("doc_id", "item_id", "first_word").agg(
         F.max("similarity").alias("similarity"), F.min("distance").alias("distance"))

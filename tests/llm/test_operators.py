@@ -123,6 +123,52 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contaminated(docs, bench.where("false")).count() == 0
 
 
+def shingles_of(words, k=5):
+    return collections.Counter(tuple(words[i:i + k]) for i in range(max(1, len(words) - k + 1))) if words else {}
+
+
+def similar(a, b):
+    least = sum(min(c, b[x]) for x, c in a.items())
+    return least / (sum(a.values()) + sum(b.values()) - least) if a else 0.0
+
+
+def test_decontamination_of_near_copies_and_texts_shorter_than_the_item(spark):
+    rng = np.random.default_rng(8)
+    vocab = [f"v{i}" * int(rng.integers(1, 4)) for i in range(400)]
+    items = {i: [str(w) for w in rng.choice(vocab, n)] for i, n in enumerate((16, 23, 30, 42, 42, 59, 3, 5, 6))}
+    items[9] = ["again"] * 20 + items[3][:20]  # repeated words and shingles
+    texts, pad = [], lambda n: [str(w) for w in rng.choice(vocab, n)]
+    for words in items.values():
+        texts.append(words)
+        for drop in range(1, 10):
+            if drop < len(words):
+                kept = words[drop // 2:len(words) - (drop - drop // 2)]
+                inner = int(rng.integers(0, len(words) - drop + 1))
+                texts += [words[drop:], words[:-drop], kept, words[:inner] + words[inner + drop:],
+                          pad(7) + words[:-drop], words[drop:] + pad(7), pad(40) + words[:inner] + words[inner + drop:] + pad(40)]
+        for changed in (1, 2, 3):
+            other = list(words)
+            for at in rng.choice(len(words), min(changed, len(words)), replace=False):
+                other[at] = "changed"
+            texts += [other, other[1:], other[:-2], pad(30) + other + pad(30)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    want, short = {}, 0
+    for d, text in enumerate(texts):
+        for i, words in items.items():
+            own, n = shingles_of(words), len(words)
+            size = 5 if n >= 5 else n
+            windows = [shingles_of(text[s:s + n], size) for s in range(max(1, len(text) - n + 1))]
+            score = [similar(w, own) for w in windows]
+            if max(score) >= 0.8:
+                best = [s >= 0.8 for s in score]
+                want[d, i] = (round(max(score), 9), best.index(True), sum(best))
+                short += len(text) < n
+    got = {(r.doc_id, r.item_id): (round(r.similarity, 9), r.first_word, r.n_windows)
+           for r in decontaminate.contaminated(docs, bench, radius=19).collect()}
+    assert short > 50 and got == want
+
+
 def test_decontamination_block_values_cover_the_radius(spark):
     rng = np.random.default_rng(3)
     rows = []
