@@ -1,9 +1,10 @@
 """Exact top-k by inner product as a Voronoi join.
 
 Pivots cut the data into cells (each vector goes to its nearest pivot, inside
-its own task).  A cell's summary is its least distances to the pivot, k + 1 of
-them; the query side turns the summaries into a lower bound of each query's
-k-th best score (``q.p - |q| d`` for every summarised distance) and from that,
+its own task).  A cell's summary is its least distances to the pivot, one for each
+vec_id and k + 1 of them; the query side turns the summaries into a lower bound
+of each query's k-th best score (``q.p - |q| d`` for every summarised distance
+of another vec_id) and from that,
 for each pair of query group and cell, the distance a vector needs to matter
 (``q.x <= q.p + |q| d``).  Only blocks of vectors that reach it are replicated
 to the group and searched there.
@@ -11,7 +12,7 @@ to the group and searched there.
 Queries and vectors travel as blocks of bounded size, so a group or cell that
 holds a third of all rows is many blocks over many tasks.  Pivots and
 summaries are of a fixed size: ``pivots`` vectors and ``pivots * (k + 1)``
-distances, whatever the size of the table.
+ids and distances, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -49,7 +50,10 @@ def _nearest(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _blocks(pivots: np.ndarray, scale: float, top: int):
-    """Rows (cell, far, near, ids, vectors): vectors of a cell sorted by distance, ``near`` its least ones."""
+    """Rows (cell, far, near, near_ids, ids, vectors): vectors of a cell sorted by distance.
+
+    ``near`` are its least distances, one for each of ``near_ids``.
+    """
     dim = pivots.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,21 +66,26 @@ def _blocks(pivots: np.ndarray, scale: float, top: int):
             order = np.lexsort((dist, cell))
             start = np.flatnonzero(np.concatenate(([True], np.diff(cell[order]) != 0)))
             for s, e in zip(start, np.append(start[1:], len(order))):
+                first = order[s + np.sort(np.unique(ids[order[s:e]], return_index=True)[1])[:top]]
                 for at in range(s, e, BLOCK):
                     part = order[at:min(e, at + BLOCK)]
                     rows.append((int(cell[part[0]]), float(dist[part].max()),
-                                 dist[part[:top]].tolist() if at == s else [],
+                                 dist[first].tolist() if at == s else [], ids[first].tolist() if at == s else [],
                                  ids[part].tobytes(), x[part].tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.float64()),
                  pa.array([r[2] for r in rows], pa.list_(pa.float64())),
-                 pa.array([r[3] for r in rows], pa.binary()), pa.array([r[4] for r in rows], pa.binary())],
-                ["cell", "far", "near", "ids", "vectors"])
+                 pa.array([r[3] for r in rows], pa.list_(pa.int64())),
+                 pa.array([r[4] for r in rows], pa.binary()), pa.array([r[5] for r in rows], pa.binary())],
+                ["cell", "far", "near", "near_ids", "ids", "vectors"])
     return run
 
 
-def _queries(pivots: np.ndarray, summary: list[np.ndarray], scale: float, k: int):
-    """Rows (grp, ids, vectors, need): a block of queries of one group, and the distance each cell needs."""
+def _queries(pivots: np.ndarray, summary: list[np.ndarray], owners: np.ndarray, scale: float, k: int):
+    """Rows (grp, ids, vectors, need): a block of queries of one group, and the distance each cell needs.
+
+    ``owners`` are the vec_ids of the summarised distances, cell after cell.
+    """
     dim = pivots.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,8 +97,8 @@ def _queries(pivots: np.ndarray, summary: list[np.ndarray], scale: float, k: int
             at = q @ pivots.T
             slack = 1e-6 * (1 + np.abs(at).max(1) + norm * (1 + max((s.max() for s in summary if len(s)), default=0)))
             low = np.concatenate([at[:, [j]] - norm[:, None] * s[None] for j, s in enumerate(summary)], axis=1)
-            # the query itself may be among the summarised, hence one more
-            bound = (np.sort(low, axis=1)[:, -(k + 1)] if low.shape[1] > k else np.full(len(q), -np.inf)) - slack
+            low[ids[:, None] == owners[None]] = -np.inf  # rows of the query's own vec_id are no candidates
+            bound = (np.sort(low, axis=1)[:, -k] if low.shape[1] >= k else np.full(len(q), -np.inf)) - slack
             with np.errstate(divide="ignore", invalid="ignore"):
                 need = np.where(norm[:, None] > 0, (bound[:, None] - at) / norm[:, None], -np.inf)
             group, _ = _nearest(q, pivots)
@@ -159,14 +168,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: float = 10
     if not len(centres):
         centres = np.zeros((1, dim))
     blocks = map_arrow(data, _blocks(centres, scale, k + 1),
-                       "cell int, far double, near array<double>, ids binary, vectors binary")
+                       "cell int, far double, near array<double>, near_ids array<bigint>, ids binary, vectors binary")
     blocks = cut(blocks)
-    near = blocks.select("cell", F.explode("near").alias("d"))
-    least = near.withColumn("r", F.row_number().over(Window.partitionBy("cell").orderBy("d"))).where(f"r <= {k + 1}")
-    summary: list[list[float]] = [[] for _ in centres]
+    near = blocks.select("cell", F.explode(F.arrays_zip("near", "near_ids")).alias("x"))
+    near = near.groupBy("cell", F.col("x.near_ids").alias("vec_id")).agg(F.min("x.near").alias("d"))
+    least = near.withColumn("r", F.row_number().over(Window.partitionBy("cell").orderBy("d", "vec_id"))).where(
+        f"r <= {k + 1}")
+    summary: list[list[tuple[float, int]]] = [[] for _ in centres]
     for r in least.collect():  # at most pivots * (k + 1) rows
-        summary[r.cell].append(r.d)
-    asked = map_arrow(asked, _queries(centres, [np.array(s) for s in summary], scale, k),
+        summary[r.cell].append((r.d, r.vec_id))
+    owners = np.array([i for s in summary for _, i in s], np.int64)
+    asked = map_arrow(asked, _queries(centres, [np.array([d for d, _ in s]) for s in summary], owners, scale, k),
                       "grp int, query_ids binary, queries binary, bounds binary, need array<double>")
     asked = cut(asked.withColumn("qb", F.monotonically_increasing_id()))
     # a block of queries needs the cells whose farthest vector may still matter

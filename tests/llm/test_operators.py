@@ -248,6 +248,19 @@ def test_top_k(spark):
     assert knn_join.top_k(df.where("false"), df.where("false")).count() == 0
 
 
+def test_top_k_of_a_query_whose_vec_id_repeats(spark):
+    rng = np.random.default_rng(9)
+    far = rng.integers(-5, 6, size=(12, 4)).astype(float)  # so few that every vector is one of 16 pivots
+    hot = np.array([50.0, 50, 50, 50])
+    rows = [(i + 1, x.tolist()) for i, x in enumerate(far)] + [(100, hot.tolist())] * 20 + [(100, (-hot).tolist())] * 15
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for pivots in (1, 4, 16):
+        asked = df.where("vec_id = 100 and embedding[0] > 0")
+        got = [(r.rank, r.vec_id, r.score) for r in knn_join.top_k(df, asked, 10, 1.0, pivots).collect()]
+        want = sorted((-int(hot @ x), i + 1) for i, x in enumerate(far))[:10]
+        assert sorted(got) == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
+
+
 def test_hash_ring(spark, docs, none):
     got = hash_ring.shard_rows(docs, "doc_id", shards=7, vnodes=16).collect()
     slots = collections.defaultdict(list)
