@@ -5,11 +5,12 @@ first five letters); filters of widths 1, 2 and 3 slide over the words, each
 keeps its maximum over the whole text, and a logistic layer turns the maxima
 into a score.  The embeddings start from the buckets' smoothed log-odds in the
 sample, everything is then trained by Adagrad.  Thresholds are calibrated by
-language on the sample.
+language on all labelled texts.
 
-The model is fitted on at most about ``sample`` labelled texts; its size is
-fixed (``2 ** BITS`` buckets).  Scoring reads every text whole, in one pass
-without a shuffle.
+The network is fitted on at most about ``sample`` labelled texts; its size is
+fixed (``2 ** BITS`` buckets).  Then all texts are scored, and Spark counts the
+labelled ones by language, label and bin of the score's log-odds.  Scoring
+reads every text whole, in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from .common import map_arrow, packs
 
 BITS, DIM, WIDTHS, FILTERS = 20, 4, (1, 2, 3), 4
 WORD = re.compile(r"[^\W\d_]+")
+#: Bins of a score's log-odds: ``STEPS`` to each unit from -EDGE to EDGE.
+EDGE, STEPS = 30, 16
 CACHE = 300_000
 _ids: dict[str, int] = {}
 
@@ -151,18 +154,56 @@ def train(texts: list[np.ndarray], toxic: np.ndarray, epochs: int = 4, seed: int
     return model
 
 
-def best_threshold(scores: np.ndarray, toxic: np.ndarray, default: float) -> float:
-    """Middle of the gap that maximises F1; the default where either class is too small to tell."""
-    if toxic.sum() < 20 or (1 - toxic).sum() < 20:
+def score_bins(scores: np.ndarray) -> np.ndarray:
+    s = scores.astype(np.float64)
+    with np.errstate(divide="ignore"):
+        z = np.clip(np.log(s) - np.log1p(-s), -EDGE, EDGE)
+    return np.minimum(np.floor((z + EDGE) * STEPS), 2 * EDGE * STEPS - 1).astype(np.int32)
+
+
+def bin_score(edge: np.ndarray) -> np.ndarray:
+    """The score at the lower edge of a bin."""
+    return 1 / (1 + np.exp(EDGE - np.asarray(edge, np.float64) / STEPS))
+
+
+def best_threshold(bins: np.ndarray, toxic: np.ndarray, clean: np.ndarray, default: float) -> float:
+    """Middle of the gap between bins that maximises F1; the default where either class is too small to tell."""
+    if toxic.sum() < 20 or clean.sum() < 20:
         return default
-    order = np.argsort(-scores, kind="stable")
-    s, y = scores[order], toxic[order]
-    tp = np.cumsum(y)
-    f1 = 2 * tp / (np.arange(1, len(y) + 1) + y.sum())
-    f1[:-1][s[:-1] == s[1:]] = -1
+    order = np.argsort(-bins, kind="stable")
+    b, t, c = bins[order], toxic[order], clean[order]
+    f1 = 2 * np.cumsum(t) / (np.cumsum(t + c) + t.sum())
     i = int(f1.argmax())
-    low = s[i + 1] if i + 1 < len(s) else 0.0
-    return float(default) if low < default <= s[i] else float((s[i] + low) / 2)
+    high = bin_score(b[i])
+    low = bin_score(b[i + 1] + 1) if i + 1 < len(b) else 0.0
+    return float(default) if low < default <= high else float((high + low) / 2)
+
+
+def _bins(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        for batch in batches:
+            out = np.zeros(batch.num_rows, np.int32)
+            for lo, hi in packs(batch.column(2), 1 << 20):
+                out[lo:hi] = score_bins(model.scores([word_ids(t.as_py()) for t in batch.column(2).slice(lo, hi - lo)]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], ["doc_id", "lang", "bin"])
+    return run
+
+
+def calibrate(texts: DataFrame, marked: DataFrame, model: Model) -> dict[str, float]:
+    """Thresholds by language from every row of ``texts(doc_id, lang, text)`` that ``marked(doc_id, toxic)`` labels."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    rows = map_arrow(texts.where("doc_id is not null and lang is not null"), _bins(shared),
+                     f"doc_id {kind}, lang string, bin int").join(marked, "doc_id")
+    bad = (F.col("toxic") > 0).cast("long")
+    count = rows.groupBy("lang", "bin").agg(F.sum(bad).alias("toxic"), F.sum(1 - bad).alias("clean"))
+    of_lang = count.groupBy("lang").agg(F.collect_list(F.struct("bin", "toxic", "clean")).alias("bins"))
+    out = {}
+    for r in of_lang.toLocalIterator():  # one row per language, of at most 2 * EDGE * STEPS bins
+        got = np.array([tuple(x) for x in r.bins], np.int64)
+        out[r.lang] = best_threshold(got[:, 0], got[:, 1], got[:, 2], model.default)
+    return out
 
 
 def _sample_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,6 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, default: float =
     About ``sample`` labelled rows are drawn by a hash of doc_id, up to a
     third of them toxic; a document labelled twice counts as toxic if any
     label says so.  Without labels of both kinds every score is the prior's.
+    Thresholds come from all labelled rows; a language with fewer than 20 toxic
+    or 20 clean ones has the default.
     """
     marked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     count = {int(r.toxic): r["count"] for r in marked.groupBy("toxic").count().collect()}
@@ -195,12 +238,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, default: float =
     toxic = (rows["toxic"].to_numpy() > 0).astype(np.float64)
     model = train(ids, toxic)
     model.default = default
-    if len(ids):
-        scores = np.concatenate([model.scores(ids[i:i + 200]) for i in range(0, len(ids), 200)])
-        for name in rows["lang"].dropna().unique():
-            mine = (rows["lang"] == name).to_numpy()
-            model.thresholds[str(name)] = best_threshold(scores[mine], toxic[mine], default)
     model.emb = model.emb.astype(np.float16)
+    if min(count.get(0, 0), count.get(1, 0)) >= 20 and "lang" in docs.columns:  # else no language has enough
+        model.thresholds = calibrate(mine, marked, model)
     return model
 
 

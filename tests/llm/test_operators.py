@@ -224,6 +224,27 @@ def test_toxicity(spark, none):
     assert toxicity.fit(full.where("false"), full.where("false")).scores([np.zeros(0, np.int64)]).shape == (1,)
 
 
+def test_toxicity_thresholds_use_all_labelled_rows(spark):
+    rng = np.random.default_rng(12)
+    vocab = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    rows = []
+    for i in range(1500):
+        words, toxic = list(rng.choice(vocab, 20)), int(i % 3 == 0)
+        if toxic or i % 20 == 1:  # some clean texts hold the word too
+            words[int(rng.integers(0, 20))] = "scum"
+        rows.append((i, " ".join(words), "aa" if i % 10 else "bb", toxic))
+    full = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    model = toxicity.fit(full.select("doc_id", "text", "lang"), full.select("doc_id", "toxic"), sample=150, default=0.999999)
+    got = toxicity.score(full, model, ["lang", "toxic"]).collect()
+    for lang in ("aa", "bb"):  # 50 toxic and 100 clean rows of bb; the sample has some 5 and 10
+        mine = [r for r in got if r.lang == lang]
+
+        def f1(limit):
+            hit = [r.toxic for r in mine if r.score >= limit]
+            return 2 * sum(hit) / (len(hit) + sum(r.toxic for r in mine))
+        assert f1(model.thresholds[lang]) >= max(f1(r.score) for r in mine) - 0.02
+
+
 def test_toxicity_scores_dont_depend_on_the_batch():
     model = toxicity.train([toxicity.word_ids(t) for t in ("a b scum", "a b c", "d scum", "d e f")], np.array([1., 0, 1, 0]))
     some = [toxicity.word_ids(t) for t in ("scum x y", "", "a", "b scum", "c d e f g")]
