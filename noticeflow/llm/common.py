@@ -131,3 +131,28 @@ def runs(keys: np.ndarray) -> np.ndarray:
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+
+
+def attach(rows: DataFrame, totals: DataFrame, key: str, weight: str, share: int = 1000) -> DataFrame:
+    """``rows`` with the columns of ``totals`` (one row per key; nulls are one key), hot keys not shuffled.
+
+    ``weight`` is the number of ``rows`` under a key.  Keys that hold more than
+    one part in ``share`` of all rows are fewer than ``share`` by arithmetic:
+    those are broadcast, and their rows are dealt out evenly past the join on
+    the remaining keys, none of which can fill a task.
+    """
+    total = totals.agg(F.sum(weight)).first()[0] or 0
+    names = [c for c in totals.columns if c not in (key, weight)]
+    hot, cold = F.col(weight) * share > total, F.col(weight) * share <= total
+    near = totals.where(hot).select(F.col(key).alias("_hot"), F.lit(True).alias("_hit"),
+                                    *[F.col(c).alias(f"_hot_{c}") for c in names])
+    far = totals.where(cold).select(F.col(key).alias("_cold"), F.lit(0).alias("_deal"),
+                                    *[F.col(c).alias(f"_cold_{c}") for c in names])
+    first = rows.join(F.broadcast(near), F.col(key).eqNullSafe(F.col("_hot")), "left")
+    first = first.withColumns({
+        "_asked": F.when(F.col("_hit").isNull(), F.col(key)),
+        "_salt": F.when(F.col("_hit").isNull(), F.lit(0)).otherwise(
+            (F.monotonically_increasing_id() % share).cast("int") + 1)})
+    both = first.join(far, F.col("_asked").eqNullSafe(F.col("_cold")) & (F.col("_salt") == F.col("_deal")), "left")
+    return both.select(*[F.col(c) for c in rows.columns],
+                       *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in names])

@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, hash_ring, knn_join, langid, mixing_lm, packing, simhash_dedup, suffix_dedup,
-               token_counts, toxicity)
-from .common import held_out, table
+from . import (decontaminate, hash_ring, id_files, knn_join, langid, mixing_lm, packing, prefix_trie, simhash_dedup,
+               suffix_dedup, token_counts, toxicity, vector_codes)
+from .common import held_out, shared_dir, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,6 +88,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op11_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = id_files.folder_for(spark, shared_dir(spark))
+    id_files.write_ids(table(spark, sf_dir, "documents"), folder, BYTE_BPE, end_id=0)
+    return id_files.read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.product_codes(table(spark, sf_dir, "embeddings"), scale=4096.0, parts=8, entries=16, rounds=6)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,6 +110,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_decontamination, op2_language_id, op3_simhash_near_dedup, op4_toxicity, op5_suffix_array_dedup,
-    op6_exact_top_k, op7_sharding, op8_token_counts, op9_lm_scoring, op10_packing, pipeline)}
+    op6_exact_top_k, op7_sharding, op8_token_counts, op9_lm_scoring, op10_packing, op11_id_files, op12_vector_codes,
+    op13_prefix_trie, pipeline)}
 
 ORACLE_SQL: dict[str, str] = {"op6_exact_top_k": OP6_SQL}

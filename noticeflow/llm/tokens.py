@@ -92,3 +92,144 @@ class BytePairs:
             return self.whole(text)
         first = self.ranks.encode_ordinary(head) if self.ranks else self.library.encode(head, add_special_tokens=False).ids
         return np.array(first, "<u4").tobytes() + b"".join(got)
+
+
+#: White space and special strings that keep a text from being cut at its single spaces and line feeds.
+_UNCUT = (r"[ \n]{2}|^[ \n]|[ \n]$|[\x{09}\x{0B}-\x{0D}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+          r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+
+
+@functools.cache
+def array_ids(path: str) -> "ArrayIds":
+    return ArrayIds(path)
+
+
+class ArrayIds:
+    """Ids of a byte-level BPE file (.json) for whole columns of texts, equal to the library's.
+
+    As in ``BytePairs`` a text is cut at single spaces and line feeds, here by
+    Arrow for all texts at once; only pieces not seen before are merged, all in
+    one call.  A text with other white space, or with a special string, goes
+    to the library whole.
+    """
+
+    def __init__(self, path: str):
+        self.pairs = byte_pairs(path)
+        self.library = self.pairs.library
+        self.uncut = "|".join([_UNCUT, *(re.escape(s) for s in self.pairs.special)])
+        self.bytes_of = None
+        if self.pairs.ranks:  # length of each id's bytes
+            values = self.pairs.ranks.token_byte_values()
+            self.bytes_of = np.zeros(self.pairs.ranks.n_vocab, np.int64)
+            for v in values:
+                self.bytes_of[self.pairs.ranks.encode_single_token(v)] = len(v)
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.table, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.library.encode_batch(texts, add_special_tokens=False)]
+
+    def fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, ids of each) of pieces that begin with a space or line feed: one call for all of them."""
+        if self.bytes_of is None:
+            ids = self.whole(pieces)
+            return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
+        joined = "".join(pieces)
+        ids = np.array(self.pairs.ranks.encode_ordinary(joined), np.uint32)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        if not joined.isascii():
+            size = np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces))
+        stop = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(size)) + 1
+        return ids, np.diff(stop, prepend=0)
+
+    def slots(self, pieces: list[str]) -> np.ndarray:
+        """Places in the table of pieces that begin with a space or line feed; the table's size is bounded."""
+        if len(self.slot) + len(pieces) > 4 * CACHE and self.slot:
+            self.forget()
+        got = list(map(self.slot.get, pieces))
+        new = [p for p, s in zip(pieces, got) if s is None]
+        if new:
+            ids, size = self.fresh(new)
+            first = len(self.slot)
+            while self.used + len(ids) > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            while first + len(new) > len(self.start):
+                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+                self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+            self.table[self.used:self.used + len(ids)] = ids
+            self.start[first:first + len(new)] = self.used + np.cumsum(size) - size
+            self.length[first:first + len(new)] = size
+            self.used += len(ids)
+            self.slot.update(zip(new, range(first, first + len(new))))
+            fresh = iter(range(first, first + len(new)))
+            got = [next(fresh) if s is None else s for s in got]
+        return np.array(got, np.int64)
+
+    def __call__(self, column, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, ids of each); a null text is empty; ``end_id`` follows each text."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        column = column.fill_null("")
+        n = len(column)
+        odd = pc.match_substring_regex(column, self.uncut).to_numpy(zero_copy_only=False)
+        if not odd.any():
+            flat, size = self.cut(column, end_id)
+            return flat, size
+        plain, plain_size = self.cut(column.filter(pa.array(~odd)), end_id)
+        whole = self.whole(column.filter(pa.array(odd)).to_pylist())
+        tail = [] if end_id is None else [np.array([end_id], np.uint32)]
+        whole = [np.concatenate([w, *tail]) for w in whole]
+        size = np.zeros(n, np.int64)
+        size[~odd], size[odd] = plain_size, [len(w) for w in whole]
+        ends = np.concatenate(([0], np.cumsum(plain_size)))
+        before = np.cumsum(~odd)
+        parts, done = [], 0
+        for i, w in zip(np.flatnonzero(odd), whole):
+            parts += [plain[ends[done]:ends[before[i]]], w]
+            done = before[i]
+        return np.concatenate([*parts, plain[ends[done]:]]), size
+
+    def cut(self, column, end_id: int | None):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        n = len(column)
+        words = pc.split_pattern(pc.replace_substring(column.cast(pa.large_string()), "\n", " \n"), " ")
+        offsets = words.offsets.to_numpy() - words.offsets[0].as_py() if n else np.zeros(1, np.int64)
+        flat = words.flatten()
+        named = flat.dictionary_encode()
+        own_table = []
+        if n:
+            slot = self.slots([p if p[:1] == "\n" else " " + p for p in named.dictionary.to_pylist()])
+            code = slot[named.indices.to_numpy()]
+            # the first piece of a text has no space before it: worked out anew, after the table's end
+            heads = flat.take(pa.array(offsets[:-1])).dictionary_encode()
+            ranks = self.pairs.ranks
+            own_table = [np.array(ranks.encode_ordinary(h) if ranks else
+                                  self.library.encode(h, add_special_tokens=False).ids, np.uint32)
+                         for h in heads.dictionary.to_pylist()]
+            code[offsets[:-1]] = len(self.slot) + heads.indices.to_numpy()
+        else:
+            code = np.zeros(0, np.int64)
+        if end_id is not None:
+            code = np.insert(code, offsets[1:], len(self.slot) + len(own_table))
+            offsets = offsets + np.arange(n + 1)
+            own_table.append(np.array([end_id], np.uint32))
+        own_length = np.array([len(x) for x in own_table], np.int64)
+        own_start = self.used + np.cumsum(own_length) - own_length
+        length = np.concatenate([self.length[:len(self.slot)], own_length])
+        start = np.concatenate([self.start[:len(self.slot)], own_start])
+        table = np.concatenate([self.table[:self.used], *own_table])
+        size = length[code]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(start[code] - (ends - size), size) + np.arange(total)
+        ends = np.concatenate(([0], ends))
+        return table[at], ends[offsets[1:]] - ends[offsets[:-1]]
