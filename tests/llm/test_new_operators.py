@@ -232,21 +232,36 @@ def plain_trie(rows):
     for c, turns in own.items():
         h = zlib.crc32(str(c).encode()) % 6
         built[c] = tuple(own.get(c - int(math.fmod(c, 100)), [])[:h] + turns[h:])
-    members, ends = collections.defaultdict(list), collections.defaultdict(list)
-    for c, seq in built.items():
-        ends[seq].append(c)
-        for d in range(len(seq) + 1):
-            members[seq[:d]].append(c)
-    children = collections.Counter(n[:-1] for n in members if n)
-    leaves, saved = collections.Counter(), collections.Counter()
-    for n, m in members.items():
-        gain = (len(m) - 1) * len(n[-1][1]) if n else 0
-        for d in range(len(n) + 1):
-            saved[n[:d]] += gain
-            leaves[n[:d]] += children[n] == 0
+    child, parent, last = {}, [None], [""]
+    members, ends = [[]], [[]]
+    for c in sorted(built):
+        node = 0
+        members[0].append(c)
+        for turn in built[c]:
+            if (node, turn) not in child:
+                child[node, turn] = len(parent)
+                parent.append(node)
+                last.append(turn[1])
+                members.append([])
+                ends.append([])
+            node = child[node, turn]
+            members[node].append(c)
+        ends[node].append(c)
+    if not built:
+        return collections.Counter()
+    n = len(parent)  # children come after their parents
+    depth, children, leaves = [0] * n, collections.Counter(parent[1:]), [0] * n
+    saved = [(len(m) - 1) * len(t) for m, t in zip(members, last)]
+    for v in range(1, n):
+        depth[v] = depth[parent[v]] + 1
+    for v in range(n - 1, -1, -1):
+        leaves[v] += children[v] == 0
+        if v:
+            leaves[parent[v]] += leaves[v]
+            saved[parent[v]] += saved[v]
     return collections.Counter(
-        (min(m), len(n), min(members[n[:-1]]) if n else None, len(m), children[n], leaves[n], saved[n],
-         hashlib.sha256(",".join(map(str, sorted(ends[n]))).encode()).hexdigest()) for n, m in members.items())
+        (members[v][0], depth[v], members[parent[v]][0] if v else None, len(members[v]), children[v], leaves[v],
+         saved[v], hashlib.sha256(",".join(map(str, ends[v])).encode()).hexdigest()) for v in range(n))
 
 
 def trie_rows(seed, convs, depth, words):
