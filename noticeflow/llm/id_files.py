@@ -122,15 +122,16 @@ def _write(folder: str, path: str, end_id: int, segment: int):
             if out is None:
                 files.create_dir(base, recursive=True)
                 out = files.open_output_stream(f"{base}/{name}")
-            size = np.concatenate(lengths)
-            data = pack_segment(pa.concat_arrays(docs), size, np.concatenate(ids))
+            size, flat, names = np.concatenate(lengths), np.concatenate(ids), pa.concat_arrays(docs)
+            docs, lengths, ids = [], [], []
+            data = pack_segment(names, size, flat)
             out.write(data)
             rows.append((part, len(rows), f"{folder}/{name}", at, len(data), int(size.sum()), len(size)))
             at += len(data)
-            docs, lengths, ids, held = [], [], [], 0
+            held = 0
 
         for batch in batches:
-            for start, stop in packs(batch.column(1), 8 << 20):
+            for start, stop in packs(batch.column(1), 4 << 20):
                 piece = batch.slice(start, stop - start)
                 flat, size = find(piece.column(1), end_id)
                 docs.append(piece.column(0))

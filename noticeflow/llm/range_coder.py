@@ -110,7 +110,7 @@ class _Lanes:
                 self.used[j] = at + 1
             else:
                 at = self.at[j]
-                self.code[j] = (self.code[j] << _U16) | self.words[at]
+                self.code[j] = (self.code[j] << _U16) | self.words[at].astype(np.uint64)
                 self.at[j] = at + 1
             low <<= _U16
             span <<= _U16
@@ -191,7 +191,8 @@ class _Lanes:
         if ids is not None:
             full = np.zeros(self.n * block, np.int32)
             full[:length] = ids
-            table = np.ascontiguousarray(full.reshape(self.n, block).T)
+            table[:] = full.reshape(self.n, block).T
+            del full
         short = length - (self.n - 1) * block
         one = two = np.zeros(self.n, np.int32)
         for t in range(block):
@@ -222,15 +223,20 @@ def encode(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     if top < 1 << 22:
         count = np.bincount(ids, minlength=top + 1)
         symbols = np.flatnonzero(count)
-        inverse = np.cumsum(count > 0)[ids] - 1
         count = count[symbols]
     else:
-        symbols, inverse, count = np.unique(ids, return_inverse=True, return_counts=True)
+        symbols, count = np.unique(ids, return_counts=True)
     order = np.lexsort((symbols, -count))
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
+    if top < 1 << 22:
+        at = np.zeros(top + 1, np.int32)
+        at[symbols] = rank
+        ranks = at[ids]
+    else:
+        ranks = rank[np.searchsorted(symbols, ids)]
     lanes = _Lanes(-(-len(ids) // block), frequencies(count[order]))
-    lanes.run(rank[inverse], len(ids), block)
+    lanes.run(ranks, len(ids), block)
     words, sizes = lanes.finish()
     return symbols[order], count[order], words, sizes
 
@@ -239,6 +245,6 @@ def decode(symbols: np.ndarray, count: np.ndarray, words: np.ndarray, sizes: np.
            block: int) -> np.ndarray:
     """Ids of consecutive blocks of a segment (``sizes`` words each, only the last block may be short)."""
     starts = (np.cumsum(sizes) - sizes).astype(np.int64)
-    padded = np.append(words, np.zeros(8, words.dtype)).astype(np.uint64)
+    padded = np.append(words, np.zeros(8, words.dtype))
     lanes = _Lanes(len(sizes), frequencies(count), padded, starts)
     return symbols[lanes.run(None, length, block)]

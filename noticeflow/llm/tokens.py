@@ -148,7 +148,7 @@ class ArrayIds:
 
     def slots(self, pieces: list[str]) -> np.ndarray:
         """Places in the table of pieces that begin with a space or line feed; the table's size is bounded."""
-        if len(self.slot) + len(pieces) > 4 * CACHE and self.slot:
+        if len(self.slot) + len(pieces) > 2 * CACHE and self.slot:
             self.forget()
         got = list(map(self.slot.get, pieces))
         new = [p for p, s in zip(pieces, got) if s is None]
