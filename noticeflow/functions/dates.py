@@ -55,6 +55,25 @@ def parse_declared(c: ColumnOrName, patterns: list[str]) -> Column:
     return parse_with(py_strip(c), patterns)
 
 
+def parse_by_formats(c: ColumnOrName, formats: ColumnOrName, known: list[str]) -> Column:
+    """First format of an array column that parses (D-3), a fold over the array.
+
+    ``known`` formats are literals, whose parsers are built once; any other
+    format of a row is built for that row.  A format that Spark refuses parses
+    nothing.
+    """
+    text = py_strip(c)
+
+    def one(pattern: Column) -> Column:
+        out = None
+        for k in known:
+            out = F.when(pattern == k, F.try_to_date(text, k)) if out is None else out.when(pattern == k, F.try_to_date(text, k))
+        other = F.try_to_timestamp(text, pattern).cast("date")
+        return other if out is None else out.otherwise(other)
+
+    return F.aggregate(_c(formats), F.lit(None).cast("date"), lambda got, pattern: F.coalesce(got, one(pattern)))
+
+
 def parse_master_date(c: ColumnOrName) -> Column:
     """Master sheet dialects: ISO, day-first, ``dd Mon yyyy`` with ``Sept`` (D-4, D-5)."""
     s = py_strip(c)

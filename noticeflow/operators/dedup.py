@@ -26,25 +26,27 @@ def keep_last(df: DataFrame, key: list[str], order: list[str | Column]) -> DataF
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def _keep_last_notice(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """Keep last by ``key``, in which a blank cell and a missing one are the same:
+    pages give the one, a sheet export the other."""
+    types = dict(df.dtypes)
+    keys = {f"_k{i}": F.nullif(F.col(c), F.lit("")) if types[c] == "string" else F.col(c) for i, c in enumerate(key)}
+    return keep_last(df.withColumns(keys), list(keys), order).drop(*keys)
+
+
 def keep_last_key6(df: DataFrame, order: list[str] = LINEAGE) -> DataFrame:
-    """Keep last across sources and keywords by the six descriptive columns (DD-3)."""
-    return keep_last(df, KEY6, order)
+    """Keep last across runs, sources and keywords by the six descriptive columns (DD-3)."""
+    return _keep_last_notice(df, KEY6, order)
 
 
 def keep_last_key7(df: DataFrame, order: list[str] = LINEAGE) -> DataFrame:
     """Keep last by the six columns plus URL (DD-2)."""
-    return keep_last(df, KEY7, order)
+    return _keep_last_notice(df, KEY7, order)
 
 
 def keep_existing(df: DataFrame, order: list[str] = LINEAGE) -> DataFrame:
-    """Master precedence (DD-4): existing (annotated) rows come after fresh ones.
-
-    A blank key cell and a missing one are the same key: pages give the one,
-    a sheet export the other.
-    """
-    types = dict(df.dtypes)
-    keys = {f"_k{i}": F.nullif(F.col(c), F.lit("")) if types[c] == "string" else F.col(c) for i, c in enumerate(KEY6)}
-    return keep_last(df.withColumns(keys), list(keys), ["is_existing"] + list(order)).drop(*keys)
+    """Master precedence (DD-4): existing (annotated) rows come after fresh ones."""
+    return _keep_last_notice(df, KEY6, ["is_existing"] + list(order))
 
 
 def ordered_keywords(text: Column) -> Column:

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import WINDOW_DAYS, _as_date, window_start
+from ..session import materialize
+
+#: Groups of a take-while whose cut-offs are broadcast.
+BROADCAST_GROUPS = 100_000
 
 
 def recent(df: DataFrame, as_of, col: str = "received_date",
@@ -39,15 +43,19 @@ def take_while(df: DataFrame, by: list[str], order: list[str], stop: Column) ->
     Rows after (and including) the first stopping row of their group are
     dropped.  Instead of a running window partitioned by ``by`` (one task per
     group, which breaks when one source holds a third of the rows), the first
-    stopping position per group is found with a partial aggregation and
-    joined back; AQE turns that join into a broadcast when the per-group
-    table is small at run time, and splits a skewed partition otherwise.
+    stopping position per group is found with a partial aggregation and kept
+    by a checkpoint.  Its rows are counted: up to ``BROADCAST_GROUPS`` (some
+    tens of bytes each) it is broadcast, and the listing is not shuffled at
+    all, however hot a source is; beyond, both sides are joined by a shuffle
+    with the same result.
     """
     pos = _position(df, order)
-    cut = (df.where(stop).groupBy(*by).agg(F.min(pos).alias("_first_stop")))
-    joined = df.join(cut, on=by, how="left")
-    return joined.where(F.col("_first_stop").isNull() | (pos < F.col("_first_stop"))) \
-        .drop("_first_stop")
+    cut = materialize(df.where(stop).groupBy(*by).agg(F.min(pos).alias("_first_stop")))
+    side = F.broadcast(cut) if cut.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS else cut
+    side = side.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_first_stop")
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    joined = df.join(side, same, "left")
+    return joined.where(F.col("_first_stop").isNull() | (pos < F.col("_first_stop"))).select(*df.columns)
 
 
 def _position(df: DataFrame, order: list[str]) -> Column:

@@ -57,7 +57,7 @@ def apps(orders: DataFrame) -> DataFrame:
         F.when(k3 == 0, "data").when(k3 == 1, "gas").otherwise("tunnel").alias("search_term"),
         cls.alias("class"),
         F.when(cls == "council", 1).when(cls == "sid", 8).otherwise(9).alias("source_rank"),
-        (k3 + 1).cast("int").alias("keyword_rank"),
+        F.lit(0).alias("run_day"), (k3 + 1).cast("int").alias("keyword_rank"),
         F.lit(1).alias("site_rank"),
         F.floor(F.col("o_orderkey") / ROWS_PER_PAGE).cast("int").alias("page_no"),
         (F.col("o_orderkey") % ROWS_PER_PAGE).cast("int").alias("row_pos"),
@@ -230,6 +230,8 @@ def _capture_source(as_of) -> tuple[Column, Column]:
            .when(lay == "deflist4", F.lit("southdublin"))
            .when(lay.isin("cards6", "case1"), F.lit("board"))
            .otherwise(F.lit("consultations")))
+    # a page's source is data, also where all pages of a query have the same one
+    sid = F.when(page.isNotNull(), sid)
     url = (F.when(lay == "table", F.element_at(F.array(*map(F.lit, STANDARD_SITES)), std_idx))
            .when(lay == "grid5", F.lit(KILDARE_URL))
            .when(lay == "responsive7", agile)

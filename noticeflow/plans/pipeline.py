@@ -1,38 +1,46 @@
 """Composite pipelines (PIPE-1..PIPE-5).
 
-captures -> parse (native regexes, Python only for flagged pages) -> records
--> normalise -> window -> combine -> merge with the master -> announce ->
-publish.  Every function returns a
-lazy DataFrame; Catalyst sees the whole plan.
+captures -> newest lists, latest attempts -> parse (native regexes, Python only
+for flagged pages) -> records -> normalise -> window -> combine -> merge with
+the master -> announce -> publish.  Every function returns a DataFrame; those
+that read their input more than once (``apply_window`` over consultations,
+``run_refresh`` with a report) first cut it with a reliable checkpoint, which
+runs a job, and ``filters.take_while`` counts its per-source table.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as X
 from ..functions.announce import DEFAULT_HELP_URL, DEFAULT_TAG, draft_announcement
 from ..functions.cache import per_jvm
-from ..operators import audit, dedup, extract, filters, ordering, sets
+from ..operators import dedup, extract, filters, ordering, sets
 from ..schema import (BOARD_CASE_BASE, CANONICAL9, CONSULTATION_BASE, DEADLINE_DAYS, KEY6,
-                      LINEAGE, MASTER13, UNDECLARED_FORMATS)
+                      LAYOUT_DATE_FORMATS, LINEAGE, MASTER13, NO_RUN)
 from ..session import materialize
 
-PARSE_INPUT = ["source_id", "source_rank", "site_rank", "layout", "keyword", "keyword_rank",
+PARSE_INPUT = ["fetched_on", "source_id", "source_rank", "site_rank", "layout", "keyword", "keyword_rank",
                "list_pos", "page_no", "attempt", "url", "html"]
-PAGE_KEY = ["source_id", "keyword", "list_pos", "page_no"]
-MAX_BROADCAST_RETRIES = 200_000  # beyond, both sides are shuffled
-LITERAL_SOURCES = 1_000  # beyond, the sources are joined
+#: Layouts that a source publishes as numbered lists, the newest first (L-1).
+LIST_LAYOUTS = ["cards6", "case1"]
+LATEST_LISTS = 4
 
 
 def capture_pages(captures: DataFrame, latest_only: bool = True) -> DataFrame:
-    """One row per captured page with its records; the HTML is dropped after parsing."""
+    """One row per captured page with its records; the HTML is dropped after parsing.
+
+    Only the newest lists' pages and the latest attempts are parsed.
+    """
+    captures = newest_lists(captures)
     if latest_only:
         captures = drop_superseded(captures)
+    if "fetched_on" not in captures.columns:
+        captures = captures.withColumn("fetched_on", F.lit(None).cast("date"))
     return extract.page_records(extract.parse_pages(captures.select(*PARSE_INPUT)))
 
 
@@ -46,65 +54,88 @@ def extract_records(captures: DataFrame, latest_only: bool = True) -> tuple[Data
     return extract.explode_records(pages), extract.quarantine_pages(pages)
 
 
+def _equal(*columns: Column) -> list[Column]:
+    """Texts that are equal where the columns are, missing values included."""
+    return [F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("")) for c in columns]
+
+
+def newest_lists(captures: DataFrame, k: int = LATEST_LISTS) -> DataFrame:
+    """Captures without the pages of lists older than a source's ``k`` newest, before anything is parsed (L-1).
+
+    A source of a list layout numbers its lists from the newest on; the ranks
+    of the distinct (run, source, list) are worked out from the capture
+    metadata, and what is too old is anti-joined.  Fewer lists, pages without
+    a list number and other layouts all stay.
+    """
+    run = F.col("fetched_on") if "fetched_on" in captures.columns else F.lit(None)
+    key = dict(zip(("_run", "_source"), _equal(run, F.col("source_id"))))
+    lists = (captures.where(F.col("layout").isin(LIST_LAYOUTS) & F.col("list_pos").isNotNull())
+             .select(*[c.alias(n) for n, c in key.items()], F.col("list_pos").alias("_list")).distinct())
+    w = Window.partitionBy("_run", "_source").orderBy("_list")
+    old = lists.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") > k).drop("_r")
+    listed = F.when(F.col("layout").isin(LIST_LAYOUTS), F.col("list_pos"))
+    return (captures.withColumns(key | {"_list": listed}).join(old, ["_run", "_source", "_list"], "left_anti")
+            .select(*captures.columns))
+
+
 def drop_superseded(captures: DataFrame) -> DataFrame:
     """Captures of each page's latest attempt (EXT-13), before anything is parsed.
 
-    A page is its source, keyword, list, page number and capture date (a later
-    run's page is no retry of an earlier run's); without a page number its URL
-    stands in.  Missing values are equal to each other.  Of captures
-    with the same latest attempt all stay (their records meet in the
-    deduplication); a missing attempt is older than any other.
+    A page is its run (capture date), source, keyword, list and page number;
+    without a page number its URL stands in.  Missing values are equal to each
+    other.  Of captures with the same latest attempt all stay (their records
+    meet in the deduplication); a missing attempt is older than any other.
 
-    Which pages were retried is found from the capture metadata only.  The
-    result is the same whatever their number: it is counted to decide whether
-    they may be broadcast, or Spark shuffles both sides.
+    One lazy plan: the pages that were tried more than once come from an
+    aggregate over the capture metadata, and their older captures are
+    anti-joined.  Most runs have few or none, which AQE sees at run time (a
+    broadcast, or no join at all).
     """
-    key = {"_source": F.col("source_id"), "_kw": F.col("keyword"), "_list": F.col("list_pos").cast("string"),
-           "_page": F.coalesce(F.concat(F.lit("p"), F.col("page_no").cast("string")),
-                               F.concat(F.lit("u"), F.col("url")))}
-    if "fetched_on" in captures.columns:
-        key["_run"] = F.col("fetched_on").cast("string")
-    # a marked text, so that a missing value equals itself in the join
-    key = {n: F.coalesce(F.concat(F.lit("="), c), F.lit("")) for n, c in key.items()}
-    attempt = F.coalesce(F.col("attempt"), F.lit(-1))
-    retried = (captures.select(*[c.alias(n) for n, c in key.items()], attempt.alias("_attempt"))
-               .groupBy(*key).agg(F.max("_attempt").alias("_latest"), F.min("_attempt").alias("_first"))
-               .where("_latest <> _first").select(*key, "_latest"))
-    n = retried.limit(MAX_BROADCAST_RETRIES + 1).count()
-    if n == 0:
-        return captures
-    side = F.broadcast(retried) if n <= MAX_BROADCAST_RETRIES else retried
-    joined = captures.withColumns({**key, "_attempt": attempt}).join(side, list(key), "left")
-    return (joined.where(F.col("_latest").isNull() | (F.col("_attempt") == F.col("_latest")))
-            .select(*captures.columns))
+    run = F.col("fetched_on") if "fetched_on" in captures.columns else F.lit(None)
+    page = F.coalesce(F.concat(F.lit("p"), F.col("page_no").cast("string")), F.concat(F.lit("u"), F.col("url")))
+    names = ["_run", "_source", "_kw", "_list", "_page"]
+    key = dict(zip(names, _equal(run, F.col("source_id"), F.col("keyword"), F.col("list_pos"), page)))
+    attempt = F.coalesce(F.col("attempt"), F.lit(-(1 << 31)))
+    tried = captures.select(*[c.alias(n) for n, c in key.items()], attempt.alias("_attempt"))
+    retried = (tried.groupBy(*names).agg(F.max("_attempt").alias("_latest"), F.min("_attempt").alias("_first"))
+               .where("_latest <> _first").drop("_first"))
+    marked = captures.withColumns(key | {"_attempt": attempt})
+    older = [marked[n] == retried[n] for n in names] + [marked["_attempt"] < retried["_latest"]]
+    return marked.join(retried, older, "left_anti").select(*captures.columns)
+
+
+def source_rules(sources: DataFrame) -> DataFrame:
+    """The dimension by its key; a source that is listed twice ends the run with an error."""
+    formats = F.col("date_formats") if "date_formats" in sources.columns else F.lit(None).cast("array<string>")
+    rules = F.struct(F.col("authority").alias("_authority"), F.col("class").alias("source_class"),
+                     F.col("deadline_days").cast("int").alias("deadline_days"), formats.alias("_formats"))
+    one = sources.groupBy("source_id").agg(F.any_value(rules).alias("r"), F.count(F.lit(1)).alias("n"))
+    twice = F.raise_error(F.concat(F.lit("source listed twice: "), F.coalesce("source_id", F.lit("NULL"))))
+    return one.withColumn("r", F.when(F.col("n") == 1, F.col("r")).otherwise(twice.cast(one.schema["r"].dataType))) \
+        .select("source_id", "r.*")
 
 
 def normalise(records: DataFrame, sources: DataFrame) -> DataFrame:
-    """Raw records -> canonical columns + lineage + class (PIPE-1)."""
-    about = sources.select("source_id", F.col("authority").alias("_authority"), F.col("class").alias("source_class"),
-                           F.col("deadline_days").cast("int").alias("deadline_days"))
-    # A fixed dimension of some rows goes into the plan as literal maps: a join on the key of a single
-    # source, a constant, would become a nested loop.  A larger one is joined; the result is the same.
-    rows = about.limit(LITERAL_SOURCES + 1).collect()
-    if len(rows) > LITERAL_SOURCES:
-        return records.join(about, "source_id", "left").select(*_normalise_exprs())
-    return records.withColumns({c: _lookup(rows, c, about.schema[c].dataType.simpleString())
-                                for c in ("_authority", "source_class", "deadline_days")}).select(*_normalise_exprs())
+    """Raw records -> canonical columns + lineage + class (PIPE-1).
 
-
-def _lookup(rows: list, col: str, kind: str) -> Column:
-    pairs = [x for r in rows for x in (F.lit(r["source_id"]), F.lit(r[col]).cast(kind))]
-    return F.element_at(F.create_map(*pairs), F.col("source_id")) if pairs else F.lit(None).cast(kind)
+    One equi-join on the dimension's checked key, whatever its size; a source
+    that is not listed has NULL rules.
+    """
+    if "fetched_on" not in records.columns:
+        records = records.withColumn("fetched_on", F.lit(None).cast("date"))
+    run = F.coalesce(F.unix_date("fetched_on"), F.lit(NO_RUN))
+    return (records.withColumn("run_day", run).join(source_rules(sources), "source_id", "left")
+            .select(*_normalise_exprs()))
 
 
 @per_jvm
 def _normalise_exprs() -> list:
     lay = F.col("detected_layout")
-    day_first = lay.isin("table", "grid5", "deflist4", "cards6", "case1")
-    received = (F.when(day_first, D.parse_day_first("raw_received"))
-                .when(lay.isin("responsive7", "columns4"),
-                      D.parse_declared("raw_received", UNDECLARED_FORMATS))
-                .when(lay == "links5", D.parse_long_month("raw_received")))
+    known = list(dict.fromkeys(f for formats in LAYOUT_DATE_FORMATS.values() for f in formats))
+    # a source's own formats first, else those of its layout
+    received = F.when(F.col("_formats").isNotNull(), D.parse_by_formats("raw_received", "_formats", known))
+    for name, formats in LAYOUT_DATE_FORMATS.items():
+        received = received.when(lay == name, D.parse_declared("raw_received", formats))
     authority = (F.when(lay.isin("table", "grid5"), F.col("raw_authority"))
                  .when(lay == "responsive7", X.authority_from_url("url"))
                  .otherwise(F.col("_authority")))
@@ -141,7 +172,11 @@ def refresh_report(captures: DataFrame, sources: DataFrame) -> DataFrame:
     One row per finding: kind (page / date / source), source_id, url, file_number, detail.
     The pages are parsed once and kept without their HTML by a checkpoint.
     """
-    pages = materialize(capture_pages(captures))
+    return report_pages(materialize(capture_pages(captures)), captures, sources)
+
+
+def report_pages(pages: DataFrame, captures: DataFrame, sources: DataFrame) -> DataFrame:
+    """``refresh_report`` from parsed pages; of the captures only the sources' names are read."""
     none = F.lit(None).cast("string")
     broken = extract.quarantine_pages(pages).select(
         F.lit("page").alias("kind"), "source_id", "url", none.alias("file_number"), F.col("error").alias("detail"))
@@ -156,19 +191,19 @@ def refresh_report(captures: DataFrame, sources: DataFrame) -> DataFrame:
 
 def apply_window(normalised: DataFrame, as_of, days: int | None = D.WINDOW_DAYS) -> DataFrame:
     """Recent notices only: inclusive window for listings (F-2); consultations are
-    read newest-first and stop at the first old one (F-5).  Board cases have no
-    window: their lists are those of the current year already (F-6)."""
+    read newest-first and stop at the first old one (F-5), run by run.  Board
+    cases have no window: their lists are those of the current year already (F-6)."""
     good = normalised.where(F.col("received_date").isNotNull())
     if days is None:
         return good
-    listing = filters.recent(good.where(~F.col("detected_layout").isin("links5", "cards6", "case1")),
-                             as_of, days=days)
-    board = good.where(F.col("detected_layout").isin("cards6", "case1"))
     cut = D.window_start(as_of, days)
-    consult = filters.take_while(good.where(F.col("detected_layout") == "links5"),
-                                 by=["source_id"], order=["page_no", "row_pos"],
+    lay = F.col("detected_layout")
+    plain = good.where(lay.isin("cards6", "case1") | (~lay.isin("links5", "cards6", "case1")
+                                                      & (F.col("received_date") >= cut)))
+    by = [c for c in ("source_id", "run_day") if c in normalised.columns]
+    consult = filters.take_while(good.where(lay == "links5"), by=by, order=["page_no", "row_pos"],
                                  stop=F.col("received_date") <= cut)
-    return sets.append(sets.append(listing, board), consult)
+    return sets.append(plain, consult)
 
 
 def combine(normalised: DataFrame) -> DataFrame:
@@ -181,13 +216,20 @@ def combine(normalised: DataFrame) -> DataFrame:
 def fresh_notices(captures: DataFrame, sources: DataFrame, as_of,
                   days: int | None = D.WINDOW_DAYS) -> DataFrame:
     """captures -> canonical9 + lineage: PIPE-1 + window + PIPE-2."""
-    records, _ = extract_records(captures)
-    normalised = normalise(records, sources)
-    if days is not None:
-        # The window reads the rows up to three times (listing filter, the
-        # consultations' cut-off aggregate and the rows it is joined to):
-        # checkpoint once so the pages are parsed once.
-        normalised = materialize(normalised)
+    return fresh_from_pages(capture_pages(captures), sources, as_of, days)
+
+
+def fresh_from_pages(pages: DataFrame, sources: DataFrame, as_of, days: int | None = D.WINDOW_DAYS,
+                     parsed_once: bool = False) -> DataFrame:
+    """``fresh_notices`` from parsed pages; ``parsed_once``: the pages are kept already, not a plan that parses."""
+    normalised = normalise(extract.explode_records(pages), sources)
+    if days is not None and not parsed_once:
+        # The window reads consultations again for their cut-off: what it can
+        # drop at once goes first, then one checkpoint keeps the rest, so the
+        # pages are parsed once.
+        lay = F.col("detected_layout")
+        recent = F.col("received_date") >= D.window_start(as_of, days)
+        normalised = materialize(normalised.where(lay.isin("links5", "cards6", "case1") | recent))
     return combine(apply_window(normalised, as_of, days))
 
 
@@ -247,7 +289,10 @@ def run_refresh(captures: DataFrame, sources: DataFrame, master: DataFrame, as_o
 
     ``report_path`` is a new folder that gets ``refresh_report`` as Parquet.
     """
-    if report_path is not None:
-        refresh_report(captures, sources).write.parquet(report_path)
-    fresh = fresh_notices(captures, sources, as_of, days)
+    if report_path is None:
+        fresh = fresh_notices(captures, sources, as_of, days)
+    else:  # parsed pages are kept once, for the report and the refresh
+        pages = materialize(capture_pages(captures))
+        report_pages(pages, captures, sources).write.parquet(report_path)
+        fresh = fresh_from_pages(pages, sources, as_of, days, parsed_once=True)
     return announce(merge_master(fresh, master), as_of, help_url, tag)

@@ -30,8 +30,10 @@ KEY6 = [
 KEY7 = KEY6 + ["url"]
 
 # Lineage replaces the implicit row order of concatenated frames.  "Keep last"
-# means the greatest tuple in this order (collector, keyword, site, page, row).
-LINEAGE = ["source_rank", "keyword_rank", "site_rank", "page_no", "row_pos"]
+# means the greatest tuple in this order (run, collector, keyword, site, page,
+# row); ``run_day`` is the capture run's date as days since 1970.
+LINEAGE = ["run_day", "source_rank", "keyword_rank", "site_rank", "page_no", "row_pos"]
+NO_RUN = -(1 << 31)  # a missing capture date is older than any
 
 CANONICAL9_SCHEMA = T.StructType([
     T.StructField("file_number", T.StringType()),
@@ -136,8 +138,9 @@ CONSULTATION_BASE = "https://www.gov.ie"
 
 DEADLINE_DAYS = {"council": 32, "sid": 39, "consultation": 25}
 
-# Date formats per layout (Spark patterns).  Layouts whose source never
-# declared a format get the explicit list below instead of inference.
+# Date formats per layout (Spark patterns), for sources that declare none of
+# their own.  Layouts whose source never declared a format get the explicit
+# list below instead of inference.
 DAY_FIRST = "d/M/yyyy"
 LONG_MONTH = "d MMMM yyyy"
 UNDECLARED_FORMATS = ["yyyy-MM-dd", "d MMM yyyy", "d/M/yyyy"]
@@ -162,6 +165,8 @@ SOURCES_SCHEMA = T.StructType([
     T.StructField("keyword_search", T.BooleanType(), False),
     T.StructField("class", T.StringType(), False),
     T.StructField("deadline_days", T.IntegerType(), False),
+    # tried in turn; NULL: the formats of the page's layout
+    T.StructField("date_formats", T.ArrayType(T.StringType())),
 ])
 
 
@@ -186,7 +191,7 @@ def source_rows() -> list[tuple]:
                  False, "sid", 39))
     rows.append(("consultations", 9, 1, "links5", "Dept. Environment/Climate",
                  CONSULTATION_URL, False, "consultation", 25))
-    return rows
+    return [(*r, None) for r in rows]
 
 
 def sources_df(spark: SparkSession) -> DataFrame:

@@ -3,18 +3,22 @@
 Layout under ``root``::
 
     data/v=<n>/received_month=<yyyy-MM | __none__>/part-*.parquet
-    manifest/v=<n>/part-*.parquet     (received_month, version) for every month
-
-A version becomes visible when its manifest is complete (``_SUCCESS``).  A
-merge rewrites only the months its batch touches -- exact, because the
-received date is part of the deduplication key, so duplicates always share a
-month -- and the manifest points every untouched month at the version that
-already holds it.  Nothing is overwritten in place, so every earlier version
-stays readable (it is the backup taken before each merge).
+    fresh/v=<n>/received_month=.../part-*.parquet    the batch merged into v, kept once
+    manifest/v=<n>.json     the version that holds each month; stream batches done
+
+A version becomes visible when its manifest is renamed into place.  A merge
+rewrites only the months its batch touches -- exact, because the received date
+is part of the deduplication key, so duplicates always share a month -- and the
+manifest points every untouched month at the version that already holds it.
+The input of a publish or merge is evaluated once: which months it touches is
+read from the month folders of what was written.  Nothing is overwritten in
+place, so every earlier version stays readable (it is the backup taken before
+each merge) until ``vacuum`` removes what no kept manifest names.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,47 +50,45 @@ class MasterStore:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
-    def versions(self) -> list[int]:
+    def _names(self, sub: str) -> list[str]:
+        """Names in a folder under the root."""
         fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[2:]))
-        return sorted(out)
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}")
+        return [st.getPath().getName() for st in fs.listStatus(folder)] if fs.exists(folder) else []
+
+    def _months(self, sub: str) -> set[str]:
+        """Months of a written folder: one folder each, bounded by the calendar."""
+        return {n.split("=", 1)[1] for n in self._names(sub) if n.startswith(f"{MONTH}=")}
+
+    def versions(self) -> list[int]:
+        return sorted(int(n[2:-5]) for n in self._names("manifest") if n.startswith("v=") and n.endswith(".json"))
 
     def _next_version(self) -> int:
         """One past every version folder, visible or not: a publish that died
         half-way (data without manifest) is skipped, never reused."""
-        fs, jvm = self._fs()
-        top = 0
-        for sub in ("data", "manifest"):
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}")
-            if fs.exists(p):
-                for st in fs.listStatus(p):
-                    name = st.getPath().getName()
-                    if name.startswith("v="):
-                        top = max(top, int(name[2:]))
-        return top + 1
+        names = [n for sub in ("data", "fresh", "manifest") for n in self._names(sub) if n.startswith("v=")]
+        return max((int(n[2:].removesuffix(".json")) for n in names), default=0) + 1
 
     def _data(self, version: int) -> str:
         return f"{self.root}/data/v={version:06d}"
 
     def _manifest_path(self, version: int) -> str:
-        return f"{self.root}/manifest/v={version:06d}"
+        return f"{self.root}/manifest/v={version:06d}.json"
 
-    def manifest(self, version: int | None = None) -> dict[str, int]:
-        """month -> version holding it (one small row per month)."""
+    def _about(self, version: int | None = None) -> dict:
         vs = self.versions()
         if not vs:
-            return {}
-        v = vs[-1] if version is None else version
-        rows = self.spark.read.parquet(self._manifest_path(v)).collect()
-        return {r[MONTH]: int(r["version"]) for r in rows}
+            return {"months": {}, "streams": {}}
+        fs, jvm = self._fs()
+        f = fs.open(jvm.org.apache.hadoop.fs.Path(self._manifest_path(vs[-1] if version is None else version)))
+        try:
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(f, "UTF-8"))
+        finally:
+            f.close()
+
+    def manifest(self, version: int | None = None) -> dict[str, int]:
+        """month -> version holding it (one entry per month)."""
+        return self._about(version)["months"]
 
     # ------------------------------------------------------------ read
     def read(self, version: int | None = None, months: set[str] | None = None) -> DataFrame:
@@ -113,40 +115,79 @@ class MasterStore:
         return df.where(cond).select(*[F.col(f.name).cast(f.dataType) for f in MASTER_SCHEMA.fields])
 
     # ------------------------------------------------------------ write
-    def _write(self, df: DataFrame, version: int, manifest: dict[str, int]) -> int:
+    def _write(self, df: DataFrame, version: int) -> set[str]:
+        """Writes a version's rows and returns their months."""
         # Stored rows are always in filled form (S-14 is idempotent), so months
         # a merge does not touch look exactly like months it rewrites.
-        # Range-partition on (month, file number): each task writes a few
-        # neighbouring months, and a month with a third of all rows is still
-        # split over many tasks (no per-month funnel, no file per task x month).
+        # Rebalanced by month: a task writes few months, small months share a
+        # task, and Spark splits a month that holds a third of all rows.  No
+        # range partitioning, whose sample would evaluate the merge twice.
         out = fill_human_columns(df).select(*MASTER_SCHEMA.names, month_of().alias(MONTH))
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        (out.repartitionByRange(n, MONTH, "file_number")
-         .write.mode("errorifexists").partitionBy(MONTH).parquet(self._data(version)))
-        rows = sorted(manifest.items())
-        self.spark.createDataFrame(rows, f"{MONTH} string, version int").coalesce(1) \
-            .write.mode("errorifexists").parquet(self._manifest_path(version))
+        out.hint("rebalance", F.col(MONTH)).write.mode("errorifexists").partitionBy(MONTH).parquet(self._data(version))
+        return self._months(f"data/v={version:06d}")
+
+    def _show(self, version: int, months: dict[str, int], streams: dict[str, int]) -> int:
+        """Makes a version visible: its manifest is written aside and renamed."""
+        fs, jvm = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path
+        aside = path(f"{self.root}/manifest/.v={version:06d}.json.part")
+        out = fs.create(aside, True)
+        out.write(json.dumps({"months": dict(sorted(months.items())), "streams": streams}).encode())
+        out.close()
+        if not fs.rename(aside, path(self._manifest_path(version))):
+            raise RuntimeError(f"version {version} was published by another writer")
         return version
 
     def publish(self, df: DataFrame) -> int:
         """Write a complete new version (SNK-3); returns its number."""
         v = self._next_version()
-        months = [r[0] for r in df.select(month_of()).distinct().collect()]
-        return self._write(df, v, {m: v for m in months})
+        months = self._write(df, v)
+        return self._show(v, {m: v for m in months}, self._about()["streams"])
 
-    def merge(self, fresh: DataFrame, merge_fn: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+    def merge(self, fresh: DataFrame, merge_fn: Callable[[DataFrame, DataFrame], DataFrame],
+              stream: str | None = None, batch: int | None = None) -> int:
         """Merge ``fresh`` into the latest version, rewriting only touched months.
 
-        The touched-month list is one row per month (bounded by the calendar,
-        not by the data), so it is safe to bring to the driver.
+        ``fresh`` is written once, by month; the months that it touches are the
+        folders written.  A stream names itself and its batch: a batch that an
+        earlier version holds already (a replay after a failure) changes nothing.
         """
-        vs = self.versions()
-        current = self.manifest()
-        touched = {r[0] for r in fresh.select(month_of()).distinct().collect()}
+        vs, about = self.versions(), self._about()
+        if stream is not None and batch <= about["streams"].get(stream, -1):
+            return vs[-1]
+        v = self._next_version()
+        kept = f"{self.root}/fresh/v={v:06d}"
+        fresh.withColumn(MONTH, month_of()).write.partitionBy(MONTH).parquet(kept)
+        streams = about["streams"] | ({stream: batch} if stream is not None else {})
+        touched = self._months(f"fresh/v={v:06d}")
         if not touched:
+            if stream is not None and vs:  # an empty batch is done, too
+                return self._show(v, about["months"], streams)
             return vs[-1] if vs else 0
-        v = self._next_version()
-        merged = merge_fn(fresh, self.read(months=touched))
-        manifest = dict(current)
-        manifest.update({m: v for m in touched})
-        return self._write(merged, v, manifest)
+        merged = merge_fn(self.spark.read.schema(fresh.schema).parquet(kept), self.read(months=touched))
+        written = self._write(merged, v)
+        return self._show(v, about["months"] | {m: v for m in written}, streams)
+
+    def vacuum(self, keep: int = 7) -> list[str]:
+        """Removes versions older than the ``keep`` newest: manifests, and month folders no kept manifest names.
+
+        Folders of versions above the newest (a write under way) stay.
+        """
+        vs = self.versions()
+        if keep < 1 or not vs:
+            return []
+        old, kept = vs[:-keep], vs[-keep:]
+        named = {(v, m) for k in kept for m, v in self.manifest(k).items()}
+        gone = [f"manifest/v={v:06d}.json" for v in old]
+        for name in self._names("data"):
+            v = int(name[2:])
+            if v > vs[-1]:
+                continue
+            months = self._months(f"data/{name}")
+            used = [m for m in months if (v, m) in named]
+            gone += [f"data/{name}"] if not used else [f"data/{name}/{MONTH}={m}" for m in sorted(months - set(used))]
+        gone += [f"fresh/{name}" for name in self._names("fresh") if int(name[2:]) <= vs[-1]]
+        fs, jvm = self._fs()
+        for path in gone:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}"), True)
+        return gone
