@@ -29,26 +29,43 @@ def completeness(pages: DataFrame, by: list[str], page_col: str = "page_no",
                                    F.lit(0)).cast("bigint")))
 
 
-def capture_status(html: Column, markers: list[str] = NO_RESULT_MARKERS) -> Column:
-    """Classify one capture (EXT-11): error / no_results / empty / ok."""
-    no_res = None
-    for m in markers:
-        cond = F.contains(html, F.lit(m))
-        no_res = cond if no_res is None else (no_res | cond)
-    return (F.when(html.isNull() | (F.length(html) == 0), F.lit("error"))
-            .when(~F.lower(html).contains("</html>"), F.lit("error"))
-            .when(no_res, F.lit("no_results"))
-            .when(~F.lower(html).contains("<a "), F.lit("empty"))
-            .otherwise(F.lit("ok")))
+# Elements that have no end tag.
+VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
+_HIDES = r"<[a-zA-Z][^<>]*(?:(?i:display\s*:\s*none)|\s(?i:hidden)(?=[\s>=/]))"
 
 
 def shows_no_results(html: Column, markers: list[str] = NO_RESULT_MARKERS) -> Column:
-    """The page says that nothing was found; a marker that is not displayed does not count (EXT-11)."""
-    shown = F.regexp_replace(html, r"(?i)<[^<>]*(?:display\s*:\s*none|\shidden[\s>=])[^<>]*>?[^<]*", "")
-    found = F.lit(False)
-    for m in markers:
-        found = found | F.contains(shown, F.lit(m))
-    return found
+    """The page says that nothing was found; a marker counts only where it and all around it are displayed (EXT-11).
+
+    Pages with a marker and with hidden parts are folded over their tags: from
+    a hidden element's start tag to its own end tag (elements of the same name
+    inside it are counted) nothing is seen.
+    """
+    def marked(text: Column) -> Column:
+        found = F.lit(False)
+        for m in markers:
+            found = found | F.contains(text, F.lit(m))
+        return found
+
+    state = "struct<within string, depth int, found boolean>"
+
+    def step(s: Column, piece: Column) -> Column:
+        tag = F.lower(F.regexp_extract(piece, "^(/?[a-zA-Z][a-zA-Z0-9]*)", 1))
+        hides = F.concat(F.lit("<"), piece).rlike("^" + _HIDES)
+        inside = s["depth"] > 0
+        opens = hides & ~tag.isin(VOID_TAGS)
+        depth = (F.when(inside, s["depth"] + (tag == s["within"]).cast("int")
+                        - (tag == F.concat(F.lit("/"), s["within"])).cast("int")).otherwise(opens.cast("int")))
+        after = F.regexp_extract(piece, "(?s)>(.*)", 1)
+        shown = F.when(depth > 0, F.lit("")).when(inside | hides, after).otherwise(piece)
+        return F.struct(F.when(inside, s["within"]).otherwise(tag).alias("within"), depth.alias("depth"),
+                        (s["found"] | marked(shown)).alias("found")).cast(state)
+
+    pieces = F.split(html, "<")
+    start = F.struct(F.lit("").alias("within"), F.lit(0).alias("depth"),
+                     marked(F.get(pieces, F.lit(0))).alias("found")).cast(state)
+    folded = F.aggregate(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), start, step, lambda s: s["found"])
+    return F.when(~marked(html), False).when(~html.rlike(_HIDES), True).otherwise(folded)
 
 
 def page_status() -> Column:
@@ -58,6 +75,27 @@ def page_status() -> Column:
             .when(F.col("no_results"), F.lit("no_results")).otherwise(F.lit("empty")))
 
 
+MOST_PAGES = 1_000_000  # a counter that promises more is reported unread, with no page number
+
+
+def missing_pages(pages: DataFrame, by: list[str]) -> DataFrame:
+    """Pages that a listing's counters promised and that no capture holds (EXT-9, EXT-10).
+
+    ``pages`` are parsed (``page_label`` as the page shows it, ``page_no`` as
+    captured).  The largest last page that a listing shows makes the sequence
+    1, 2, ... of its pages; what was captured is anti-joined, so repeated
+    captures count once.  Listings without a counter promise nothing.
+    """
+    promised = (pages.groupBy(*by).agg(F.max(page_counter(F.col("page_label"), 2)).alias("promised_pages"))
+                .where("promised_pages > 0"))
+    numbers = F.when(F.col("promised_pages") <= MOST_PAGES, F.sequence(F.lit(1).cast("bigint"), F.col("promised_pages")))
+    wanted = promised.select(*by, "promised_pages", F.explode(F.coalesce(
+        numbers, F.array(F.lit(None).cast("bigint")))).alias("page_no"))
+    have = pages.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("page_no").cast("bigint").alias("_no")).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return wanted.join(have, [*same, F.col("page_no") == F.col("_no")], "left_anti")
+
+
 def error_report(df: DataFrame, by: list[str], status_col: str = "status") -> DataFrame:
     """Per-source status counts (EXT-12): every source reported, none stops the run."""
     return df.groupBy(*by, status_col).agg(F.count(F.lit(1)).alias("n"))

@@ -3,8 +3,9 @@
 Physical shape, whatever the mix of layouts:
 
 1. ``parse_pages`` turns each page into named string lists (``fields``) with
-   native regexes; only pages the regexes cannot be trusted with (unbalanced
-   tags, numeric entities, scripts) go through an Arrow-batched Python
+   native regexes and read their character references natively; only pages
+   the regexes cannot be trusted with (unbalanced tags, odd attributes,
+   references without a semicolon) go through an Arrow-batched Python
    reader; the HTML is dropped right away;
    (scripts, styles and comments are cut in the JVM before either reader);
 2. ``page_records`` turns the lists into records, ``ARRAY<ARRAY<STRING>>`` in
@@ -16,7 +17,10 @@ No union of per-layout branches: every page is read exactly once.
 
 from __future__ import annotations
 
+import json
 import re
+from html.entities import html5 as _html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,7 +61,7 @@ CONSULTATION_DATE_ITEM = 2  # 1-based: second ';' item is the date
 
 
 # Columns of a parsed page that its records and reports do not carry on.
-PAGE_ONLY = ("fields", "records", "page_ok", "parse_status", "parse_error", "tolerant", "no_results")
+PAGE_ONLY = ("fields", "records", "page_label", "page_ok", "parse_status", "parse_error", "tolerant", "no_results")
 NO_RECORDS = "no records and no sign of an empty result"
 
 
@@ -79,20 +83,85 @@ def _inner(src: Column, tag: str, attr: str | None = None, value: str | None = N
     return F.regexp_extract_all(src, F.lit(rf"(?is)<{tag}\b{cond}[^>]*>(.*?)</{tag}\s*>"), 1)
 
 
+# A paragraph ends at its end tag or, without one, where the next paragraph or
+# block begins or what holds it ends.
+_P_END = (r"(?=</p\s*>|<p[\s>/]|</?(?:" + "|".join(sorted(_html.BLOCK_CLOSES_P)) + r")[\s>/]"
+          r"|</(?:li|td|th|tr|dd|dt|main|header|footer|aside|body|html)\s*>|\z)")
+
+
+def _paragraphs(attr: str | None = None, value: str | None = None) -> str:
+    cond = f"[^>]*{_attr_re(attr, value)}" if attr else ""
+    return rf"(?is)<p(?=[\s>/]){cond}[^>]*>(.*?){_P_END}"
+
+
+def _inner_p(src: Column, attr: str | None = None, value: str | None = None) -> Column:
+    return F.regexp_extract_all(src, F.lit(_paragraphs(attr, value)), 1)
+
+
+def _odd_paragraph(html: Column) -> Column:
+    """A paragraph that holds the start of a list item or cell, which does not end it."""
+    return F.exists(_inner_p(html), lambda p: p.rlike(r"(?i)<(?:li|td|th|body)[\s>/]"))
+
+
 def _inner_style(src: Column, style: str) -> Column:
     pat = r"(?is)<div\b[^>]*\bstyle\s*=\s*" + '"' + re.escape(style) + '"' + r"[^>]*>(.*?)</div\s*>"
     return F.regexp_extract_all(src, F.lit(pat), 1)
 
 
-# Named entities decoded natively ('&amp;' last).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&")]
+# Character references, as browsers read them: named ones by the standard
+# library's table, in the order of their characters so that everyday ones are
+# found first.
+_NAMED = {n[:-1]: ch for n, ch in sorted(_html5.items(), key=lambda kv: (len(kv[1]), kv[1], kv[0])) if n.endswith(";")}
+_OPEN_NAMES = sorted(n for n in _html5 if not n.endswith(";"))  # read without a semicolon, too
+_NAME = "[A-Za-z][A-Za-z0-9]*"
+# What numbers 128 to 159 stand for: the Windows-1252 character, where there is one.
+_WINDOWS = "".join(bytes([n]).decode("cp1252", errors="ignore") or chr(n) for n in range(128, 160))
+
+
+def page_entities(html: Column) -> Column:
+    """Map of the names of a page's references (with semicolon) to their characters, NULL where unknown.
+
+    The large table is looked up once for each distinct name of a page; the
+    texts of the page only see this small map.
+    """
+    names = F.array_distinct(F.regexp_extract_all(html, F.lit(f"&({_NAME});"), 1))
+    table = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.try_element_at(table, n)))
+
+
+def _character(code: Column) -> Column:
+    """The character of a numeric reference; noncharacters and most controls give nothing."""
+    odd = ((code < 9) | ((code > 13) & (code < 32)) | (code == 11) | (code == 127) | code.between(0xFDD0, 0xFDEF)
+           | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+    return (F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
+            .when(code.between(128, 159), F.substring(F.lit(_WINDOWS), code.cast("int") - 127, F.lit(1)))
+            .when(odd, F.lit(""))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
 
 
 def unescape(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    """Text with its character references read (``_entities``: the page's names)."""
+    def read(part: Column) -> Column:
+        ref = F.regexp_extract(part, f"^(#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|{_NAME});", 1)
+        number = (F.when(ref.rlike("^#[0-9]"), F.substring(ref, 2, 7).try_cast("bigint"))
+                  .when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10).try_cast("bigint")))
+        got = F.when(number.isNotNull(), _character(number)).otherwise(F.try_element_at(F.col("_entities"), ref))
+        return F.when((ref == "") | got.isNull(), F.concat(F.lit("&"), part)).otherwise(
+            F.concat(got, F.substr(part, F.length(ref) + 2)))
+
+    parts = F.split(c, "&")
+    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), read)
+    return F.when(F.contains(c, F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))).otherwise(c)
+
+
+def odd_references(html: Column) -> Column:
+    """References that do not end in a semicolon, or only begin with a known name."""
+    number = html.rlike("&#(?:[0-9]+(?![0-9;])|[xX][0-9a-fA-F]+(?![0-9a-fA-F;])|[0-9]{8}|[xX][0-9a-fA-F]{7})")
+    names = F.array_distinct(F.regexp_extract_all(html, F.lit(f"&({_NAME};?)"), 1))
+    begins = "^(?:" + "|".join(_OPEN_NAMES) + ")"
+    odd = F.exists(names, lambda n: n.rlike(begins) & (~n.endswith(";") | F.try_element_at(
+        F.col("_entities"), F.regexp_replace(n, ";$", "")).isNull()))
+    return html.contains("&") & (number | odd)
 
 
 def text_strip(c: Column) -> Column:
@@ -147,7 +216,7 @@ def native_fields(layout: Column, html: Column) -> Column:
     party = F.transform(cards, lambda b: X.py_strip(text_raw(
         F.regexp_extract(b, r"(?is)<ul\b[^>]*>.*?<li\b[^>]*>(.*?)</li\s*>", 1))))
     with_p = F.filter(_inner(html, "li"), lambda b: b.rlike(r"(?i)<p[\s>]"))
-    li_p = F.regexp_extract(F.coalesce(F.get(with_p, F.lit(0)), F.lit("")), r"(?is)<p\b[^>]*>(.*?)</p\s*>", 1)
+    li_p = F.regexp_extract(F.coalesce(F.get(with_p, F.lit(0)), F.lit("")), _paragraphs(), 1)
     uls = _inner(html, "ul")
     lst = F.coalesce(F.try_element_at(uls, F.lit(_html.CONSULTATION_LIST_INDEX + 1)), F.lit(""))
     has_list = F.size(uls) > _html.CONSULTATION_LIST_INDEX
@@ -167,14 +236,14 @@ def native_fields(layout: Column, html: Column) -> Column:
             title=_texts(_inner(html, "span", "class", "title")),
             details=_texts(_inner(html, "span", "class", "details")), party=party))
         .when(layout.isin("cards6", "case1"), _fmap(
-            address=_texts(_first(_inner(html, "p", "class", "address")), False),
+            address=_texts(_first(_inner_p(html, "class", "address")), False),
             strong=_texts(_first(_inner(html, "strong")), False),
-            summary=_texts(_first(_inner(html, "p", "class", "case-summary")), False),
+            summary=_texts(_first(_inner_p(html, "class", "case-summary")), False),
             party=F.when(li_p != "", F.array(text_raw(li_p))).otherwise(empty)))
         .when(layout == "links5", _fmap(
             anchor=F.when(has_list, _texts(_inner(lst, "a"), False)).otherwise(empty),
-            href=F.when(has_list, F.regexp_extract_all(lst, F.lit(href_re), 1)).otherwise(empty),
-            para=F.when(has_list, _texts(_inner(lst, "p"), False)).otherwise(empty),
+            href=F.when(has_list, F.transform(F.regexp_extract_all(lst, F.lit(href_re), 1), unescape)).otherwise(empty),
+            para=F.when(has_list, _texts(_inner_p(lst), False)).otherwise(empty),
             counter=_texts(_first(_inner(html, "div", "class", "pagination")))))
     )
 
@@ -182,9 +251,10 @@ def native_fields(layout: Column, html: Column) -> Column:
 # Tags that must open and close in turn for the regex path to be trusted.
 FLAT_TAGS = {
     "table": ["table", "th", "td"], "grid5": ["td"], "responsive7": ["td"],
-    "columns4": [], "deflist4": ["dd", "h3", "li"], "cards6": ["span", "li", "a", "p", "ul"],
-    "case1": ["span", "li", "a", "p", "ul", "strong"], "links5": ["ul", "a", "p", "li"],
+    "columns4": [], "deflist4": ["dd", "h3", "li"], "cards6": ["span", "li", "a", "ul"],
+    "case1": ["span", "li", "a", "ul", "strong"], "links5": ["ul", "a", "li"],
 }
+PARAGRAPH_LAYOUTS = ["cards6", "case1", "links5"]
 
 
 def _count(html: Column, pattern: str) -> Column:
@@ -214,9 +284,9 @@ def _uneven_columns(html: Column) -> Column:
 def needs_tolerant(layout: Column, html: Column) -> Column:
     """Pages the regex path cannot be sure about go to the Python reader: the
     layout's tags nested in themselves or not closed, attributes without double
-    quotes or with '>' in their value, numeric or uncommon named entities, and
+    quotes or with '>' in their value, references without a semicolon, and
     scripts, styles or comments that do not end."""
-    odd_entity = html.rlike(r"&(?:#|(?!(?:amp|lt|gt|quot|apos|nbsp);)[a-zA-Z])")
+    odd_entity = odd_references(html)
     hidden = html.rlike(r"(?i)<script|<style|<!--")
     odd_attribute = (html.rlike(r"(?i)<[a-z][^<>]*\s(?:class|style|href)\s*=\s*[^\s\"]")
                      | html.rlike(r"=\s*\"[^\">]*>|=\s*'[^'>]*>"))
@@ -225,6 +295,8 @@ def needs_tolerant(layout: Column, html: Column) -> Column:
         u = F.lit(False)
         for t in tags:
             u = u | _uneven(html, t)
+        if lay in PARAGRAPH_LAYOUTS:
+            u = u | _odd_paragraph(html)
         uneven = uneven.when(layout == lay, u)
     return html.isNotNull() & (odd_entity | hidden | odd_attribute | uneven.otherwise(F.lit(False)))
 
@@ -263,7 +335,8 @@ def parse_pages(captures: DataFrame, native: bool = True) -> DataFrame:
     """
     e = _parse_exprs(native)
     keep = [c for c in captures.columns if c != "html"]
-    flagged = captures.withColumn("html", visible_html(F.col("html"))).withColumn("_tolerant", e["flag"])
+    flagged = (captures.withColumn("html", visible_html(F.col("html")))
+               .withColumn("_entities", e["entities"]).withColumn("_tolerant", e["flag"]))
     # The native parse runs below the Python stage and the HTML is dropped
     # there: the Arrow UDF node buffers its input rows, and only flagged
     # pages still carry their HTML (``_html``) into it.
@@ -279,6 +352,7 @@ def parse_pages(captures: DataFrame, native: bool = True) -> DataFrame:
 def _parse_exprs(native: bool) -> dict:
     lay, html = F.col("layout"), F.col("html")
     return {
+        "entities": page_entities(html),
         "flag": needs_tolerant(lay, html) if native else html.isNotNull(),
         "no_results": F.coalesce(shows_no_results(html), F.lit(False)),
         "slow_input": F.when(F.col("_tolerant"), html),
@@ -433,6 +507,7 @@ def page_records(parsed: DataFrame) -> DataFrame:
     empty = F.array().cast("array<array<string>>")
     return (chunks.withColumn("page_ok", ok)
             .withColumn("records", F.when(F.col("page_ok"), recs).otherwise(empty))
+            .withColumn("page_label", F.coalesce(_get(_f("totals"), 1), _get(_f("counter"), 1)))
             .drop("_chunks", "_width"))
 
 

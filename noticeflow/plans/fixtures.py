@@ -316,3 +316,66 @@ def case_pages(orders: DataFrame, party: str = "Ann", fetched_on=AS_OF) -> DataF
         F.lit(None).cast("int").alias("page_no"), F.lit(1).alias("attempt"), F.lit(fetched_on).alias("fetched_on"),
         F.concat(F.lit("https://example.org/case/"), number).alias("url"),
         F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")).alias("html"))
+
+
+def tried_pages(orders: DataFrame, as_of=AS_OF) -> DataFrame:
+    """Single-case pages, one per ten orders: retried ones, equal attempts, pages without a number, two runs.
+
+    By page p: every third has no number; every fifth has a capture without an
+    attempt; even ones were tried again, twice with the same attempt; every
+    fourth was captured in a run of the week before, too.
+    """
+    p = orders.select(F.floor(F.col("o_orderkey") / ROWS_PER_PAGE).cast("int").alias("p")).distinct()
+    early, run = as_of - _dt.timedelta(days=7), as_of
+    tries = F.array(*[F.struct(F.lit(d).alias("fetched_on"), F.lit(a).cast("int").alias("attempt"),
+                               F.lit(who).alias("who"), F.lit(every).alias("every"))
+                      for d, a, who, every in ((run, 1, "first", 1), (run, 2, "again", 2), (run, 2, "equal", 2),
+                                               (run, None, "unknown", 5), (early, 1, "early", 4))])
+    rows = p.select("p", F.inline(tries)).where(F.col("p") % F.col("every") == 0)
+    number = F.col("p").cast("string")
+    html = F.concat(F.lit('<html><body><p class="address">F'), number, F.lit(": Main St</p><p><strong>01/07/2001</strong></p>"
+                    "<ul><li><p>"), F.col("who"), F.lit('</p></li></ul><p class="case-summary">Works</p></body></html>'))
+    return rows.select(
+        F.lit("board").alias("source_id"), F.lit(8).alias("source_rank"), F.lit(1).alias("site_rank"),
+        F.lit("case1").alias("layout"), F.lit(None).cast("string").alias("keyword"), F.lit(0).alias("keyword_rank"),
+        F.lit(1).alias("list_pos"), F.when(F.col("p") % 3 != 0, F.col("p")).alias("page_no"), "attempt", "fetched_on",
+        F.concat(F.lit("https://example.org/case/"), number).alias("url"), html.alias("html"))
+
+
+COUNTED_LAST = 42  # what every counted page promises
+
+
+def counted_pages(orders: DataFrame) -> DataFrame:
+    """Definition-list pages of 31 searches with their counters: some captured twice, some never."""
+    c31 = (F.col("o_custkey") % 31).cast("int")
+    no = (F.floor(F.col("o_orderkey") / ROWS_PER_PAGE) % 40 + 1).cast("int")
+    pages = orders.select(c31.alias("c"), no.alias("page_no")).distinct().where((F.col("page_no") * 7 + F.col("c")) % 5 != 0)
+    twice = F.when(F.col("page_no") % 4 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    label = F.concat(F.lit("Page "), F.col("page_no").cast("string"), F.lit(f" of {COUNTED_LAST} (2,090 results)"))
+    html = F.concat(F.lit('<html><body><h3 class="responsiveheader">S1</h3><dl><dd>1/7/2001</dd><dd>Open</dd><dd>Ann</dd>'
+                          '<dd>Main St</dd></dl><ul><li class="totals">'), label, F.lit("</li></ul></body></html>"))
+    return pages.select(
+        F.lit("southdublin").alias("source_id"), F.lit(7).alias("source_rank"), F.lit(1).alias("site_rank"),
+        F.lit("deflist4").alias("layout"), F.concat(F.lit("search "), F.col("c").cast("string")).alias("keyword"),
+        F.col("c").alias("keyword_rank"), F.lit(0).alias("list_pos"), "page_no", F.explode(twice).alias("attempt"),
+        F.lit(AS_OF).alias("fetched_on"), F.lit(SOUTH_DUBLIN_TEMPLATE).alias("url"), html.alias("html"))
+
+
+def marked_pages(pages: DataFrame) -> DataFrame:
+    """Raw pages as captures; by page_id: a shown marker, one hidden by its parent, no page at all."""
+    hidden = '<div style="display: none"><div><p>No results found</p></div></div>'
+    shown = '<div hidden><div>menu</div></div><div><p>No results found</p></div>'
+    k = F.col("page_id") % 3
+    html = F.replace(F.col("html"), F.lit("</body>"), F.concat(
+        F.when(k == 0, F.lit(hidden)).when(k == 1, F.lit(shown)).otherwise(F.lit("")), F.lit("</body>")))
+    return raw_captures(pages, F.when(F.col("page_id") % 7 != 0, html))
+
+
+def raw_captures(pages: DataFrame, html: Column | None = None) -> DataFrame:
+    """The raw pages as captures of link lists, one source per host."""
+    return pages.select(
+        F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("source_id"), F.lit(9).alias("source_rank"),
+        F.lit(1).alias("site_rank"), F.lit("links5").alias("layout"), F.lit(None).cast("string").alias("keyword"),
+        F.lit(0).alias("keyword_rank"), F.lit(0).alias("list_pos"), F.col("page_id").cast("int").alias("page_no"),
+        F.lit(1).alias("attempt"), F.lit(AS_OF).alias("fetched_on"), "url",
+        (F.col("html") if html is None else html).alias("html"))

@@ -122,7 +122,7 @@ def display_date(col: str) -> str:
 
 
 # ---------------------------------------------------------------- rendered pages
-def expected_notices(layout: str | None, window: bool) -> str:
+def expected_notices(layout: str | None, window: bool, extra: str = "") -> str:
     """Canonical9 rows the pipeline must extract from ``render_captures``."""
     lay = f"'{layout}'" if layout else f"{sql_list(LAYOUTS)}[(o_orderkey // 10) % {len(LAYOUTS)} + 1]"
     kw = f"{sql_list(PAGE_KEYWORDS)}[(o_orderkey // 10) % {len(PAGE_KEYWORDS)} + 1]"
@@ -175,6 +175,7 @@ notices AS (
   FROM pages_src)"""
     cols = ("file_number, received_date, local_authority_name, deadline, applicant_name, "
             "development_address, development_description, url, search_term")
+    cols += extra
     if not window:
         return base, f"SELECT {cols} FROM notices"
     sel = f"""

@@ -513,24 +513,102 @@ def completeness_audit(spark, sf):
     return audit.completeness(p.withColumn("last_page", F.col("page_no")), ["host"])
 
 
-_MARKERS_SQL = " OR ".join(f"contains(html, '{m}')" for m in audit.NO_RESULT_MARKERS)
+@register("missing_pages", f"""
+WITH pages_seen AS (SELECT DISTINCT CAST(o_custkey % 31 AS INTEGER) AS c, CAST((o_orderkey // 10) % 40 + 1 AS BIGINT) AS page_no
+                    FROM orders WHERE (((o_orderkey // 10) % 40 + 1) * 7 + o_custkey % 31) % 5 <> 0),
+wanted AS (SELECT c, g.page_no FROM (SELECT DISTINCT c FROM pages_seen), generate_series(1, {FX.COUNTED_LAST}) AS g(page_no))
+SELECT concat('search ', CAST(c AS VARCHAR)) AS keyword, CAST({FX.COUNTED_LAST} AS BIGINT) AS promised_pages, page_no
+FROM wanted ANTI JOIN pages_seen USING (c, page_no)""")
+def missing_pages(spark, sf):
+    """Which pages of each search no capture holds, from the counters that its pages show."""
+    pages = P.capture_pages(FX.counted_pages(_orders(spark, sf)))
+    by = ["fetched_on", "source_id", "keyword", "list_pos"]
+    return audit.missing_pages(pages, by).select("keyword", "promised_pages", "page_no")
 
 
 @register("capture_status", f"""
 SELECT host, status, count(*) AS n FROM (
-  SELECT {_HOST} AS host,
-         CASE WHEN html IS NULL OR length(html) = 0 THEN 'error'
-              WHEN NOT contains(lower(html), '</html>') THEN 'error'
-              WHEN {_MARKERS_SQL} THEN 'no_results'
-              WHEN NOT contains(lower(html), '<a ') THEN 'empty' ELSE 'ok' END AS status
+  SELECT {_HOST} AS host, CASE WHEN page_id % 7 = 0 THEN 'error' WHEN page_id % 3 = 1 THEN 'no_results' ELSE 'empty' END AS status
   FROM pages) GROUP BY host, status""")
 def capture_status(spark, sf):
-    pages = FX.table(spark, sf, "pages")
-    s = pages.select(F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("host"),
-                     audit.capture_status(F.col("html")).alias("status"))
+    """Raw pages that are no listing, some with a marker that is shown or that its parent hides."""
+    pages = P.capture_pages(FX.marked_pages(FX.table(spark, sf, "pages")))
+    s = pages.select(F.col("source_id").alias("host"), audit.page_status().alias("status"))
     return audit.error_report(s, ["host"])
 
 
+@register("tolerant_pages", "SELECT count(*) AS pages, CAST(0 AS BIGINT) AS tolerant FROM pages GROUP BY ()")
+def tolerant_pages(spark, sf):
+    """How many of the raw pages the JVM reader hands to the Python reader."""
+    pages = P.capture_pages(FX.raw_captures(FX.table(spark, sf, "pages")))
+    by_one = pages.groupBy("source_rank").agg(F.count(F.lit(1)).alias("pages"), F.sum(F.col("tolerant").cast("bigint")).alias("tolerant"))
+    return by_one.drop("source_rank")
+
+
+@register("retried_pages", f"""
+WITH p AS (SELECT DISTINCT o_orderkey // 10 AS p FROM orders),
+kept AS (SELECT p, 'first' AS who, {O.AS_OF_SQL} AS run_on FROM p WHERE p % 2 <> 0
+         UNION ALL SELECT p, unnest(['again', 'equal']), {O.AS_OF_SQL} FROM p WHERE p % 2 = 0
+         UNION ALL SELECT p, 'early', {O.AS_OF_SQL} - 7 FROM p WHERE p % 4 = 0)
+SELECT concat('F', CAST(p AS VARCHAR)) AS file_number, who AS applicant_name, CAST(run_on AS DATE) AS run_on FROM kept""")
+def retried_pages(spark, sf):
+    """Records of each page's latest attempt in each run; nothing is counted before."""
+    records, _ = P.extract_records(FX.tried_pages(_orders(spark, sf)))
+    return records.select(F.col("raw_file_number").alias("file_number"), F.col("raw_applicant").alias("applicant_name"),
+                          F.col("fetched_on").alias("run_on"))
+
+
+_OLD_URL = "http://old.example.org/enquiry"
+
+
+@register("refresh_two_runs", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS file_number, CAST(o_orderdate AS DATE) AS received_date,
+       CASE WHEN o_orderstatus = 'F' THEN '{_OLD_URL}' ELSE '{FX.KILDARE_URL}' END AS url,
+       CASE WHEN o_orderstatus = 'F' THEN 'old term'
+            ELSE {O.sql_list(FX.PAGE_KEYWORDS)}[(o_orderkey // 10) % {len(FX.PAGE_KEYWORDS)} + 1] END AS search_term
+FROM orders""")
+def refresh_two_runs(spark, sf):
+    """Equal notices of two runs: the later run's URL and term win, though its keyword ranks lower."""
+    o = _orders(spark, sf)
+    old = (FX.render_captures(o, "grid5", AS_OF - timedelta(days=31)).withColumn("url", F.lit(_OLD_URL))
+           .withColumn("keyword", F.lit("old term")).withColumn("keyword_rank", F.lit(99)))
+    new = FX.render_captures(o.where(F.col("o_orderstatus") != "F"), "grid5")
+    fresh = P.fresh_notices(new.unionByName(old), sources_df(spark), AS_OF, None)
+    return dedup.keep_last_key6(fresh).select("file_number", "received_date", "url", "search_term")
+
+
+@register("newest_list_cases", """
+SELECT CAST(o_orderkey AS VARCHAR) AS file_number, CAST(o_orderdate AS DATE) AS received_date
+FROM orders WHERE (o_orderkey // 10) % 7 < 4""")
+def newest_list_cases(spark, sf):
+    """Board pages in seven lists; those of the fifth and older ones are left out before parsing."""
+    caps = FX.render_captures(_orders(spark, sf), "cards6")
+    caps = caps.withColumn("list_pos", F.col("page_no") % 7 + 1)
+    records, _ = P.extract_records(caps)
+    return P.normalise(records, sources_df(spark)).select("file_number", "received_date")
+
+
+@register("source_date_formats", """
+SELECT CAST(o_orderkey AS VARCHAR) AS file_number, CAST(o_orderdate AS DATE) AS received_date
+FROM orders WHERE (o_orderkey // 10) % 2 = 0
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), make_date(CAST(year(o_orderdate) AS BIGINT),
+       CAST(CASE WHEN day(o_orderdate) <= 12 THEN day(o_orderdate) ELSE month(o_orderdate) END AS BIGINT),
+       CAST(CASE WHEN day(o_orderdate) <= 12 THEN month(o_orderdate) ELSE day(o_orderdate) END AS BIGINT))
+FROM orders WHERE (o_orderkey // 10) % 2 <> 0""")
+def source_date_formats(spark, sf):
+    """Two sources of one layout write day and month in different orders; each is read by its own formats."""
+    caps = FX.render_captures(_orders(spark, sf), "grid5")
+    caps = caps.withColumn("source_id", F.when(F.col("page_no") % 2 == 0, "day first").otherwise("month first"))
+    formats = F.when(F.col("source_id") == "day first", F.array(F.lit("d/M/yyyy"))).otherwise(
+        F.array(F.lit("M/d/yyyy"), F.lit("d/M/yyyy")))
+    grid = sources_df(spark).where("source_id = 'kildare'")
+    two = grid.withColumn("source_id", F.explode(F.array(F.lit("day first"), F.lit("month first")))) \
+        .withColumn("date_formats", formats)
+    records, _ = P.extract_records(caps)
+    return P.normalise(records, two).select("file_number", "received_date")
+
+
 @register("page_status", """
 SELECT status, count(*) AS n FROM (
   SELECT CASE o_custkey % 5 WHEN 1 THEN 'empty' WHEN 2 THEN 'no_results' ELSE 'ok' END AS status FROM orders)
@@ -610,6 +688,36 @@ def refresh_stream(spark, sf):
     return store.read()
 
 
+_CAPTURED, _CAPTURED_WINDOW = O.expected_notices(None, True, ", page_no, row_pos")
+
+
+@register("refresh_captures", "WITH " + _CAPTURED.strip() + ", recent AS (" + _CAPTURED_WINDOW + f""")
+SELECT {C9}, '' AS comments, '-' AS show_public, '-' AS announcement_sent, CAST(NULL AS VARCHAR) AS draft_announcement
+FROM (SELECT *, row_number() OVER (PARTITION BY {O.KEY6_SQL} ORDER BY page_no DESC, row_pos DESC) AS rn FROM recent) WHERE rn = 1""")
+def refresh_captures(spark, sf):
+    """Captured pages arrive in three deliveries and go through the stream into the master."""
+    root = scratch_dir(spark, "captures")
+    store = MasterStore(spark, f"{root}/master")
+    caps = FX.render_captures(_orders(spark, sf))
+    delivery = (F.when(F.col("layout").isin("table", "grid5", "responsive7"), 1)
+                .when(F.col("layout").isin("columns4", "deflist4"), 2).otherwise(3))
+    caps.withColumn("delivery", delivery).write.partitionBy("delivery").parquet(f"{root}/rendered")
+    for d in (1, 2, 3):
+        spark.read.parquet(f"{root}/rendered/delivery={d}").write.mode("append").parquet(f"{root}/inbox")
+        refresh.run_available_captures(spark, f"{root}/inbox", sources_df(spark), store, f"{root}/_checkpoint", AS_OF)
+    return store.read()
+
+
+@register("empty_master", "SELECT " + ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ("file_number", "comments"))
+          + " FROM orders WHERE o_custkey < 0")
+def empty_master(spark, sf):
+    """A refresh that finds nothing publishes an empty master with its columns, which reads back (SNK-2)."""
+    store = MasterStore(spark, f"{scratch_dir(spark, 'empty')}/master")
+    none = FX.existing_master_text(_orders(spark, sf).where("o_custkey < 0"))
+    store.publish(P.master_from_text(none).select(*MASTER13))
+    return store.read().select("file_number", "comments")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
