@@ -47,24 +47,26 @@ def shows_no_results(html: Column, markers: list[str] = NO_RESULT_MARKERS) -> Co
             found = found | F.contains(text, F.lit(m))
         return found
 
-    state = "struct<within string, depth int, found boolean>"
+    def about(piece: Column) -> Column:
+        after = F.regexp_extract(piece, "(?s)>(.*)", 1)
+        return F.struct(F.lower(F.regexp_extract(piece, "^(/?[a-zA-Z][a-zA-Z0-9]*)", 1)).alias("tag"),
+                        F.concat(F.lit("<"), piece).rlike("^" + _HIDES).alias("hides"),
+                        marked(piece).alias("whole"), marked(after).alias("after"))
 
-    def step(s: Column, piece: Column) -> Column:
-        tag = F.lower(F.regexp_extract(piece, "^(/?[a-zA-Z][a-zA-Z0-9]*)", 1))
-        hides = F.concat(F.lit("<"), piece).rlike("^" + _HIDES)
+    def step(s: Column, i: Column) -> Column:
         inside = s["depth"] > 0
-        opens = hides & ~tag.isin(VOID_TAGS)
-        depth = (F.when(inside, s["depth"] + (tag == s["within"]).cast("int")
-                        - (tag == F.concat(F.lit("/"), s["within"])).cast("int")).otherwise(opens.cast("int")))
-        after = F.regexp_extract(piece, "(?s)>(.*)", 1)
-        shown = F.when(depth > 0, F.lit("")).when(inside | hides, after).otherwise(piece)
-        return F.struct(F.when(inside, s["within"]).otherwise(tag).alias("within"), depth.alias("depth"),
-                        (s["found"] | marked(shown)).alias("found")).cast(state)
+        depth = (F.when(inside, s["depth"] + (i["tag"] == s["within"]).cast("int")
+                        - (i["tag"] == F.concat(F.lit("/"), s["within"])).cast("int"))
+                 .otherwise((i["hides"] & ~i["tag"].isin(VOID_TAGS)).cast("int")))
+        seen = F.when(depth > 0, False).when(inside | i["hides"], i["after"]).otherwise(i["whole"])
+        return F.struct(F.when(inside, s["within"]).otherwise(i["tag"]).alias("within"), depth.alias("depth"),
+                        (s["found"] | seen).alias("found")).cast(state)
 
-    pieces = F.split(html, "<")
+    state = "struct<within string, depth int, found boolean>"
     start = F.struct(F.lit("").alias("within"), F.lit(0).alias("depth"),
-                     marked(F.get(pieces, F.lit(0))).alias("found")).cast(state)
-    folded = F.aggregate(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), start, step, lambda s: s["found"])
+                     marked(F.substring_index(html, "<", 1)).alias("found")).cast(state)
+    tags = F.transform(F.split(html, "<"), about)
+    folded = F.aggregate(F.slice(tags, 2, F.greatest(F.size(tags), F.lit(1))), start, step, lambda s: s["found"])
     return F.when(~marked(html), False).when(~html.rlike(_HIDES), True).otherwise(folded)
 
 

@@ -528,7 +528,8 @@ def missing_pages(spark, sf):
 
 @register("capture_status", f"""
 SELECT host, status, count(*) AS n FROM (
-  SELECT {_HOST} AS host, CASE WHEN page_id % 7 = 0 THEN 'error' WHEN page_id % 3 = 1 THEN 'no_results' ELSE 'empty' END AS status
+  SELECT {_HOST} AS host, CASE WHEN page_id % 7 = 0 THEN 'error' WHEN page_id % 3 = 1 AND contains(html, '</body>') THEN 'no_results'
+              ELSE 'empty' END AS status
   FROM pages) GROUP BY host, status""")
 def capture_status(spark, sf):
     """Raw pages that are no listing, some with a marker that is shown or that its parent hides."""
@@ -537,12 +538,14 @@ def capture_status(spark, sf):
     return audit.error_report(s, ["host"])
 
 
-@register("tolerant_pages", "SELECT count(*) AS pages, CAST(0 AS BIGINT) AS tolerant FROM pages GROUP BY ()")
+@register("tolerant_pages", f"""
+SELECT {_HOST} AS host, count(*) AS pages, true AS native FROM pages GROUP BY host""")
 def tolerant_pages(spark, sf):
-    """How many of the raw pages the JVM reader hands to the Python reader."""
+    """The raw pages by host, and whether the JVM reader hands at most one in twenty to the Python reader."""
     pages = P.capture_pages(FX.raw_captures(FX.table(spark, sf, "pages")))
-    by_one = pages.groupBy("source_rank").agg(F.count(F.lit(1)).alias("pages"), F.sum(F.col("tolerant").cast("bigint")).alias("tolerant"))
-    return by_one.drop("source_rank")
+    tolerant = F.sum(F.col("tolerant").cast("bigint"))
+    return pages.groupBy(F.col("source_id").alias("host")).agg(
+        F.count(F.lit(1)).alias("pages"), (tolerant * 20 <= F.count(F.lit(1))).alias("native"))
 
 
 @register("retried_pages", f"""
@@ -573,7 +576,9 @@ def refresh_two_runs(spark, sf):
     old = (FX.render_captures(o, "grid5", AS_OF - timedelta(days=31)).withColumn("url", F.lit(_OLD_URL))
            .withColumn("keyword", F.lit("old term")).withColumn("keyword_rank", F.lit(99)))
     new = FX.render_captures(o.where(F.col("o_orderstatus") != "F"), "grid5")
-    fresh = P.fresh_notices(new.unionByName(old), sources_df(spark), AS_OF, None)
+    folder = scratch_dir(spark, "runs")
+    new.unionByName(old).write.partitionBy("fetched_on").parquet(folder)
+    fresh = P.fresh_notices(read_captures(spark, folder), sources_df(spark), AS_OF, None)
     return dedup.keep_last_key6(fresh).select("file_number", "received_date", "url", "search_term")
 
 

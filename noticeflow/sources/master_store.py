@@ -3,7 +3,7 @@
 Layout under ``root``::
 
     data/v=<n>/received_month=<yyyy-MM | __none__>/part-*.parquet
-    fresh/v=<n>/received_month=.../part-*.parquet    the batch merged into v, kept once
+    fresh/v=<n>/part-*.parquet                        the batch merged into v, kept once
     manifest/v=<n>.json     the version that holds each month; stream batches done
 
 A version becomes visible when its manifest is renamed into place.  A merge
@@ -11,7 +11,7 @@ rewrites only the months its batch touches -- exact, because the received date
 is part of the deduplication key, so duplicates always share a month -- and the
 manifest points every untouched month at the version that already holds it.
 The input of a publish or merge is evaluated once: which months it touches is
-read from the month folders of what was written.  Nothing is overwritten in
+observed while it is written.  Nothing is overwritten in
 place, so every earlier version stays readable (it is the backup taken before
 each merge) until ``vacuum`` removes what no kept manifest names.
 """
@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,8 +148,8 @@ class MasterStore:
               stream: str | None = None, batch: int | None = None) -> int:
         """Merge ``fresh`` into the latest version, rewriting only touched months.
 
-        ``fresh`` is written once, by month; the months that it touches are the
-        folders written.  A stream names itself and its batch: a batch that an
+        ``fresh`` is written once, and the months that it touches (bounded by the
+        calendar) are observed by that write.  A stream names itself and its batch: a batch that an
         earlier version holds already (a replay after a failure) changes nothing.
         """
         vs, about = self.versions(), self._about()
@@ -157,9 +157,10 @@ class MasterStore:
             return vs[-1]
         v = self._next_version()
         kept = f"{self.root}/fresh/v={v:06d}"
-        fresh.withColumn(MONTH, month_of()).write.partitionBy(MONTH).parquet(kept)
+        seen = Observation()
+        fresh.observe(seen, F.collect_set(month_of()).alias("months")).write.parquet(kept)
+        touched = set(seen.get["months"])
         streams = about["streams"] | ({stream: batch} if stream is not None else {})
-        touched = self._months(f"fresh/v={v:06d}")
         if not touched:
             if stream is not None and vs:  # an empty batch is done, too
                 return self._show(v, about["months"], streams)
