@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -205,10 +206,11 @@ def _phrase_blocks(length: int, gram: int, bucket_bits: int, filter_bits: int, s
         def flush(k: int):
             bucket = np.concatenate([x[0] for x in held])
             ids = np.concatenate([x[1] for x in held])
-            tail = np.concatenate([x[2] for x in held])  # place and mark
-            count = np.concatenate([x[3] for x in held])
+            rows = np.concatenate([x[2] for x in held])
+            place = np.concatenate([x[3] for x in held])
+            count = np.concatenate([x[4] for x in held])
             ends = np.cumsum(count + length - 1)
-            text = b"".join(x[4] for x in held)
+            text = b"".join(x[5] for x in held)
             starts = (ends - count - length + 1).tolist()
             first: dict[bytes, int] = {}
             order = np.argsort(ids, kind="stable")
@@ -220,7 +222,8 @@ def _phrase_blocks(length: int, gram: int, bucket_bits: int, filter_bits: int, s
             done = np.flatnonzero(again)
             for lo in range(0, len(done), 50_000):
                 part = done[lo:lo + 50_000]
-                yield -1 - (hash((k, lo)) % (1 << bucket_bits)), pack_runs(ids[part], tail[part], count[part])
+                key = (TaskContext.get().partitionId() * 1000 + k) * 1000 + lo // 50_000  # groups of their own
+                yield -1 - key % (1 << 30), pack_runs(ids[part], rows[part], place[part], count[part])
             left = np.flatnonzero(~again)
             left = left[np.argsort(bucket[left], kind="stable")]
             cuts = runs(bucket[left])
@@ -228,7 +231,7 @@ def _phrase_blocks(length: int, gram: int, bucket_bits: int, filter_bits: int, s
                 part = left[s:e]
                 body = b"".join([text[starts[i]:ends[i]] for i in part.tolist()])
                 yield int(bucket[part[0]]), zstandard.compress(
-                    pack_runs(ids[part], tail[part], count[part]) + body, 1)
+                    pack_runs(ids[part], rows[part], place[part], count[part]) + body, 1)
 
         def out(rows):
             rows = list(rows)
@@ -248,7 +251,7 @@ def _phrase_blocks(length: int, gram: int, bucket_bits: int, filter_bits: int, s
                 doc, at, count, bucket = (x[hit.astype(bool)] for x in (doc, at, count, bucket))
                 if len(doc):
                     place = (at - offs[doc]).astype(np.int64)
-                    held.append((bucket.astype(np.int32), ids[doc], (place << 26) | marks[doc],
+                    held.append((bucket.astype(np.int32), ids[doc], marks[doc], place,
                                  count.astype(np.int32),
                                  _gather(data, at, count + length - 1).tobytes()))
                     size += int(count.sum())
@@ -261,17 +264,16 @@ def _phrase_blocks(length: int, gram: int, bucket_bits: int, filter_bits: int, s
     return run
 
 
-def pack_runs(ids: np.ndarray, tail: np.ndarray, count: np.ndarray) -> bytes:
-    return (np.int64(len(ids)).tobytes() + ids.astype(np.int64).tobytes() + tail.astype(np.int64).tobytes()
-            + count.astype(np.int32).tobytes())
+def pack_runs(ids: np.ndarray, rows: np.ndarray, place: np.ndarray, count: np.ndarray) -> bytes:
+    """Runs of starts: the document's id, its row's number, the place of the first start, how many starts."""
+    return b"".join([np.int64(len(ids)).tobytes(), *(x.astype(np.int64).tobytes() for x in (ids, rows, place)),
+                     count.astype(np.int32).tobytes()])
 
 
-def unpack_runs(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def unpack_runs(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
     n = int(np.frombuffer(block, np.int64, 1)[0])
-    ids = np.frombuffer(block, np.int64, n, 8)
-    tail = np.frombuffer(block, np.int64, n, 8 + 8 * n)
-    count = np.frombuffer(block, np.int32, n, 8 + 16 * n)
-    return ids, tail, count, 8 + 20 * n
+    ids, rows, place = np.frombuffer(block, np.int64, 3 * n, 8).reshape(3, n)
+    return ids, rows, place, np.frombuffer(block, np.int32, n, 8 + 24 * n), 8 + 28 * n
 
 
 def corpus_order(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -305,34 +307,35 @@ def corpus_order(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.
 
 
 def _repeats(length: int):
-    """A bucket's blocks -> (doc_id, spans): packed runs of starts that repeat a smaller document's string."""
+    """A bucket's blocks -> (mark, run, starts): runs of starts that repeat a smaller document's string."""
 
-    def emit(ids, tail, count):
-        # place of the run's first start, its length, the text's mark
-        return pa.table({"doc_id": pa.array(ids), "run": pa.array(tail), "starts": pa.array(count.astype(np.int32))})
+    def emit(rows, place, count):
+        # number of the row, place of the run's first start, how many starts
+        return pa.table({"mark": pa.array(rows), "run": pa.array(place), "starts": pa.array(count.astype(np.int32))})
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         if int(key[0].as_py()) < 0:
-            got = [unpack_runs(x.as_py())[:3] for x in group.column("block")]
+            got = [unpack_runs(x.as_py())[1:4] for x in group.column("block")]
             return emit(*(np.concatenate([g[i] for g in got]) for i in range(3)))
         index: dict[bytes, int] = {}
-        which, ids, tail, count = [], [], [], []
+        which, ids, rows, place, count = [], [], [], [], []
         for block in group.column("block"):
             raw = zstandard.decompress(block.as_py())
-            d, t, c, at = unpack_runs(raw)
+            d, r, t, c, at = unpack_runs(raw)
             for n in c.tolist():
                 end = at + n + length - 1
                 which.append(index.setdefault(raw[at:end], len(index)))
                 at = end
             ids.append(d)
-            tail.append(t)
+            rows.append(r)
+            place.append(t)
             count.append(c)
         which = np.array(which, np.int64)
-        ids, tail, count = np.concatenate(ids), np.concatenate(tail), np.concatenate(count)
+        ids, rows, place, count = (np.concatenate(x) for x in (ids, rows, place, count))
         least = np.full(len(index), np.iinfo(np.int64).max)
         np.minimum.at(least, which, ids)
         whole = ids > least[which]
-        out = [(ids[whole], tail[whole], count[whole])]
+        out = [(rows[whole], place[whole], count[whole])]
         # the dictionary's suffixes, in corpus order
         size = np.fromiter(map(len, index), np.int64, len(index))
         data = np.frombuffer(b"".join(index), np.uint8)
@@ -359,28 +362,26 @@ def _repeats(length: int):
                 lo = np.searchsorted(which[mine], owner, "left")
                 k = np.searchsorted(which[mine], owner, "right") - lo
                 pick = mine[np.repeat(lo, k) + np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)]
-                out.append((ids[pick], tail[pick] + (np.repeat(inside[s], k) << 26), np.repeat(c, k)))
+                out.append((rows[pick], place[pick] + np.repeat(inside[s], k), np.repeat(c, k)))
         return emit(*(np.concatenate([o[i] for o in out]) for i in range(3)))
     return run
 
 
 def _removed(length: int):
-    """(doc row, text, mark, runs) -> lengths, spans and the kept bytes."""
+    """(doc row, text, runs) -> lengths, spans and the kept bytes."""
     schema = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                         ("spans", pa.list_(pa.int64())), ("kept", pa.binary())])
 
     def run(batches):
         for batch in batches:
             got: dict[str, list] = {f.name: [] for f in schema}
-            for text, mark, found in zip(batch.column(1), batch.column(2), batch.column(3)):
+            for text, found in zip(batch.column(1), batch.column(2)):
                 raw = (text.as_py() or "").encode()
                 kept, spans = raw, []
                 if found.is_valid and len(found.values):
-                    packed = found.values.field("run").to_numpy(zero_copy_only=False)
+                    s = found.values.field("run").to_numpy(zero_copy_only=False)
                     count = found.values.field("starts").to_numpy(zero_copy_only=False)
-                    mine = (packed & ((1 << 26) - 1)) == mark.as_py()
-                    s = packed[mine] >> 26
-                    e = s + count[mine] + length - 1
+                    e = s + count + length - 1
                     order = np.argsort(s, kind="stable")
                     s, top = s[order], np.maximum.accumulate(e[order]) if len(s) else e
                     if len(s):
@@ -409,13 +410,14 @@ def repeated_passages(docs: DataFrame, length: int = 50, gram: int = 24,
     than ``length`` keeps all its bytes.  Rows with a null doc_id have no
     place in the order: they lose nothing and take nothing from others.
     Repeated rows with one doc_id don't take from each other.  doc_id must be
-    an integer.  Empty input: an empty result.
+    an integer.  Empty input: an empty result.  Rows are told apart by their
+    number in the scan, so ``docs`` must be a plan that reads the same rows in
+    the same order again, such as a table.
     """
     spark = docs.sparkSession
     carry = [c for c in (carry or []) if c not in ("doc_id", "text")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       # 26 bits of the text's hash tell rows with one doc_id apart
-                       F.expr("xxhash64(text) & 67108863").alias("mark"),
+                       F.monotonically_increasing_id().alias("mark"),
                        F.struct("doc_id", *carry).alias("row"))
     source = rows.where("doc_id is not null and octet_length(text) >= " + str(int(length))).select(
         "doc_id", "text", "mark")
@@ -424,9 +426,9 @@ def repeated_passages(docs: DataFrame, length: int = 50, gram: int = 24,
     shared = spark.sparkContext.broadcast(filter_)
     blocks = map_arrow(source, _phrase_blocks(length, gram, bucket_bits, filter_bits, shared),
                        "bucket int, block binary")
-    found = blocks.groupBy("bucket").applyInArrow(_repeats(length), "doc_id long, run long, starts int")
-    by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("run", "starts")).alias("found"))
-    joined = rows.join(by_doc, "doc_id", "left").select("row", "text", "mark", "found")
+    found = blocks.groupBy("bucket").applyInArrow(_repeats(length), "mark long, run long, starts int")
+    by_row = found.groupBy("mark").agg(F.collect_list(F.struct("run", "starts")).alias("found"))
+    joined = rows.join(by_row, "mark", "left").select("row", "text", "found")
     row_type = joined.schema["row"].dataType.simpleString()
     out = map_arrow(joined, _removed(length), f"row {row_type}, n_bytes long, n_removed long, n_spans long, "
                                                "spans array<bigint>, kept binary")

@@ -399,3 +399,29 @@ def test_lm_is_a_distribution_and_ignores_the_batch():
     assert np.allclose(logs(parts), [logs([p])[0] for p in parts])
     total = sum(10 ** logs([bytes([b])])[0] * 1 for b in range(256) if not 65 <= b <= 90)
     assert 0 < total + 10 ** logs([b""])[0] <= 1 + 1e-6
+
+
+def test_repeated_passages_tell_rows_of_one_id_apart(spark, tmp_dir):
+    """Rows under one doc_id keep what is theirs alone; a hot doc_id is compared with brute force."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefgh "))
+    unique = lambda n: "".join(rng.choice(letters, n))
+    a = unique(96)
+    rows = [(1, a), (2, a), (2, unique(96)), (2, unique(60) + a[10:80] + unique(30))]
+    rows += [(3, unique(55) if i % 3 else a[i % 40:i % 40 + 52]) for i in range(3000)] + [(4, rows[3][1]), (None, a)]
+    path = tmp_dir + "/docs"
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(path)
+    got = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept))
+                              for r in suffix_dedup.repeated_passages(spark.read.parquet(path)).collect())
+    first = {}
+    for d, t in rows:
+        for i in range(len(t) - 49 if d is not None else 0):
+            first[t[i:i + 50]] = min(first.get(t[i:i + 50], d), d)
+    want = collections.Counter()
+    for d, t in rows:
+        gone = [False] * len(t)
+        for i in range(len(t) - 49 if d is not None else 0):
+            if first[t[i:i + 50]] < d:
+                gone[i:i + 50] = [True] * 50
+        want[d, len(t), sum(gone), "".join(c for c, g in zip(t, gone) if not g).encode()] += 1
+    assert got == want
