@@ -7,14 +7,15 @@ into a score.  The embeddings start from the buckets' smoothed log-odds in the
 sample, everything is then trained by Adagrad.  Thresholds are calibrated by
 language on all labelled texts.
 
-The network is fitted on at most about ``sample`` labelled texts; its size is
-fixed (``2 ** BITS`` buckets).  Then all texts are scored, and Spark counts the
-labelled ones by language, label and bin of the score's log-odds.  Scoring
+The network is fitted on at most ``sample`` labelled texts; its size is fixed
+(``2 ** BITS`` buckets).  Then all labelled texts are scored, and Spark counts
+them by language, label and bin of the score's log-odds.  Scoring
 reads every text whole, in one pass without a shuffle.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,12 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, packs
+from .common import bounded_broadcast, map_arrow, packs
 
 BITS, DIM, WIDTHS, FILTERS = 20, 4, (1, 2, 3), 4
 WORD = re.compile(r"[^\W\d_]+")
 #: Bins of a score's log-odds: ``STEPS`` to each unit from -EDGE to EDGE.
 EDGE, STEPS = 30, 16
+#: Texts that the pooled threshold counts for against a language's own.
+PRIOR = 20
+#: Labelled ids that are broadcast to find their texts; more are joined by a shuffle.
+BROADCAST_LABELS = 1_000_000
 CACHE = 300_000
 _ids: dict[str, int] = {}
 
@@ -167,8 +172,8 @@ def bin_score(edge: np.ndarray) -> np.ndarray:
 
 
 def best_threshold(bins: np.ndarray, toxic: np.ndarray, clean: np.ndarray, default: float) -> float:
-    """Middle of the gap between bins that maximises F1; the default where either class is too small to tell."""
-    if toxic.sum() < 20 or clean.sum() < 20:
+    """Middle of the gap between bins that maximises F1; the default where it lies in the gap or a class is missing."""
+    if not toxic.sum() or not clean.sum():
         return default
     order = np.argsort(-bins, kind="stable")
     b, t, c = bins[order], toxic[order], clean[order]
@@ -179,6 +184,27 @@ def best_threshold(bins: np.ndarray, toxic: np.ndarray, clean: np.ndarray, defau
     return float(default) if low < default <= high else float((high + low) / 2)
 
 
+def language_thresholds(counts: dict[str, np.ndarray], default: float) -> dict[str, float]:
+    """Thresholds from (bin, toxic, clean) counts by language, drawn towards the one of all languages together.
+
+    A language weighs by its rarer class against ``PRIOR`` texts of the pooled
+    threshold (in log-odds), so its own counts take over without a switch.
+    """
+    if not counts:
+        return {}
+    every = np.concatenate(list(counts.values()))
+    bins, place = np.unique(every[:, 0], return_inverse=True)
+    pooled = best_threshold(bins, np.bincount(place, every[:, 1]), np.bincount(place, every[:, 2]), default)
+    odds = lambda p: math.log(max(p, 1e-6) / max(1 - p, 1e-6))
+    out = {}
+    for lang, c in counts.items():
+        n = float(min(c[:, 1].sum(), c[:, 2].sum()))
+        own = best_threshold(c[:, 0], c[:, 1], c[:, 2], pooled)
+        z = (n * odds(own) + PRIOR * odds(pooled)) / (n + PRIOR)
+        out[lang] = pooled if own == pooled else 1 / (1 + math.exp(-z))
+    return out
+
+
 def _bins(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
@@ -186,24 +212,24 @@ def _bins(shared):
             out = np.zeros(batch.num_rows, np.int32)
             for lo, hi in packs(batch.column(2), 1 << 20):
                 out[lo:hi] = score_bins(model.scores([word_ids(t.as_py()) for t in batch.column(2).slice(lo, hi - lo)]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], ["doc_id", "lang", "bin"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], ["toxic", "lang", "bin"])
     return run
 
 
-def calibrate(texts: DataFrame, marked: DataFrame, model: Model) -> dict[str, float]:
-    """Thresholds by language from every row of ``texts(doc_id, lang, text)`` that ``marked(doc_id, toxic)`` labels."""
+def calibrate(texts: DataFrame, marked: DataFrame, model: Model, labels: int) -> dict[str, float]:
+    """Thresholds by language from every row of ``texts(doc_id, lang, text)`` that ``marked(doc_id, toxic)`` labels.
+
+    Only labelled rows are scored; ``labels`` is the number of rows of ``marked``.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(model)
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    rows = map_arrow(texts.where("doc_id is not null and lang is not null"), _bins(shared),
-                     f"doc_id {kind}, lang string, bin int").join(marked, "doc_id")
+    labelled = texts.where("lang is not null").join(bounded_broadcast(marked, labels, BROADCAST_LABELS), "doc_id")
+    rows = map_arrow(labelled.select("toxic", "lang", "text"), _bins(shared), "toxic int, lang string, bin int")
     bad = (F.col("toxic") > 0).cast("long")
     count = rows.groupBy("lang", "bin").agg(F.sum(bad).alias("toxic"), F.sum(1 - bad).alias("clean"))
     of_lang = count.groupBy("lang").agg(F.collect_list(F.struct("bin", "toxic", "clean")).alias("bins"))
-    out = {}
-    for r in of_lang.toLocalIterator():  # one row per language, of at most 2 * EDGE * STEPS bins
-        got = np.array([tuple(x) for x in r.bins], np.int64)
-        out[r.lang] = best_threshold(got[:, 0], got[:, 1], got[:, 2], model.default)
-    return out
+    # one row per language, of at most 2 * EDGE * STEPS bins
+    return language_thresholds({r.lang: np.array([tuple(x) for x in r.bins], np.int64)
+                                for r in of_lang.toLocalIterator()}, model.default)
 
 
 def _sample_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,25 +239,35 @@ def _sample_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                         pa.binary())], ["toxic", "lang", "ids"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, default: float = 0.3) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, default: float = 0.3,
+        thresholds: bool = True) -> Model:
     """A model from ``labels(doc_id, toxic)`` of ``docs(doc_id, text, lang)``.
 
-    About ``sample`` labelled rows are drawn by a hash of doc_id, up to a
-    third of them toxic; a document labelled twice counts as toxic if any
-    label says so.  Without labels of both kinds every score is the prior's.
-    Thresholds come from all labelled rows; a language with fewer than 20 toxic
-    or 20 clean ones has the default.
+    At most ``sample`` labelled documents are drawn, those least by a hash of
+    doc_id, at most a third of them toxic; of several rows of a drawn doc_id
+    one is taken (the least by a hash of its text), so no more rows than that
+    reach the driver.  A document labelled twice counts as toxic if any label
+    says so.  Without labels of both kinds every score is the prior's.
+    ``thresholds`` by language come from all labelled rows.
     """
-    marked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    count = {int(r.toxic): r["count"] for r in marked.groupBy("toxic").count().collect()}
-    share = {1: min(1.0, sample / 3 / max(1, count.get(1, 0))), 0: min(1.0, sample * 2 / 3 / max(1, count.get(0, 0)))}
-    drawn = marked.where(F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 20))
-                         < F.when(F.col("toxic") == 1, share[1] * (1 << 20)).otherwise(share[0] * (1 << 20)))
+    marked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
+        (F.max("toxic") > 0).cast("int").alias("toxic"))
+    count = {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    by = F.xxhash64("doc_id", F.lit(4))
+    most = {1: sample // 3, 0: sample - sample // 3}
+    drawn = None
+    for kind, n in most.items():
+        # twice the share that is wanted passes the first filter, so that few rows are sorted
+        share = min(1.0, 2 * n / max(1, count.get(kind, 0)))
+        few = marked.where((F.col("toxic") == kind) & (F.pmod(by, F.lit(1 << 20)) < share * (1 << 20))) \
+            .orderBy(F.pmod(by, F.lit(1 << 20)), "doc_id").limit(n)
+        drawn = few if drawn is None else drawn.unionByName(few)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     mine = docs.select("doc_id", lang.alias("lang"), F.col("text").cast("string").alias("text"))
-    texts = mine.join(F.broadcast(drawn), "doc_id").select(  # bounded by ``sample``
-        F.col("toxic").cast("int").alias("toxic"), "lang", "text")
-    rows = map_arrow(texts, _sample_ids, "toxic int, lang string, ids binary").toPandas()
+    texts = mine.join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "text")  # bounded by ``sample``
+    one = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "toxic", "text")).alias("x"))
+    rows = map_arrow(one.select("x.toxic", F.lit(None).cast("string").alias("lang"), "x.text"), _sample_ids,
+                     "toxic int, lang string, ids binary").toPandas()
     rows["key"] = [zlib.crc32(x) for x in rows["ids"]]
     rows = rows.sort_values(["key", "toxic"], kind="stable")  # the same model whatever the order of the rows
     ids = [np.frombuffer(x, np.int64) for x in rows["ids"]]
@@ -239,8 +275,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, default: float =
     model = train(ids, toxic)
     model.default = default
     model.emb = model.emb.astype(np.float16)
-    if min(count.get(0, 0), count.get(1, 0)) >= 20 and "lang" in docs.columns:  # else no language has enough
-        model.thresholds = calibrate(mine, marked, model)
+    if thresholds and "lang" in docs.columns and count.get(0) and count.get(1):
+        model.thresholds = calibrate(mine, marked, model, sum(count.values()))
     return model
 
 

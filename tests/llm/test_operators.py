@@ -425,3 +425,28 @@ def test_repeated_passages_tell_rows_of_one_id_apart(spark, tmp_dir):
                 gone[i:i + 50] = [True] * 50
         want[d, len(t), sum(gone), "".join(c for c, g in zip(t, gone) if not g).encode()] += 1
     assert got == want
+
+
+def test_toxicity_draw_is_bounded_whatever_the_repeats(spark, monkeypatch):
+    docs = spark.range(4000).selectExpr("IF(id < 3000, 7, id) AS doc_id", "concat('word', id, ' scum') AS text", "'en' AS lang")
+    labels = docs.select("doc_id").distinct().selectExpr("doc_id", "CAST(doc_id % 2 = 1 AS INT) AS toxic")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda ids, toxic, old=toxicity.train: seen.append(len(ids)) or old(ids[:5], toxic[:5]))
+    toxicity.fit(docs, labels, sample=60)
+    assert seen == [60]
+
+
+def test_language_thresholds_move_smoothly_from_the_pooled_one():
+    big = np.array([[700, 400, 0], [500, 10, 30], [300, 0, 900]])
+    pooled = toxicity.language_thresholds({"a": big}, 0.3)["a"]
+    def of(n):
+        rare = np.array([[620, n, 0], [610, 0, n]])
+        return toxicity.language_thresholds({"a": big, "rare": rare, "none": np.array([[400, 0, 9]])}, 0.3)
+    assert toxicity.language_thresholds({}, 0.3) == {}
+    got = [of(n)["rare"] for n in (1, 5, 19, 20, 21, 400)]
+    assert got == sorted(got) or got == sorted(got, reverse=True)
+    assert max(abs(b - a) for a, b in zip(got[2:4], got[3:5])) < 0.05
+    own = toxicity.best_threshold(np.array([620, 610]), np.array([400, 0]), np.array([0, 400]), pooled)
+    assert abs(of(10 ** 6)["rare"] - own) < 0.01
+    assert of(5)["none"] == toxicity.language_thresholds({"all": np.concatenate([
+        big, np.array([[620, 5, 0], [610, 0, 5]]), np.array([[400, 0, 9]])])[np.argsort([2, 0, 5, 1, 6, 3])]}, 0.3)["all"]
