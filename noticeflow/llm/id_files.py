@@ -208,7 +208,7 @@ def read_ids(spark: SparkSession, folder: str, id_type: str = "bigint") -> DataF
 
     within = F.sum("ids").over(Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
     segments = manifest.withColumn("_within", F.coalesce(within, F.lit(0))).join(files, "part")
-    n = max(1, manifest.count())
+    n = max(2, manifest.count())  # a segment is a task's work
     spread = segments.select("path", "at", "size", (F.col("_before") + F.col("_within")).alias("before")).repartition(n)
     return map_arrow(spread, _read, f"doc_id {id_type}, start long, n_tokens long, ids binary")
 
