@@ -383,11 +383,82 @@ def test_lm_scores(docs, none):
     assert mixing_lm.score(rows.where("false")).count() == 0
 
 
+def random_mixer(code):
+    rng = np.random.default_rng(0)
+    tables = [rng.integers(0, 256, mixing_lm.COLUMNS * n).astype(np.uint8) for n in (8192, 4096, 12288)]
+    return mixing_lm.Mixer(code, tables, rng.uniform(0, 0.6, (3, mixing_lm.GATES)).astype(np.float32), 100.0)
+
+
+def plain_log10(model, text):
+    """The mixing model one decision after another, with Python's numbers."""
+    code, mask = model.code, (1 << 64) - 1
+    syms = [int(code.symbol[b]) for b in text.lower()] + [mixing_lm.END]
+    past, word = [0] * mixing_lm.PAD, []
+    edges, total = [0, 32, 64, 128, *range(256, len(syms) + 256, 256)], 0.0
+    change, curve = [0.0] * 3, [0.0] * 3
+    slope, bend = [0.0] * 3, [0.0] * 3
+    for t, s in enumerate(syms):
+        if t in edges and t:
+            for i in range(3):
+                curve[i] += bend[i]
+                change[i] += slope[i] / (3 * curve[i] + model.damping)
+            slope, bend = [0.0] * 3, [0.0] * 3
+        rows = []
+        for order, size in zip(mixing_lm.ORDERS, model.rows):
+            if order:
+                c = sum(past[-1 - i] << (6 * i) for i in range(order))
+                c = ((c * 0x9E3779B1) & 0xFFFFFFFF) ^ (c >> 15)
+                c = (c * 0x85EBCA6B) & 0xFFFFFFFF
+            else:  # the gap before the word is part of it
+                h = sum((x + 1) * pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i, x in enumerate(word)) & mask
+                c = (((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & mask) >> 32
+            rows.append(c * size >> 32)
+        path = range(int(code.first[s]), int(code.first[s] + code.length[s]))
+        for k in path:
+            node, bit = int(code.node[k]), int(code.bit[k])
+            cells = [int(tab[r * mixing_lm.COLUMNS + node]) for tab, r in zip(model.tables, rows)]
+            x = [((c >> 2) - 31.5) / 4 for c in cells]
+            gate = (k > path[0]) + 2 * (cells[1] & 3) + 8 * (cells[2] & 3)
+            z = sum((float(model.weights[i][gate]) + change[i]) * x[i] for i in range(3))
+            p = 1 / (1 + math.exp(-z))
+            total += math.log(p if bit else 1 - p)
+            for i in range(3):
+                slope[i] += (bit - p) * x[i]
+                bend[i] += p * (1 - p) * x[i] * x[i]
+        if s == mixing_lm.ESCAPE:
+            total -= code.raw
+        past.append(s)
+        word = [] if code.space[s] else [*word, s]
+    return total / math.log(10)
+
+
+def test_lm_mixer_equals_the_plain_one():
+    train = b"the cat sat on the mat, and a dog ran off with 7 hats " * 20
+    model = random_mixer(mixing_lm.Code(np.bincount(np.frombuffer(train, np.uint8), minlength=256), 3))
+    parts = [b"", b"The cat", "caf\u00e9 \u0416 q".encode(), b"a dog ran off with the mat " * 40, b"x" * 256, b"y" * 31,
+             b"on\ttop\n" * 100]
+    got = model.log10(np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in parts])]))
+    assert np.allclose(got, [plain_log10(model, t) for t in parts], rtol=1e-4)
+
+
+def test_lm_weights_are_learned_from_the_training_fold_alone(spark):
+    rng = np.random.default_rng(3)
+    vocab = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(150)]
+    rows = [(i, " ".join(rng.choice(vocab, 60)), i % 7 == 2) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(5)
+    got = mixing_lm.score(df).collect()
+    held = [r for r in got if r.held_out]
+    # words are drawn independently, so the word counts are the source itself: spelling comes near, not above
+    assert sum(r.score for r in held) > 1.03 * sum(r.base_score for r in held)
+    # other held-out texts change no other score, and ids may be strings
+    other = df.where("held_out = false or doc_id < 700").withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    want = {f"d{r.doc_id}": r.score for r in got}
+    assert all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-6) for r in mixing_lm.score(other).collect())
+
+
 def test_lm_is_a_distribution_and_ignores_the_batch():
     code = mixing_lm.Code(np.bincount(np.frombuffer(b"the cat sat on the mat " * 20, np.uint8), minlength=256), 1)
-    rng = np.random.default_rng(0)
-    tables = [rng.integers(0, 256, mixing_lm.COLUMNS << bits).astype(np.uint8) for _, bits, _ in mixing_lm.ORDERS]
-    model = mixing_lm.Mixer(code, tables)
+    model = random_mixer(code)
 
     def logs(texts):
         data = np.frombuffer(b"".join(texts), np.uint8)
