@@ -19,6 +19,7 @@ from ..operators import audit, dedup, filters, keywords, ordering, sets
 from ..schema import CANONICAL9, KEY6, LINEAGE, MASTER13, sources_df
 from ..session import ensure_checkpoint_dir
 from ..sources import files as io_files
+from ..sources import plan as requests
 from ..sources.captures import read_captures, select_run
 from ..sources.master_store import MasterStore
 from ..streaming import refresh
@@ -295,17 +296,14 @@ SELECT n_nationkey, CAST(k.keyword_rank AS BIGINT) AS keyword_rank, k.keyword,
               '&from=', strftime({O.WINDOW_FROM_SQL}, '%Y-%m-%d'), '&to=', strftime({O.AS_OF_SQL}, '%Y-%m-%d')) AS request_url
 FROM nation CROSS JOIN (VALUES {", ".join(f"({i + 1}, '{k}')" for i, k in enumerate(_KWS))}) AS k(keyword_rank, keyword)""")
 def search_plan(spark, sf):
-    n = FX.table(spark, sf, "nation")
-    t = D.as_of_texts(AS_OF)
-    # DD-5 natively: split, trim, drop blanks, first occurrence wins; the fan-out
-    # is an explode of that small array, not a join.
-    kws = dedup.ordered_keywords(F.lit(KEYWORD_PARAM))
-    plan = n.select("n_nationkey", "n_name", F.posexplode(kws).alias("pos", "keyword"))
-    return plan.select(
-        "n_nationkey", (F.col("pos") + 1).cast("bigint").alias("keyword_rank"), "keyword",
-        F.concat(F.lit("https://planning.example.ie/"), F.lower("n_name"), F.lit("/search?q="),
-                 X.encode_spaces("keyword"), F.lit("&from="), t["from_iso"], F.lit("&to="), t["to_iso"])
-        .alias("request_url"))
+    site = F.concat(F.lit("https://planning.example.ie/"), F.lower("n_name"),
+                    F.lit("/search?q={keyword}&from={from}&to={to}"))
+    sources = FX.table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("source_id"), F.col("n_nationkey").alias("source_rank"), F.lit(1).alias("site_rank"),
+        F.lit("table").alias("layout"), F.lit(True).alias("keyword_search"), site.alias("url_template"))
+    plan = requests.search_plan(sources, dedup.ordered_keywords(F.lit(KEYWORD_PARAM)), AS_OF)
+    return plan.select(F.col("source_id").alias("n_nationkey"),
+                       F.col("keyword_rank").cast("bigint").alias("keyword_rank"), "keyword", "request_url")
 
 
 @register("keyword_hits", f"""

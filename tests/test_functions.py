@@ -111,3 +111,6 @@ def test_search_plan_over_sources_dimension(spark):
     assert "%22proposal%22:%22gas%22" in agile and "2020-09-10" in agile and "2021-09-10" in agile
     board = [r.request_url for r in plan if r.source_id == "board"][0]
     assert board.endswith("year=2021")
+    spaced = [r.request_url for r in plan if r.source_id == "fingal" and r.keyword == "data centre"][0]
+    assert "%22data%20centre%22" in spaced and " " not in spaced
+    assert search_plan(sources_df(spark), [], dt.date(2021, 9, 10)).count() == 2
