@@ -39,9 +39,9 @@ def keep_last_key6(df: DataFrame, order: list[str] = LINEAGE) -> DataFrame:
     return _keep_last_notice(df, KEY6, order)
 
 
-def keep_last_key7(df: DataFrame, order: list[str] = LINEAGE) -> DataFrame:
-    """Keep last by the six columns plus URL (DD-2)."""
-    return _keep_last_notice(df, KEY7, order)
+def keep_last_key7(df: DataFrame, order: list[str] = LINEAGE, by: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Keep last by the six columns plus URL (DD-2), within each ``by``."""
+    return _keep_last_notice(df, [*by, *KEY7], order)
 
 
 def keep_existing(df: DataFrame, order: list[str] = LINEAGE) -> DataFrame:

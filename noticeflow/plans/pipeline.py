@@ -23,9 +23,12 @@ from ..operators import dedup, extract, filters, ordering, sets
 from ..schema import (BOARD_CASE_BASE, CANONICAL9, CONSULTATION_BASE, DEADLINE_DAYS, KEY6,
                       LAYOUT_DATE_FORMATS, LINEAGE, MASTER13, NO_RUN)
 from ..session import materialize
+from ..sources import files
 
 PARSE_INPUT = ["fetched_on", "source_id", "source_rank", "site_rank", "layout", "keyword", "keyword_rank",
                "list_pos", "page_no", "attempt", "url", "html"]
+#: Columns of a single source's file.
+SOURCE_FILE = [c for c in CANONICAL9 if c != "deadline"]
 #: Layouts that a source publishes as numbered lists, the newest first (L-1).
 LIST_LAYOUTS = ["cards6", "case1"]
 LATEST_LISTS = 4
@@ -233,6 +236,27 @@ def fresh_from_pages(pages: DataFrame, sources: DataFrame, as_of, days: int | No
     return combine(apply_window(normalised, as_of, days))
 
 
+def source_files(captures: DataFrame, sources: DataFrame, as_of, path: str, only: list[str] | None = None,
+                 days: int | None = None) -> None:
+    """Each source's own notices as CSV under ``path/source_id=<id>/``, newest first, in one job for all.
+
+    ``only`` names the sources to run; their captures alone are read.  Within a
+    source the last of equal rows (six columns and URL, DD-2) stays; two
+    sources' equal rows both do.  Rows are ranged by source and date, so a
+    source that holds most of them is spread over several files, which follow
+    each other by name.
+    """
+    if only is not None:
+        captures, sources = (x.where(F.col("source_id").isin(only)) for x in (captures, sources))
+    rank = ["source_rank", "site_rank"]
+    fresh = fresh_notices(captures, sources, as_of, days).join(sources.select(*rank, "source_id"), rank)
+    last = dedup.keep_last_key7(fresh, by=["source_id"])
+    order = [F.col("source_id"), F.col("received_date").desc_nulls_last(), F.col("local_authority_name").asc_nulls_last(),
+             F.col("file_number").asc_nulls_last()]
+    out = last.select("source_id", *SOURCE_FILE).repartitionByRange(*order).sortWithinPartitions(*order)
+    files.write_csv(out, path, partition="source_id")
+
+
 def master_from_text(master_text: DataFrame, keep_order: bool = False) -> DataFrame:
     """Master exported as text: parse both date columns in any dialect (D-4).
 

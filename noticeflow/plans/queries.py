@@ -462,6 +462,10 @@ def _roundtrip(layout: str | None, window: bool):
     return run, sql
 
 
+def _sql_unwindowed() -> str:
+    return _roundtrip(None, False)[1]
+
+
 for _name, _layout in [("html_table_roundtrip", "table"), ("grid_records", "grid5"),
                        ("responsive_dedup", "responsive7"), ("column_zip", "columns4"),
                        ("definition_list", "deflist4"), ("detail_cards", "cards6"),
@@ -472,6 +476,17 @@ for _name, _layout in [("html_table_roundtrip", "table"), ("grid_records", "grid
 _fn, _sql = _roundtrip(None, True)
 register("combined_notices", _sql)(_fn)
 
+
+@register("source_files", f"WITH s AS ({_sql_unwindowed()}) SELECT {', '.join(P.SOURCE_FILE)} FROM s")
+def source_files(spark, sf):
+    from pyspark.sql import types as T
+    out = scratch_dir(spark, "sources")
+    P.source_files(FX.render_captures(_orders(spark, sf), None), sources_df(spark), AS_OF, out)
+    kinds = {"received_date": T.DateType()}
+    schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in P.SOURCE_FILE])
+    return io_files.read_csv(spark, out, schema)
+
+
 _ANCHOR_RE = '<a href="([^"]*)">([^<]*)</a>'
 
 

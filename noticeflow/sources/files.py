@@ -38,11 +38,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def write_csv(df: DataFrame, path: str, display_names: bool = True,
-              mode: str = "errorifexists") -> None:
-    """Header CSV, quotes doubled, no index column (SNK-1)."""
+              mode: str = "errorifexists", partition: str | None = None) -> None:
+    """Header CSV, quotes doubled, no index column (SNK-1); a folder for each value of ``partition``."""
     out = df.select(*[F.col(c).alias(DISPLAY_NAMES.get(c, c)) if display_names else F.col(c)
                       for c in df.columns])
     # Empty strings are written quoted ("") and NULLs as nothing, so both
     # survive a round trip.
-    (out.write.mode(mode).option("header", True).option("escape", '"')
-     .option("quote", '"').csv(path))
+    (out.write.mode(mode).partitionBy(*([partition] if partition else []))
+     .option("header", True).option("escape", '"').option("quote", '"').csv(path))

@@ -1,11 +1,12 @@
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticeflow.plans import fixtures as FX
 from noticeflow.plans import pipeline as P
-from noticeflow.schema import CANONICAL9, LINEAGE, MASTER13, MASTER_SCHEMA, MASTER_TEXT_SCHEMA
+from noticeflow.schema import CANONICAL9, LINEAGE, MASTER13, MASTER_SCHEMA, MASTER_TEXT_SCHEMA, sources_df
 from noticeflow.sources import files
 from noticeflow.sources.master_store import MasterStore
 from noticeflow.streaming import refresh
@@ -131,3 +132,19 @@ def test_stream_of_captures_and_its_replay(spark, tmp_dir):
     assert store.versions() == versions
     handle(caps, 2)
     assert rows(store.read()) == rows(want)
+
+
+def test_source_files_one_folder_each(spark, tmp_dir):
+    tmp_dir = Path(tmp_dir)
+    captures = FX.render_captures(FX.table(spark, SF0001, "orders"))
+    run = lambda rows, name, **kw: P.source_files(rows, sources_df(spark), FX.AS_OF, f"{tmp_dir}/{name}", **kw)
+    run(captures.union(captures), "all")  # captured twice: equal rows stay once
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in P.SOURCE_FILE])
+    whole = files.read_csv(spark, f"{tmp_dir}/all", schema)
+    assert whole.count() == P.fresh_notices(captures, sources_df(spark), FX.AS_OF, None).count()
+    run(captures, "one", only=["fingal"])
+    assert [p.name for p in sorted((tmp_dir / "one").iterdir()) if p.name.startswith("source_id")] == ["source_id=fingal"]
+    dates = [r[0] for r in files.read_csv(spark, f"{tmp_dir}/one/source_id=fingal", schema).select("received_date").collect()]
+    assert dates and dates == sorted(dates, reverse=True)
+    assert sorted(map(tuple, files.read_csv(spark, f"{tmp_dir}/one/source_id=fingal", schema).collect())) == sorted(
+        map(tuple, files.read_csv(spark, f"{tmp_dir}/all/source_id=fingal", schema).collect()))
