@@ -5,7 +5,8 @@ for flagged pages) -> records -> normalise -> window -> combine -> merge with
 the master -> announce -> publish.  Every function returns a DataFrame; those
 that read their input more than once (``apply_window`` over consultations,
 ``run_refresh`` with a report) first cut it with a reliable checkpoint, which
-runs a job, and ``filters.take_while`` counts its per-source table.
+runs a job; ``filters.take_while`` and ``newest_lists`` count their per-source
+tables.
 """
 
 from __future__ import annotations
@@ -65,20 +66,28 @@ def _equal(*columns: Column) -> list[Column]:
 def newest_lists(captures: DataFrame, k: int = LATEST_LISTS) -> DataFrame:
     """Captures without the pages of lists older than a source's ``k`` newest, before anything is parsed (L-1).
 
-    A source of a list layout numbers its lists from the newest on; the ranks
-    of the distinct (run, source, list) are worked out from the capture
-    metadata, and what is too old is anti-joined.  Fewer lists, pages without
-    a list number and other layouts all stay.
+    A source of a list layout numbers its lists from the newest on.  The first
+    list that is too old, one row per run and source that has any, is worked
+    out from the capture metadata and kept by a checkpoint.  No rows: nothing
+    is joined; up to ``BROADCAST_GROUPS``, they are broadcast.  Either way no
+    page moves, however many of them one source holds; beyond, both sides are
+    joined by a shuffle with the same result.  Fewer lists, pages without a
+    list number and other layouts all stay.
     """
     run = F.col("fetched_on") if "fetched_on" in captures.columns else F.lit(None)
     key = dict(zip(("_run", "_source"), _equal(run, F.col("source_id"))))
     lists = (captures.where(F.col("layout").isin(LIST_LAYOUTS) & F.col("list_pos").isNotNull())
              .select(*[c.alias(n) for n, c in key.items()], F.col("list_pos").alias("_list")).distinct())
     w = Window.partitionBy("_run", "_source").orderBy("_list")
-    old = lists.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") > k).drop("_r")
-    listed = F.when(F.col("layout").isin(LIST_LAYOUTS), F.col("list_pos"))
-    return (captures.withColumns(key | {"_list": listed}).join(old, ["_run", "_source", "_list"], "left_anti")
-            .select(*captures.columns))
+    old = materialize(lists.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") == k + 1)
+                      .select("_run", "_source", F.col("_list").alias("_from")))
+    groups = old.limit(filters.BROADCAST_GROUPS + 1).count()
+    if groups == 0:
+        return captures
+    side = F.broadcast(old) if groups <= filters.BROADCAST_GROUPS else old
+    marked = captures.withColumns(key | {"_list": F.when(F.col("layout").isin(LIST_LAYOUTS), F.col("list_pos"))})
+    same = [marked[n] == side[n] for n in key] + [marked["_list"] >= side["_from"]]
+    return marked.join(side, same, "left_anti").select(*captures.columns)
 
 
 def drop_superseded(captures: DataFrame) -> DataFrame:

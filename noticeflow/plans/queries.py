@@ -568,7 +568,7 @@ kept AS (SELECT p, 'first' AS who, {O.AS_OF_SQL} AS run_on FROM p WHERE p % 2 <>
          UNION ALL SELECT p, 'early', {O.AS_OF_SQL} - 7 FROM p WHERE p % 4 = 0)
 SELECT concat('F', CAST(p AS VARCHAR)) AS file_number, who AS applicant_name, CAST(run_on AS DATE) AS run_on FROM kept""")
 def retried_pages(spark, sf):
-    """Records of each page's latest attempt in each run; nothing is counted before."""
+    """Records of each page's latest attempt in each run; attempts are not counted before."""
     records, _ = P.extract_records(FX.tried_pages(_orders(spark, sf)))
     return records.select(F.col("raw_file_number").alias("file_number"), F.col("raw_applicant").alias("applicant_name"),
                           F.col("fetched_on").alias("run_on"))

@@ -68,6 +68,16 @@ def test_newest_lists_go_by_source_and_run(spark):
     assert sorted((str(d), s, p) for d, s, _, p in gone) == [("2021-09-01", "board", 5), ("2021-09-08", "board", 5)]
 
 
+def test_newest_lists_do_not_shuffle_the_pages(spark):
+    df = spark.range(1000).selectExpr("'board' AS source_id", "'cards6' AS layout", "CAST(id % 7 AS INT) + 1 AS list_pos",
+                                      "CAST(id AS INT) AS page_no")
+    got = P.newest_lists(df)
+    assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.page_no for r in got.collect()) == [i for i in range(1000) if i % 7 < 4]
+    few = P.newest_lists(df.where("list_pos <= 4"))
+    assert "Join" not in few._jdf.queryExecution().executedPlan().toString() and few.count() == 572
+
+
 def test_take_while_does_not_shuffle_the_listing(spark):
     df = spark.range(1000).selectExpr("IF(id % 3 = 0, 'hot', concat('s', id)) AS source_id", "CAST(id AS INT) AS page_no",
                                       "0 AS row_pos", "IF(id > 900, 1, 0) AS old")
