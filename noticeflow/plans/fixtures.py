@@ -28,6 +28,7 @@ ROWS_PER_PAGE = 10
 PAGE_KEYWORDS = ["data centre", "gas", "tunnel"]
 APP_KEYWORDS = ["data", "gas", "tunnel"]
 LAYOUTS = ["table", "grid5", "responsive7", "columns4", "deflist4", "cards6", "case1", "links5"]
+ORDERS_A_TASK = 50_000  # orders that one task renders (and parses)
 COUNCILS = ["dublincity", "fingal", "dunlaoghaire"]
 
 
@@ -127,6 +128,11 @@ def order_fields(orders: DataFrame, layout: Column | str | None = None) -> DataF
     )
 
 
+def render_tasks(orders: DataFrame) -> int:
+    """Tasks that render ``orders``: one for each core, more as the table grows, so that a task's share does not."""
+    return max(orders.sparkSession.sparkContext.defaultParallelism, -(-orders.count() // ORDERS_A_TASK))
+
+
 @per_jvm
 def _snippet() -> Column:
     """HTML of one record, by layout."""
@@ -268,8 +274,7 @@ def render_captures(orders: DataFrame, layout: str | None = None, as_of=AS_OF) -
     # Pages are parsed right after rendering; with an explicit partition count
     # AQE keeps them spread over all cores instead of folding the (small but
     # CPU-heavy) page set into one task.
-    parallelism = orders.sparkSession.sparkContext.defaultParallelism
-    pages = (rows.repartition(parallelism, "page_no").groupBy("layout", "page_no")
+    pages = (rows.repartition(render_tasks(orders), "page_no").groupBy("layout", "page_no")
              .agg(F.sort_array(F.collect_list(F.struct("pos", "snippet"))).alias("items")))
     body = F.array_join(F.transform("items", lambda s: s["snippet"]), "")
     kw_idx = (F.col("page_no") % len(PAGE_KEYWORDS) + 1).cast("int")
@@ -309,7 +314,9 @@ def case_pages(orders: DataFrame, party: str = "Ann", fetched_on=AS_OF) -> DataF
     body = (F.when(c == NO_RECORDS, F.lit("<p>Moved</p>" + hidden))
             .when(c == NO_RESULTS, F.lit("<p>No results found</p>"))
             .otherwise(F.concat(F.lit(hidden + '<script>var a = "<li><p>x</p>";</script><!-- <p> -->'), case)))
-    return orders.select(
+    # Orders are dealt first: a table file has fewer splits than there are cores, and parsing follows the splits.
+    dealt = orders.select("o_orderkey", "o_custkey", "o_orderdate").repartition(render_tasks(orders), "o_orderkey")
+    return dealt.select(
         F.when(c == UNKNOWN_SOURCE, "nowhere").otherwise("board").alias("source_id"),
         F.lit(1).alias("source_rank"), F.lit(1).alias("site_rank"), F.lit("case1").alias("layout"),
         F.lit(None).cast("string").alias("keyword"), F.lit(0).alias("keyword_rank"), F.lit(1).alias("list_pos"),

@@ -106,3 +106,15 @@ def test_date_formats_by_source(spark):
     got = [r.d for r in df.select(D.parse_by_formats("t", "f", ["d/M/yyyy", "d MMMM yyyy"]).alias("d")).collect()]
     assert got == [dt.date(2021, 6, 5), dt.date(2021, 5, 6), dt.date(2021, 6, 25), dt.date(2021, 6, 7), dt.date(2021, 6, 5),
                    None, None, None]
+
+
+def test_rendering_tasks_grow_with_the_orders(spark, monkeypatch):
+    from noticeflow.plans import fixtures as FX
+    monkeypatch.setattr(FX, "ORDERS_A_TASK", 20)
+    orders = spark.range(1, 1001, numPartitions=1).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "DATE'2001-07-01' AS o_orderdate", "'F' AS o_orderstatus", "'1-URGENT' AS o_orderpriority")
+    assert FX.render_tasks(orders) == 50
+    faulty = FX.case_pages(orders)
+    assert faulty.count() == 1000 and "hashpartitioning(o_orderkey#" in faulty._jdf.queryExecution().toString()
+    for pages in (faulty, FX.render_captures(orders, "grid5")):
+        assert ", 50)" in pages._jdf.queryExecution().executedPlan().toString()
