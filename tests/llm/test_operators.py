@@ -456,6 +456,56 @@ def test_lm_weights_are_learned_from_the_training_fold_alone(spark):
     assert all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-6) for r in mixing_lm.score(other).collect())
 
 
+def test_lm_weights_come_from_every_training_text(spark):
+    """More texts than any sample and some long ones: each is looked up in the tables of the other half."""
+    rng = np.random.default_rng(5)
+    vocab = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(200)]
+    texts = [" ".join(rng.choice(vocab, n)) for n in [*rng.integers(1, 40, 600), 2500, 3000, 4000, 5000]]
+    texts += [texts[0]] * 30 + [None, ""]
+    train = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    code = mixing_lm.Code(np.bincount(np.frombuffer("".join(filter(None, texts)).encode(), np.uint8), minlength=256), len(texts))
+    histogram = np.bincount(np.frombuffer("".join(filter(None, texts)).encode(), np.uint8), minlength=256)
+    got = mixing_lm.fit(train, histogram, len(texts), max_rows=8192)
+    half = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(
+        F.pmod(F.xxhash64("text"), F.lit(2))).collect()]
+    rows, coded, total = got.rows, [], []
+    for which in (0, 1):
+        data = [(t or "").encode() for t, h in zip(texts, half) if h == which]
+        coded.append(mixing_lm.symbols(code, np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])))
+        sym, at, _ = coded[which]
+        total.append([np.bincount(r * mixing_lm.COLUMNS + sym[at], minlength=n * mixing_lm.COLUMNS).reshape(n, -1)
+                      for r, n in zip(mixing_lm.context_rows(code, sym, at, rows), rows)])
+    values = lambda ts: [mixing_lm.cell_values(t @ code.through, t @ code.ones).ravel() for t in ts]
+    assert all((a == b).all() for a, b in zip(got.tables, values([a + b for a, b in zip(*total)])))
+    keys = []
+    for which in (0, 1):
+        sym, at, _ = coded[which]
+        other = mixing_lm.Mixer(code, values(total[1 - which]), got.weights, 1.0)
+        keys += [key for _, key in other.decisions(sym, at, np.zeros(len(at), np.int64))]
+    keys = np.concatenate(keys).astype(np.int64)
+    assert len(keys) == sum(int(code.length[sym[at]].sum()) for sym, at, _ in coded)
+    gate = (keys >> 22) | (keys >> 6 & 3) << 1 | (keys >> 14 & 3) << 3
+    x = np.stack([((keys >> 8 * i) & 63) / 4 - 31.5 / 4 for i in range(3)])
+    curve = 0
+    for g in np.unique(gate):
+        weights, bend = mixing_lm.fit_weights(x[:, gate == g], np.ones((gate == g).sum()))
+        assert np.allclose(got.weights[:, g], weights, atol=1e-4)
+        curve = curve + bend
+    symbols = sum(len(at) for _, at, _ in coded)
+    assert math.isclose(got.damping, mixing_lm.damping(curve, symbols), rel_tol=1e-4)
+    assert not np.allclose(got.weights, 1 / 3)
+
+
+def test_lm_long_training_texts_count(spark):
+    """Texts of more than 8,192 bytes alone: weights are learned from them, too."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(["abc", "de", "fghi", "jk"], 3000)) for _ in range(4)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = mixing_lm.fit(train, np.bincount(data, minlength=256), len(texts), max_rows=4096)
+    assert not np.allclose(model.weights, 1 / 3)
+
+
 def test_lm_is_a_distribution_and_ignores_the_batch():
     code = mixing_lm.Code(np.bincount(np.frombuffer(b"the cat sat on the mat " * 20, np.uint8), minlength=256), 1)
     model = random_mixer(code)
