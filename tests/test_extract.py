@@ -218,3 +218,23 @@ def test_latest_attempt_with_null_keyword(spark):
     caps = spark.createDataFrame(rows, CAPTURE_SCHEMA)
     recs, _ = P.extract_records(caps)
     assert [r.raw_file_number for r in recs.collect()] == ["ABP-9"]
+
+
+def test_references_read_by_name_equal_the_library(spark):
+    """Names are looked up without expressions; all else (numbers, unknown names, no semicolon) as before."""
+    import html
+    texts = ["a &amp; b", "&amp;lt;", "x &lt;works&gt; &quot;", "&#38;a;b", "&#x26;amp;", "&nosuch;x &amp;", "&;&amp;;", "no", "&&amp;&"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("_entities", E.page_entities(F.col("t")))
+    got = [r[0] for r in df.select(E.unescape(F.col("t"))).collect()]
+    assert got == [html.unescape(t) for t in texts]
+    # a known name of the page that has no semicolon here is not one
+    part = spark.createDataFrame([("&amp",)], "t string").withColumn("_entities", F.create_map(F.lit("amp"), F.lit("&")))
+    assert part.select(E.unescape(F.col("t"))).first()[0] == "&amp"
+
+
+def test_page_checks_find_scripts_and_odd_attributes(spark):
+    rows = [("<p>a</p>", False), ("<SCRIPT>x", True), ("<sTyle>", True), ("<!-- x", True), ("<a href=\"x>y\">", True),
+            ("<a href = 'x>", True), ("<a href=\"x\">", False), ("<s>", False)]
+    df = spark.createDataFrame([(h,) for h, _ in rows], "html string").withColumn("_entities", E.page_entities(F.col("html")))
+    got = [r[0] for r in df.select(E.needs_tolerant(F.lit("grid5"), F.col("html"))).collect()]
+    assert got == [odd for _, odd in rows]
