@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -441,6 +442,41 @@ def test_lm_mixer_equals_the_plain_one():
     assert np.allclose(got, [plain_log10(model, t) for t in parts], rtol=1e-4)
 
 
+def test_lm_looks_equal_lookups_up_once(monkeypatch):
+    """A symbol in rows seen before makes the same decisions: repeats of a text cost no further lookups."""
+    model = random_mixer(mixing_lm.Code(np.bincount(np.frombuffer(b"the cat sat on the mat " * 20, np.uint8), minlength=256), 1))
+    looked_up, paths = [], mixing_lm.Mixer.paths
+
+    def counted(self, lookups):
+        looked_up.append(len(lookups))
+        return paths(self, lookups)
+    monkeypatch.setattr(mixing_lm.Mixer, "paths", counted)
+    text = "the cat sat, caf\u00e9 on the mat ".encode()
+    once, often = ([text * n, b"", text * n] for n in (2, 60))
+    got = [model.log10(np.frombuffer(b"".join(t), np.uint8), np.cumsum([0, *map(len, t)])) for t in (once, often)]
+    assert len(looked_up) == 2 and looked_up[0] == looked_up[1] <= 2 * len(text) + 2
+    assert np.allclose(got[1], [plain_log10(model, t) for t in often], rtol=1e-4)
+    # in the order of the texts, the keys are those of one decision after another
+    data, offs = np.frombuffer(once[0], np.uint8), np.array([0, len(once[0])])
+    sym, at, _ = mixing_lm.symbols(model.code, data, offs)
+    size = model.code.length[sym[at]]
+    want = np.zeros(size.sum(), np.uint32)
+    for where, key in model.decisions(sym, at, np.cumsum(size) - size):
+        want[where] = key
+    lookups = model.lookups(sym[at], mixing_lm.context_rows(model.code, sym, at, model.rows))
+    keys, ends = model.keys(sym[at], lookups, np.arange(len(at)))
+    assert (keys == want).all() and (ends == np.cumsum(size)).all()
+
+
+def test_lm_words_are_split_as_bytes_are():
+    texts = ["", None, " ", "A b\tC\x0b\x0cd\r\ne  f ", "\x1cq\x1f \u00a0x\u0085 \u0130\u00c4Z", "a", "b a\x00 b"]
+    word, doc, size, index = mixing_lm._words(pa.array(["left out", *texts])[1:])
+    for i, t in enumerate(texts):
+        want = [*(t or "").encode().lower().split(), mixing_lm.END_WORD]
+        assert [index[w] for w in word[doc == i]] == want and size[i] == len(want)
+    assert len(set(index)) == len(index)
+
+
 def test_lm_weights_are_learned_from_the_training_fold_alone(spark):
     rng = np.random.default_rng(3)
     vocab = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(150)]
