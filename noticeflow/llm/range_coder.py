@@ -32,7 +32,8 @@ SHORTEST = 64
 
 _TOP = np.uint64(1 << 48)
 _SMALL = np.uint64(1 << 32)
-_ONE, _U12, _U16, _U48 = (np.uint64(x) for x in (1, 12, 16, 48))
+_ONE, _U12, _U16, _U32, _U48 = (np.uint64(x) for x in (1, 12, 16, 32, 48))
+_U32_MOST = np.uint64((1 << 32) - 1)
 _SLOTS = 512  # context slots of each order in a block
 _MOST = 15  # largest count of a context slot
 
@@ -66,8 +67,8 @@ class _Lanes:
         self.span = np.full(lanes, (1 << 64) - 1, np.uint64)
         self.total = int(share.sum())
         self.bits = np.uint64(self.total.bit_length() - 1)
-        self.share = share.astype(np.uint64)
-        self.start = (np.cumsum(share) - share).astype(np.uint64)
+        # where each rank's share starts, and the share: the halves of one number
+        self.shares = ((np.cumsum(share) - share).astype(np.uint64) << _U32) | share.astype(np.uint64)
         self.words = words
         if words is None:
             self.room = 64
@@ -81,7 +82,7 @@ class _Lanes:
                 self.code = (self.code << _U16) | words[self.at].astype(np.uint64)
                 self.at += 1
         # the log of an id's rank, in 32 kinds: order 0's context
-        self.kind = np.minimum(np.log2(np.arange(1, len(share) + 1)).astype(np.int64), 31)
+        self.kind = np.minimum(np.log2(np.arange(1, len(share) + 1)).astype(np.int8), 31)
         # orders 1 and 2: a slot holds rank << 4 | count
         self.slots = np.zeros(2 * lanes * _SLOTS, np.int32)
         self.slot_base = np.arange(2 * lanes).reshape(2, lanes) * _SLOTS
@@ -97,21 +98,26 @@ class _Lanes:
         end ^= low
         j = np.flatnonzero((end < _TOP) | (span < _SMALL))
         while len(j):
-            low, span = self.low[j], self.span[j]
+            low, span = self.low.take(j, mode="clip"), self.span.take(j, mode="clip")
             done = ((low + span) ^ low) < _TOP
             if not done.all():
                 span = np.where(done, span, (~low + _ONE) & (_SMALL - _ONE))
             if self.words is None:
-                at = self.used[j]
+                at = self.used.take(j, mode="clip")
                 if int(at.max()) >= self.room:
                     self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
                     self.room *= 2
                 self.out[j, at] = low >> _U48
-                self.used[j] = at + 1
+                at += 1
+                self.used[j] = at
             else:
-                at = self.at[j]
-                self.code[j] = (self.code[j] << _U16) | self.words[at].astype(np.uint64)
-                self.at[j] = at + 1
+                at = self.at.take(j, mode="clip")
+                code = self.code.take(j, mode="clip")
+                code <<= _U16
+                code |= self.words.take(at, mode="clip")
+                self.code[j] = code
+                at += 1
+                self.at[j] = at
             low <<= _U16
             span <<= _U16
             self.low[j], self.span[j] = low, span
@@ -126,19 +132,19 @@ class _Lanes:
         at[1] >>= 5
         at &= _SLOTS - 1
         at += self.slot_base[:, :n]
-        slot = self.slots[at]
+        slot = self.slots.take(at, mode="clip")  # nothing to clip: the mode that needs no copy
         count = slot & 15
         named = slot >> 4
         guess = np.where(count[1] > 0, named[1], named[0])
         cell = np.empty((3, n), np.int64)
-        cell[0] = self.kind[guess]
+        cell[0] = self.kind.take(guess, mode="clip")
         cell[1] = named[0] == guess
         cell[1] <<= 4
         cell[1] += count[0]
         cell[2] = count[1]
         cell += self.odds_base[:, :n]
-        odds = self.odds[cell]
-        say = STRETCH[odds >> 4]
+        odds = self.odds.take(cell, mode="clip")
+        say = STRETCH.take(odds >> 4, mode="clip")
         weight = self.weight[:, :n]
         dot = weight * say
         dot = dot[0] + dot[1] + dot[2]
@@ -146,7 +152,7 @@ class _Lanes:
         np.minimum(dot, 2047, out=dot)
         np.maximum(dot, -2047, out=dot)
         dot += 2047
-        mixed = SQUASH[dot]
+        mixed = SQUASH.take(dot, mode="clip")
         low, span = self.low[:n], self.span[:n]
         part = (span >> _U12) * mixed
         hit = (rank == guess) if rank is not None else (self.code[:n] - low) < part
@@ -169,12 +175,13 @@ class _Lanes:
         unit = span >> self.bits
         if rank is not None:
             found = rank
-            start, share = self.start[rank], self.share[rank]
         else:
             value = (self.code[:n] - low) // unit
-            found = self.rank_at[np.minimum(value, np.uint64(self.total - 1))]
+            found = self.rank_at.take(np.minimum(value, np.uint64(self.total - 1)).view(np.int64), mode="clip")
             found = np.where(hit, guess, found)
-            start, share = self.start[found], self.share[found]
+        share = self.shares.take(found, mode="clip")
+        start = share >> _U32
+        share &= _U32_MOST
         start *= miss
         start *= unit
         low += start

@@ -133,27 +133,28 @@ class ArrayIds:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
-    def fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids end to end, ids of each) of pieces that begin with a space or line feed: one call for all of them."""
+    def fresh(self, pieces: list[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, ids of each) of pieces, ``size`` bytes each, that begin with a space or line feed: one call for all."""
         if self.bytes_of is None:
             ids = self.whole(pieces)
             return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
-        joined = "".join(pieces)
-        ids = np.array(self.pairs.ranks.encode_ordinary(joined), np.uint32)
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        if not joined.isascii():
-            size = np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces))
+        ids = np.array(self.pairs.ranks.encode_ordinary("".join(pieces)), np.uint32)
         stop = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(size)) + 1
         return ids, np.diff(stop, prepend=0)
 
-    def slots(self, pieces: list[str]) -> np.ndarray:
-        """Places in the table of pieces that begin with a space or line feed; the table's size is bounded."""
+    def slots(self, column) -> np.ndarray:
+        """Places in the table of distinct pieces that begin with a space or line feed; the table's size is bounded."""
+        import pyarrow.compute as pc
+
+        pieces = column.to_numpy(zero_copy_only=False).tolist()
         if len(self.slot) + len(pieces) > 2 * CACHE and self.slot:
             self.forget()
-        got = list(map(self.slot.get, pieces))
-        new = [p for p, s in zip(pieces, got) if s is None]
-        if new:
-            ids, size = self.fresh(new)
+        known = self.slot.get
+        got = np.fromiter([known(p, -1) for p in pieces], np.int64, len(pieces))
+        at = np.flatnonzero(got < 0)
+        if len(at):
+            new = pieces if len(at) == len(pieces) else [pieces[i] for i in at.tolist()]
+            ids, size = self.fresh(new, pc.binary_length(column).to_numpy()[at].astype(np.int64))
             first = len(self.slot)
             while self.used + len(ids) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
@@ -164,10 +165,9 @@ class ArrayIds:
             self.start[first:first + len(new)] = self.used + np.cumsum(size) - size
             self.length[first:first + len(new)] = size
             self.used += len(ids)
-            self.slot.update(zip(new, range(first, first + len(new))))
-            fresh = iter(range(first, first + len(new)))
-            got = [next(fresh) if s is None else s for s in got]
-        return np.array(got, np.int64)
+            got[at] = np.arange(first, first + len(new))
+            self.slot.update(zip(new, got[at].tolist()))
+        return got
 
     def __call__(self, column, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, ids of each); a null text is empty; ``end_id`` follows each text."""
@@ -207,8 +207,9 @@ class ArrayIds:
         named = flat.dictionary_encode()
         own_table = []
         if n:
-            slot = self.slots([p if p[:1] == "\n" else " " + p for p in named.dictionary.to_pylist()])
-            code = slot[named.indices.to_numpy()]
+            none, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+            before = pc.if_else(pc.starts_with(named.dictionary, "\n"), none, space)
+            code = self.slots(pc.binary_join_element_wise(before, named.dictionary, none))[named.indices.to_numpy()]
             # the first piece of a text has no space before it: worked out anew, after the table's end
             heads = flat.take(pa.array(offsets[:-1])).dictionary_encode()
             ranks = self.pairs.ranks
@@ -230,6 +231,7 @@ class ArrayIds:
         size = length[code]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(start[code] - (ends - size), size) + np.arange(total)
+        at = np.repeat(start[code] - (ends - size), size)
+        at += np.arange(total)
         ends = np.concatenate(([0], ends))
-        return table[at], ends[offsets[1:]] - ends[offsets[:-1]]
+        return table.take(at, mode="clip"), ends[offsets[1:]] - ends[offsets[:-1]]

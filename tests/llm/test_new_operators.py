@@ -94,6 +94,27 @@ def test_array_ids_equal_the_library():
     assert len(flat) == len(size) == 0
 
 
+def test_array_ids_look_pieces_up_as_a_column(monkeypatch):
+    """New pieces are merged once, with their bytes counted by Arrow; slots of known ones come back in any order."""
+    find = tokens.array_ids(BYTE)
+    find.forget()
+    merged, fresh = [], tokens.ArrayIds.fresh
+
+    def counted(self, pieces, size):
+        assert [len(p.encode()) for p in pieces] == size.tolist()
+        merged.extend(pieces)
+        return fresh(self, pieces, size)
+    monkeypatch.setattr(tokens.ArrayIds, "fresh", counted)
+    pieces = [" word", "\nline", " Ünïcode", " 日本", " x\x00", " 😀", " unforeseeably"]
+    first = find.slots(pa.array(pieces[:4], pa.large_string()))
+    again = find.slots(pa.array([*reversed(pieces[1:]), pieces[0]], pa.large_string()))
+    assert merged == [*pieces[:4], *reversed(pieces[4:])]
+    assert again.tolist() == [*again[:3], first[3], first[2], first[1], first[0]]
+    for piece, slot in zip([*reversed(pieces[1:]), pieces[0]], again):
+        ids = find.table[find.start[slot]:find.start[slot] + find.length[slot]]
+        assert ids.tolist() == library_ids(piece)
+
+
 def test_id_files(spark, tmp_dir):
     rows = [(i % 9 if i % 5 else None, t, "clash", i) for i, t in enumerate(TEXTS)] + [(4, "same", "", 0)] * 3
     docs = spark.createDataFrame(rows, "doc_id long, text string, path string, part int")
