@@ -42,6 +42,8 @@ HEAD = struct.Struct("<8QI")
 SEGMENT = 1 << 22
 #: Bytes of text that one file is made from, about.
 FILE_BYTES = 48 << 20
+#: Bytes of text whose ids are found at a time, about.
+PACK = 6 << 20
 MANIFEST = "part long, seq long, path string, at long, size long, ids long, documents long"
 
 
@@ -131,7 +133,7 @@ def _write(folder: str, path: str, end_id: int, segment: int):
             held = 0
 
         for batch in batches:
-            for start, stop in packs(batch.column(1), 4 << 20):
+            for start, stop in packs(batch.column(1), PACK):
                 piece = batch.slice(start, stop - start)
                 flat, size = find(piece.column(1), end_id)
                 docs.append(piece.column(0))

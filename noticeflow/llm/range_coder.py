@@ -34,6 +34,7 @@ _TOP = np.uint64(1 << 48)
 _SMALL = np.uint64(1 << 32)
 _ONE, _U12, _U16, _U32, _U48 = (np.uint64(x) for x in (1, 12, 16, 32, 48))
 _U32_MOST = np.uint64((1 << 32) - 1)
+_MIX_ONE, _MIX_TWO = np.int32(40503), np.int32(24593)
 _SLOTS = 512  # context slots of each order in a block
 _MOST = 15  # largest count of a context slot
 
@@ -71,9 +72,9 @@ class _Lanes:
         self.shares = ((np.cumsum(share) - share).astype(np.uint64) << _U32) | share.astype(np.uint64)
         self.words = words
         if words is None:
-            self.room = 64
-            self.out = np.zeros((lanes, self.room), np.uint16)
-            self.used = np.zeros(lanes, np.int64)
+            self.room, self.most = 64, 0  # words of a lane that there is room for, and that it may have by now
+            self.out = np.zeros(lanes * self.room, np.uint16)
+            self.used = np.arange(lanes) * self.room  # place of each lane's next word
         else:
             self.rank_at = np.repeat(np.arange(len(share), dtype=np.int32), share)
             self.at = starts.copy()
@@ -83,12 +84,13 @@ class _Lanes:
                 self.at += 1
         # the log of an id's rank, in 32 kinds: order 0's context
         self.kind = np.minimum(np.log2(np.arange(1, len(share) + 1)).astype(np.int8), 31)
+        # one context of all lanes lies together: the frequent ones stay in the processor's cache
         # orders 1 and 2: a slot holds rank << 4 | count
-        self.slots = np.zeros(2 * lanes * _SLOTS, np.int32)
-        self.slot_base = np.arange(2 * lanes).reshape(2, lanes) * _SLOTS
+        self.slots = np.zeros(2 * _SLOTS * lanes, np.int32)
+        self.slot_base = np.arange(2)[:, None] * (_SLOTS * lanes) + np.arange(lanes)
         # orders 0, 1 and 2: 16-bit probabilities that the guess comes, by context
-        self.odds = np.full(3 * lanes * 32, 1 << 14, np.int32)
-        self.odds_base = np.arange(3 * lanes).reshape(3, lanes) * 32
+        self.odds = np.full(3 * 32 * lanes, 1 << 14, np.int32)
+        self.odds_base = np.arange(3)[:, None] * (32 * lanes) + np.arange(lanes)
         self.weight = np.full((3, lanes), 26000, np.int32)
 
     def settle(self, n: int) -> None:
@@ -103,11 +105,11 @@ class _Lanes:
             if not done.all():
                 span = np.where(done, span, (~low + _ONE) & (_SMALL - _ONE))
             if self.words is None:
+                self.most += 1
+                if self.most > self.room:
+                    self.widen()
                 at = self.used.take(j, mode="clip")
-                if int(at.max()) >= self.room:
-                    self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-                    self.room *= 2
-                self.out[j, at] = low >> _U48
+                self.out[at] = (low >> _U48).astype(np.uint16)
                 at += 1
                 self.used[j] = at
             else:
@@ -121,27 +123,46 @@ class _Lanes:
             low <<= _U16
             span <<= _U16
             self.low[j], self.span[j] = low, span
+            again = np.flatnonzero(span < _TOP)  # no other span can be too small by now
+            if not len(again):
+                return
+            j, low, span = j.take(again), low.take(again), span.take(again)
             j = j[((low ^ (low + span)) < _TOP) | (span < _SMALL)]
 
+    def widen(self) -> None:
+        """Counts each lane's words and makes room for one more at least."""
+        count = self.used - np.arange(self.n) * self.room
+        self.most = int(count.max()) + 1
+        if self.most > self.room:
+            rows = self.out.reshape(self.n, self.room)
+            self.out = np.concatenate([rows, np.zeros_like(rows)], axis=1).reshape(-1)
+            self.room *= 2
+            self.used = count + np.arange(self.n) * self.room
+
     def step(self, n: int, one: np.ndarray, two: np.ndarray, rank: np.ndarray | None) -> np.ndarray:
         """One id in each of the first ``n`` lanes; ``one``, ``two``: the last rank plus 1 and the one before."""
         at = np.empty((2, n), np.int64)
-        at[0] = one
-        np.multiply(one, 40503, out=at[1], dtype=np.int64)
-        at[1] += two * np.int64(24593)
-        at[1] >>= 5
-        at &= _SLOTS - 1
+        at[0] = one & (_SLOTS - 1)
+        mingled = one * _MIX_ONE  # 32 bits are enough: the bits taken are low ones
+        mingled += two * _MIX_TWO
+        mingled >>= 5
+        mingled &= _SLOTS - 1
+        at[1] = mingled
+        at *= self.n
         at += self.slot_base[:, :n]
         slot = self.slots.take(at, mode="clip")  # nothing to clip: the mode that needs no copy
         count = slot & 15
         named = slot >> 4
-        guess = np.where(count[1] > 0, named[1], named[0])
+        guess = named[1] - named[0]
+        guess *= count[1] > 0
+        guess += named[0]
         cell = np.empty((3, n), np.int64)
         cell[0] = self.kind.take(guess, mode="clip")
         cell[1] = named[0] == guess
         cell[1] <<= 4
         cell[1] += count[0]
         cell[2] = count[1]
+        cell *= self.n
         cell += self.odds_base[:, :n]
         odds = self.odds.take(cell, mode="clip")
         say = STRETCH.take(odds >> 4, mode="clip")
@@ -149,10 +170,8 @@ class _Lanes:
         dot = weight * say
         dot = dot[0] + dot[1] + dot[2]
         dot >>= 16
-        np.minimum(dot, 2047, out=dot)
-        np.maximum(dot, -2047, out=dot)
         dot += 2047
-        mixed = SQUASH.take(dot, mode="clip")
+        mixed = SQUASH.take(dot, mode="clip")  # the mode keeps what lies outside at the table's ends
         low, span = self.low[:n], self.span[:n]
         part = (span >> _U12) * mixed
         hit = (rank == guess) if rank is not None else (self.code[:n] - low) < part
@@ -167,9 +186,11 @@ class _Lanes:
         goal >>= 4
         odds += goal
         self.odds[cell] = odds
-        miss = ~hit
-        low += part * miss
-        np.copyto(span, np.where(hit, part, span - part))
+        missed = hit.astype(np.uint64) - _ONE  # all bits where the guess did not come, else none
+        span -= part
+        span &= missed
+        low += part & missed
+        span |= part & ~missed
         if self.bits > 18:  # a long share needs a whole span
             self.settle(n)
         unit = span >> self.bits
@@ -177,19 +198,27 @@ class _Lanes:
             found = rank
         else:
             value = (self.code[:n] - low) // unit
-            found = self.rank_at.take(np.minimum(value, np.uint64(self.total - 1)).view(np.int64), mode="clip")
-            found = np.where(hit, guess, found)
+            found = self.rank_at.take(value.view(np.int64), mode="clip")
+            found -= guess
+            found *= ~hit
+            found += guess
         share = self.shares.take(found, mode="clip")
         start = share >> _U32
         share &= _U32_MOST
-        start *= miss
         start *= unit
+        start &= missed
         low += start
         share *= unit
-        np.copyto(span, share, where=miss)
+        share ^= span
+        share &= missed
+        span ^= share
         self.settle(n)
-        again = named == found  # an empty slot reads as id 0, never seen
-        self.slots[at] = np.where(again, slot + (count < _MOST), (found << 4) + 1)
+        # the same id counts on, another begins anew; an empty slot reads as id 0, never seen
+        slot += count < _MOST
+        slot -= (new := (found << 4) + 1)
+        slot *= named == found
+        slot += new
+        self.slots[at] = slot
         return found
 
     def run(self, ids: np.ndarray | None, length: int, block: int) -> np.ndarray:
@@ -215,8 +244,10 @@ class _Lanes:
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """(all words, lane after lane; words of each lane)."""
         tail = np.stack([(self.low >> np.uint64(48 - 16 * k)).astype(np.uint16) for k in range(4)], axis=1)
-        sizes = self.used + 4
-        out = [w for i in range(self.n) for w in (self.out[i, :self.used[i]], tail[i])]
+        used = self.used - np.arange(self.n) * self.room
+        sizes = used + 4
+        rows = self.out.reshape(self.n, self.room)
+        out = [w for i in range(self.n) for w in (rows[i, :used[i]], tail[i])]
         return np.concatenate(out), sizes
 
 

@@ -126,8 +126,10 @@ class ArrayIds:
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.table, self.used = np.zeros(1 << 16, np.uint32), 0
+        import pyarrow as pa
+
+        self.slot = pa.array([], pa.large_string())  # pieces in the order of their slots
+        self.table, self.used = np.zeros(1 << 16, np.uint32), 0  # ids of all slots, end to end
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -144,29 +146,29 @@ class ArrayIds:
 
     def slots(self, column) -> np.ndarray:
         """Places in the table of distinct pieces that begin with a space or line feed; the table's size is bounded."""
+        import pyarrow as pa
         import pyarrow.compute as pc
 
-        pieces = column.to_numpy(zero_copy_only=False).tolist()
-        if len(self.slot) + len(pieces) > 2 * CACHE and self.slot:
+        if len(self.slot) + len(column) > 2 * CACHE and len(self.slot):
             self.forget()
-        known = self.slot.get
-        got = np.fromiter([known(p, -1) for p in pieces], np.int64, len(pieces))
+        got = pc.index_in(column, value_set=self.slot).fill_null(-1).to_numpy().astype(np.int64)
         at = np.flatnonzero(got < 0)
         if len(at):
-            new = pieces if len(at) == len(pieces) else [pieces[i] for i in at.tolist()]
-            ids, size = self.fresh(new, pc.binary_length(column).to_numpy()[at].astype(np.int64))
-            first = len(self.slot)
+            new = column if len(at) == len(column) else column.take(pa.array(at))
+            pieces = new.to_numpy(zero_copy_only=False).tolist()
+            ids, size = self.fresh(pieces, pc.binary_length(new).to_numpy().astype(np.int64))
+            first, last = len(self.slot), len(self.slot) + len(new)
             while self.used + len(ids) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            while first + len(new) > len(self.start):
+            while last > len(self.start):
                 self.start = np.concatenate([self.start, np.zeros_like(self.start)])
                 self.length = np.concatenate([self.length, np.zeros_like(self.length)])
             self.table[self.used:self.used + len(ids)] = ids
-            self.start[first:first + len(new)] = self.used + np.cumsum(size) - size
-            self.length[first:first + len(new)] = size
+            self.start[first:last] = self.used + np.cumsum(size) - size
+            self.length[first:last] = size
             self.used += len(ids)
-            got[at] = np.arange(first, first + len(new))
-            self.slot.update(zip(new, got[at].tolist()))
+            got[at] = np.arange(first, last)
+            self.slot = pa.concat_arrays([self.slot, new])
         return got
 
     def __call__(self, column, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -223,15 +225,11 @@ class ArrayIds:
             code = np.insert(code, offsets[1:], len(self.slot) + len(own_table))
             offsets = offsets + np.arange(n + 1)
             own_table.append(np.array([end_id], np.uint32))
+        # slots lie end to end in the table, so they are a binary column, and a take copies each piece's ids at once
         own_length = np.array([len(x) for x in own_table], np.int64)
-        own_start = self.used + np.cumsum(own_length) - own_length
-        length = np.concatenate([self.length[:len(self.slot)], own_length])
-        start = np.concatenate([self.start[:len(self.slot)], own_start])
-        table = np.concatenate([self.table[:self.used], *own_table])
-        size = length[code]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(start[code] - (ends - size), size)
-        at += np.arange(total)
-        ends = np.concatenate(([0], ends))
-        return table.take(at, mode="clip"), ends[offsets[1:]] - ends[offsets[:-1]]
+        bounds = np.concatenate([self.start[:len(self.slot)], [self.used], self.used + np.cumsum(own_length)]) * 4
+        table = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [
+            None, pa.py_buffer(bounds), pa.py_buffer(np.concatenate([self.table[:self.used], *own_table]))])
+        _, ends, flat = table.take(pa.array(code)).buffers()
+        ends = np.frombuffer(ends, np.int64, len(code) + 1) >> 2
+        return np.frombuffer(flat, np.uint32, int(ends[-1])), ends[offsets[1:]] - ends[offsets[:-1]]

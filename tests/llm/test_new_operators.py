@@ -55,6 +55,24 @@ def test_long_run_of_sure_ids_crosses_word_borders():
         assert (range_coder.decode(s, c, w, z, len(ids), block) == ids).all()
 
 
+def test_contexts_of_all_lanes_lie_together():
+    """Lanes in one context touch neighbouring places, so that frequent contexts stay in the processor's cache."""
+    lanes = range_coder._Lanes(40, range_coder.frequencies(np.array([5, 3, 2])))
+    one = two = np.zeros(40, np.int32)
+    lanes.step(40, one, two, np.full(40, 2, np.int32))
+    for touched in (np.flatnonzero(lanes.slots), np.flatnonzero(lanes.odds != 1 << 14)):
+        assert len(touched) and len(touched) % 40 == 0
+        assert (np.diff(touched.reshape(-1, 40), axis=1) == 1).all()
+
+
+def test_one_lane_needs_far_more_room():
+    ids = np.zeros(20 * 1024 + 5, np.uint32)
+    ids[7 * 1024:8 * 1024] = np.random.default_rng(5).permutation(40000)[:1024]
+    s, c, w, z = range_coder.encode(ids, 1024)
+    assert z[7] > 10 * z[6]
+    assert (range_coder.decode(s, c, w, z, len(ids), 1024) == ids).all()
+
+
 def test_segment_checksums():
     rng = np.random.default_rng(3)
     ids = rng.integers(0, 500, 4000).astype(np.uint32)
@@ -115,6 +133,25 @@ def test_array_ids_look_pieces_up_as_a_column(monkeypatch):
         assert ids.tolist() == library_ids(piece)
 
 
+def test_known_pieces_are_an_arrow_column(monkeypatch):
+    """No Python object for a known piece; a full table is forgotten and filled again."""
+    find = tokens.array_ids(BYTE)
+    find.forget()
+    find(pa.array(["so many words", "many more words"]), 7)
+    assert isinstance(find.slot, pa.Array)
+    assert sorted(find.slot.to_pylist()) == [" many", " more", " so", " words"]
+    monkeypatch.setattr(tokens, "CACHE", 2)
+    for text in ("a b c", "c d e f g", "g a b", "g a c"):
+        flat, size = find(pa.array([text, None, text]), 7)
+        assert flat.tolist() == [*library_ids(text), 7, 7, *library_ids(text), 7]
+        assert size.tolist() == [len(library_ids(text)) + 1, 1, len(library_ids(text)) + 1]
+    for texts in (["", None], ["  "], [" ", "", "a"]):
+        flat, size = find(pa.array(texts))
+        assert flat.tolist() == [i for t in texts for i in library_ids(t)]
+        assert size.tolist() == [len(library_ids(t)) for t in texts]
+    find.forget()
+
+
 def test_id_files(spark, tmp_dir):
     rows = [(i % 9 if i % 5 else None, t, "clash", i) for i, t in enumerate(TEXTS)] + [(4, "same", "", 0)] * 3
     docs = spark.createDataFrame(rows, "doc_id long, text string, path string, part int")
